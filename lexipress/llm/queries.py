@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query and the module that holds it.
 _QUERIES = {
+    "op10_quality": "quality",
+    "op3_license_scan": "license_scan",
+    "op6_decontamination": "decontaminate",
+    "op1_pii": "pii",
+    "op5_warc": "warc",
     "op2_token_output": "token_output",
     "op7_simhash": "simhash",
     "op8_packing": "packing",
@@ -21,4 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express at a bearable cost."""
+    from . import warc
+
+    return {"op5_warc": warc.OP5_SQL}
