@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -83,6 +84,12 @@ def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+def free(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,9 +7,10 @@ Names are hashes of what they stand for, so they are the same in every partition
 without a look-up, and whether neighbours go together depends on their names alone:
 equal substrings are parsed alike but for a symbol at either end of each round.
 
-For every window of ``WINDOW`` words the inner symbols of the highest round that has
-any are fixed by the window's words; the least of them, by hash, is its anchor (for a
-window without inner symbols, its own hash).  Equal windows have equal anchors.  Spark
+For every window of ``WINDOW`` words the inner symbols of a round are fixed by the
+window's words; of each ``SYMBOLS`` of them in a row, in the highest round that has so
+many, the least by hash is its anchor (for a window of fewer inner symbols, its own
+hash).  Equal windows have equal anchors.  Spark
 groups anchors over all documents, and only windows whose anchor two different texts
 share are hashed, with 96 bits, and grouped in turn: a window is repeated when a smaller
 doc_id has the same hash.  Whole copies are told by their digest, so that they make no
@@ -30,7 +31,9 @@ from . import common, textkernel
 from .textkernel import mix
 
 WINDOW = 13
-ROUNDS = 2
+ROUNDS = 1
+#: Neighbouring symbols of an anchor: enough words that few anchors are shared by chance.
+SYMBOLS = 3
 #: log2 of the bits of the broadcast bitmap (16 MB).
 BITMAP_BITS = 27
 _U = np.uint64
@@ -72,7 +75,7 @@ def _least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
         span *= 2
 
 
-def anchors(words: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
+def anchors(words: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS, symbols: int = SYMBOLS) -> np.ndarray:
     """Anchor of each window of a word sequence (windows across documents included: drop those)."""
     n = len(words) - window + 1
     if n <= 0:
@@ -88,7 +91,9 @@ def anchors(words: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> np
         first, last = at[run_of[first]] + 1, at[run_of[last]] - 1
         inner = first <= last
         left, first, last = left[inner], first[inner], last[inner]
-        found.append((mix(names ^ _U(_LEVEL[3 - level % 4])), left, first, last))
+        enough = last - first + 1 >= symbols
+        rows = textkernel.windows(names ^ _U(_LEVEL[3 - level % 4]), symbols, level)
+        found.append((rows, left[enough], first[enough], last[enough] - symbols + 1))
     for values, of, a, b in reversed(found):
         new = todo[of]
         out[of[new]] = _least(values, a[new], b[new])
@@ -110,7 +115,7 @@ def _inside(row_ends: np.ndarray, n_words: int, window: int) -> tuple[np.ndarray
 #: Rows of a batch whose words are handled at once.
 _ROWS = 64
 _ANCHORS = pa.schema([("name", pa.int64()), ("digest", pa.int64())])
-_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int32()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32())])
+_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int32()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("at", pa.int32())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
@@ -148,8 +153,8 @@ def _window_rows(window: int, rounds: int, shared):
             at, rows = at[hit], rows[hit]
             w1 = textkernel.windows(found[0], window)[at].view(np.int64)
             w2 = (textkernel.windows(found[1], window, 3)[at] >> _U(32)).astype(np.uint32).view(np.int32)
-            ids, digests = (batch.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("doc_id", "digest"))
-            yield common.batch_of(_WINDOWS, (w1, w2, ids, digests, (at - starts[rows]).astype(np.int32)))
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("doc_id", "tag"))
+            yield common.batch_of(_WINDOWS, (w1, w2, ids, tags, (at - starts[rows]).astype(np.int32)))
 
     return run
 
@@ -191,6 +196,13 @@ def _bitmap(names: DataFrame, bits: int) -> np.ndarray:
     return bitmap
 
 
+def _shared_anchors(named: DataFrame, window: int, rounds: int, bits: int) -> np.ndarray:
+    """Bitmap of the anchors that two different texts share."""
+    names = named.select("text", "digest").mapInArrow(_anchor_rows(window, rounds), "name long, digest long")
+    shared = names.groupBy("name").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("name")
+    return _bitmap(shared, bits)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_text: bool = True, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
     """Remove every word in a window of ``window`` words that a smaller doc_id has too.
 
@@ -205,21 +217,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     source = source.withColumn("md5", F.md5(F.coalesce("text", F.lit(""))))
     source = source.withColumn("digest", F.xxhash64("md5"))
 
+    # Tells rows that share a doc_id apart.
+    source = source.withColumn("tag", F.hash("md5"))
     named = source.where("doc_id is not null and text is not null")
-    names = named.select("text", "digest").mapInArrow(_anchor_rows(window, rounds), "name long, digest long")
-    shared = names.groupBy("name").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("name")
-    bitmap = spark.sparkContext.broadcast(_bitmap(shared, bitmap_bits))
+    bitmap = spark.sparkContext.broadcast(_shared_anchors(named, window, rounds, bitmap_bits))
+    common.free(spark)
 
-    spec = "w1 long, w2 int, doc_id long, digest long, at int"
-    found = common.materialise(named.select("doc_id", "text", "digest").mapInArrow(_window_rows(window, rounds, bitmap), spec), "windows", "lz4")
+    spec = "w1 long, w2 int, doc_id long, tag int, at int"
+    found = named.select("doc_id", "text", "tag").mapInArrow(_window_rows(window, rounds, bitmap), spec)
     # Grouped by both hashes, joined by the first alone: Spark can then split a hot one.
     least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("w1", F.col("w2").alias("v2"), "least")
-    covered = found.join(least, "w1").where("w2 = v2 and doc_id > least").groupBy("doc_id", "digest").agg(F.collect_set("at").alias("starts"))
+    covered = found.join(least, "w1").where("w2 = v2 and doc_id > least").groupBy("doc_id", "tag").agg(F.collect_set("at").alias("starts"))
 
     originals = named.groupBy("md5").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("md5", "least")
-    copies = named.select("doc_id", "md5", "digest").join(originals, "md5").where("doc_id > least").select("doc_id", "digest").distinct().withColumn("whole", F.lit(True))
-    marks = covered.join(copies, ["doc_id", "digest"], "full")
-    joined = source.select("doc_id", "text", "digest").join(marks, ["doc_id", "digest"], "left").select("doc_id", "text", "whole", "starts")
+    copies = named.select("doc_id", "md5", "tag").join(originals, "md5").where("doc_id > least").select("doc_id", "tag").distinct().withColumn("whole", F.lit(True))
+    marks = common.materialise(covered.join(copies, ["doc_id", "tag"], "full"), "covered")
+    del found, least, covered
+    common.free(spark)
+    joined = source.select("doc_id", "text", "tag").join(marks, ["doc_id", "tag"], "left").select("doc_id", "text", "whole", "starts")
     return joined.mapInArrow(_keep(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
