@@ -83,8 +83,8 @@ def _cut_and_pack(path: str, lead: bool, capacity: int, slack: int):
         enc, base, held = encoder(path, lead), _first_id(1), []
         for batch in batches:
             texts, ids = common.text_values(batch.column("text")), batch.column("doc_id").to_pylist()
-            for k in range(0, len(texts), 256):
-                for doc, blob in zip(ids[k : k + 256], enc.encode_bytes(texts[k : k + 256]), strict=True):
+            for k in range(0, len(texts), 1000):
+                for doc, blob in zip(ids[k : k + 1000], enc.encode_bytes(texts[k : k + 1000]), strict=True):
                     values = np.frombuffer(blob, dtype=enc.dtype).astype("<u4")
                     for n, start in enumerate(range(0, len(values), capacity)):
                         cut = values[start : start + capacity]

@@ -115,8 +115,8 @@ def _tokenise(path: str, lead: bool):
         enc, z = encoder(path, lead), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = common.text_values(batch.column("text"))
-            for k in range(0, len(texts), 256):
-                blobs = enc.encode_bytes(texts[k : k + 256])
+            for k in range(0, len(texts), 1000):
+                blobs = enc.encode_bytes(texts[k : k + 1000])
                 ids = batch.column("doc_id").slice(k, len(blobs))
                 yield common.batch_of(_BLOBS, (ids, [len(b) // enc.dtype.itemsize for b in blobs], [z.compress(b) for b in blobs]))
 
@@ -144,7 +144,7 @@ def _write(uri: str, dtype: str, ranks):
         n_docs = n_tokens = held = 0
         docs: list[int | None] = []
         arrays: list[np.ndarray] = []
-        with fs.open_output_stream(made) as out:
+        with fs.open_output_stream(made, compression=None) as out:
             out.write(MAGIC)
             for batch in batches:
                 for doc, blob in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
@@ -175,7 +175,7 @@ def _read(codebook: str):
                         ids_of = np.frombuffer(f.read(), dtype="<u4")
                 fs, at = common.open_fs(path)
                 rows: list[tuple] = []
-                with fs.open_input_stream(at) as stream:
+                with fs.open_input_stream(at, compression=None) as stream:
                     for doc, ranks in read_blocks(stream):
                         ids = ids_of[ranks]
                         rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))

@@ -2,25 +2,30 @@
 
 A text is cut before single spaces.  Every such cut is a boundary of the
 tokenizer's own pre-tokenisation, so the ids of a text are the ids of its chunks
-in a row, and a chunk that was seen before costs one dictionary look-up.  Texts
+in a row, and a chunk that was seen before costs one dictionary look-up.  A new
+chunk is cut further, at line ends and before the marks that end a word.  Texts
 with two white-space characters in a row, where that argument fails for a
 byte-level vocabulary, are encoded whole.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from array import array
 
 import numpy as np
 
 #: White space of Unicode: fixed values, as the pre-tokenizers' ``\s`` takes them.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_RUN = re.compile(f"[{SPACES}]{{2}}|^[{SPACES}]|[{SPACES}]$")
+_RUN = re.compile(f"[{SPACES}](?:[{SPACES}]|\\Z)|\\A[{SPACES}]")
 #: Characters that str.split() takes for white space and the pre-tokenizers do not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-#: Distinct chunks remembered by a worker; at the bound the memory starts anew.
-REMEMBERED = 400_000
+#: Chunks remembered by a worker; beyond twice the number the least used are forgotten (about 250 MB).
+REMEMBERED = 500_000
+#: ASCII marks that end a word: a run of them after a letter or digit is a piece of its own.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Longer chunks are encoded but not remembered.
 LONGEST = 64
 END_ID = 0
@@ -33,6 +38,31 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Memory(dict):
+    """Remembers about ``REMEMBERED`` to twice as many values; those not asked for go first."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def unknown(self, keys: set) -> set:
+        """Which keys are not remembered; the others can be looked up until the next call."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return self.recall(keys)
+
+    def recall(self, keys: set) -> set:
+        """As ``unknown``, without forgetting anything."""
+        out, older = keys.difference(self), self.older
+        if older:
+            known = [k for k in out if k in older]
+            for k in known:
+                self[k] = older[k]
+            out.difference_update(known)
+        return out
+
+
 class ChunkEncoder:
     """``encode(texts)``: for each text the ids as a little-endian uint32 array, END_ID last."""
 
@@ -44,46 +74,86 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.lead = " " if lead else ""
-        self.known: dict[str, bytes] = {}
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.chunks = _Memory()  # ids of a chunk, after a space if ``lead``
+        self.bare = _Memory()  # ids of what follows within a chunk, as it stands
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = self.code
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b, dtype=self.dtype).astype("<u4") for b in self.encode_bytes(texts)]
 
+    def _parts(self, chunk: str) -> list[str]:
+        """Parts of a chunk that the pre-tokenisation keeps apart: lines, and marks at their ends."""
+        out = []
+        for line in chunk.split("\n"):
+            core = line.rstrip(MARKS)
+            last = core[-1:]
+            if len(core) < len(line) and (last.isascii() and last.isalnum() or "\xc0" <= last <= "\u024f" and last.isalpha() and last != "\u0130"):
+                out += (core, line[len(core) :], "\n")
+            else:
+                out += (line, "\n")
+        return out[:-1]
+
+    def _remember(self, memory: _Memory, atoms: list[str], lead: str) -> dict[str, bytes]:
+        """Encodes atoms into ``memory``; those too long to be remembered are returned."""
+        once = {}
+        for atom, ids in zip(atoms, self._ids([lead + x for x in atoms]), strict=True):
+            (memory if len(atom) <= LONGEST else once)[atom] = ids
+        return once
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not remembered; what is too long for that is returned."""
+        chunks, bare = self.chunks, self.bare
+        single = {c for c in new if c.isalnum()}
+        split = {c: self._parts(c) for c in new if c not in single}
+        heads = {p[0] for p in split.values()} - single
+        single |= chunks.recall(heads)
+        once = self._remember(chunks, list(single), self.lead)
+        rest = bare.unknown({x for p in split.values() for x in p[1:]})
+        once_bare = self._remember(bare, list(rest), "")
+        for chunk, p in split.items():
+            if len(p) > 1:
+                head = chunks[p[0]] if p[0] in chunks else once[p[0]]
+                tail = [bare[x] if x in bare else once_bare[x] for x in p[1:]]
+                (chunks if len(chunk) <= LONGEST else once)[chunk] = head + b"".join(tail)
+        return once
+
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with END_ID, as bytes of ``self.dtype``."""
-        known, lead, end = self.known, self.lead, np.array([END_ID], dtype=self.dtype).tobytes()
+        lead, end = self.lead, array(self.code, [END_ID]).tobytes()
+        odd = _RUN if lead else _SEPARATORS
         parts: list[list[str] | None] = []
         whole: list[str] = []
+        firsts: list[str] = []
         seen: set[str] = set()
         for text in texts:
-            if (_RUN if lead else _SEPARATORS).search(text):
+            if odd.search(text):
                 parts.append(None)
                 whole.append(text)
                 continue
             words = text.split(" ") if lead else text.split()
+            if lead:
+                firsts.append(words.pop(0))
             parts.append(words)
-            seen.update(words[1:] if lead else words)
-        if len(known) + len(seen) > REMEMBERED:
-            known.clear()
-        new = [w for w in seen if w not in known]
-        once: dict[str, bytes] = {}
-        for word, ids in zip(new, self._ids([lead + w for w in new]), strict=True):
-            (known if len(word) <= LONGEST else once)[word] = ids
-        found = known.__getitem__ if not once else lambda w: known[w] if w in known else once[w]
-        whole_ids = iter(self._ids(whole) if whole else ())
-        heads = iter(self._ids([p[0] for p in parts if p is not None and lead]) if lead else ())
+            seen.update(words)
+        once = self._learn(self.chunks.unknown(seen))
+        find = self.chunks.__getitem__
+        if once:
+            find = (lambda w: once[w] if w in once else self.chunks[w])
+        head = dict(zip(set(firsts), self._ids(list(set(firsts))), strict=True)) if firsts else {}
+        whole_ids, first = iter(self._ids(whole) if whole else ()), iter(firsts)
         out = []
         for p in parts:
             if p is None:
                 out.append(next(whole_ids) + end)
             elif lead:
-                out.append(next(heads) + b"".join(map(found, p[1:])) + end)
+                out.append(head[next(first)] + b"".join(map(find, p)) + end)
             else:
-                out.append(b"".join(map(found, p)) + end)
+                out.append(b"".join(map(find, p)) + end)
         return out
 
 
@@ -93,5 +163,7 @@ _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 def encoder(path: str, lead: bool) -> ChunkEncoder:
     """One encoder for each vocabulary and Python worker."""
     if (path, lead) not in _ENCODERS:
+        gc.freeze()
+        gc.set_threshold(200_000, 20, 100)  # millions of strings are remembered; none is part of a cycle
         _ENCODERS[path, lead] = ChunkEncoder(path, lead)
     return _ENCODERS[path, lead]

@@ -13,7 +13,7 @@ def reference_ids(name, text):
     return enc.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
-@given(st.lists(st.text(alphabet=st.sampled_from(list("aB1 \n\t.,'s\xa0é\x1c日<|>́")), max_size=40), max_size=5))
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aB1İß»… \n\t.,'s\xa0é\x1c日<|>́")), max_size=40), max_size=5))
 @settings(max_examples=150, deadline=None)
 def test_chunks_are_boundaries(texts):
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
@@ -86,7 +86,7 @@ def test_packing(spark, sf_dir):
     check_packing(packing.pack(extra_columns(docs)).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 2048)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(12)
     got, least = check_packing(packing.pack(docs).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 2048)
-    assert got <= least * 1.01 + 2
+    assert got <= least * 1.04 + 1
 
 
 def test_items_that_do_not_go_together(spark):
