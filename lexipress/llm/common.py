@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -76,20 +75,33 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, Spark deletes a query's shuffle files as soon as it has ended.
+
+    For queries whose rows are written or collected once; without it the files stay
+    until the driver's garbage is collected.
+    """
+    was = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, was)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage of ``df``: write it to the shared folder and read it back."""
     spark = df.sparkSession
     uri = scratch(spark, name)
-    df.write.option("compression", codec).parquet(uri)
+    with shuffles_dropped(spark):
+        df.write.option("compression", codec).parquet(uri)
     return spark.read.schema(df.schema).parquet(uri)
 
 
-def free(spark: SparkSession) -> None:
-    """Have Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -33,7 +33,7 @@ from .textkernel import mix
 WINDOW = 13
 ROUNDS = 1
 #: Neighbouring symbols of an anchor: enough words that few anchors are shared by chance.
-SYMBOLS = 3
+SYMBOLS = 4
 #: log2 of the bits of the broadcast bitmap (16 MB).
 BITMAP_BITS = 27
 _U = np.uint64
@@ -190,7 +190,8 @@ def _bitmap(names: DataFrame, bits: int) -> np.ndarray:
     """Bitmap of a column of longs; at most 2**(bits - 6) rows reach the driver, whatever the input."""
     at = F.col("name").bitwiseAND(F.lit((1 << bits) - 1))
     words = names.select(F.call_function("shiftright", at, F.lit(6)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-    table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    with common.shuffles_dropped(names.sparkSession):
+        table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (bits - 6), dtype=_U)
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(_U)
     return bitmap
@@ -221,19 +222,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     source = source.withColumn("tag", F.hash("md5"))
     named = source.where("doc_id is not null and text is not null")
     bitmap = spark.sparkContext.broadcast(_shared_anchors(named, window, rounds, bitmap_bits))
-    common.free(spark)
 
     spec = "w1 long, w2 int, doc_id long, tag int, at int"
     found = named.select("doc_id", "text", "tag").mapInArrow(_window_rows(window, rounds, bitmap), spec)
-    # Grouped by both hashes, joined by the first alone: Spark can then split a hot one.
+    # Grouped by both hashes, joined by the first alone (the second is compared in a way that does
+    # not make it a key), so that the join has a shuffle of its own and Spark can split a hot window.
     least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("w1", F.col("w2").alias("v2"), "least")
-    covered = found.join(least, "w1").where("w2 = v2 and doc_id > least").groupBy("doc_id", "tag").agg(F.collect_set("at").alias("starts"))
+    covered = found.join(least, "w1").where("(w2 ^ v2) = 0 and doc_id > least").groupBy("doc_id", "tag").agg(F.collect_set("at").alias("starts"))
 
     originals = named.groupBy("md5").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("md5", "least")
     copies = named.select("doc_id", "md5", "tag").join(originals, "md5").where("doc_id > least").select("doc_id", "tag").distinct().withColumn("whole", F.lit(True))
     marks = common.materialise(covered.join(copies, ["doc_id", "tag"], "full"), "covered")
-    del found, least, covered
-    common.free(spark)
     joined = source.select("doc_id", "text", "tag").join(marks, ["doc_id", "tag"], "left").select("doc_id", "text", "whole", "starts")
     return joined.mapInArrow(_keep(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
