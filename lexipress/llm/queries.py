@@ -13,6 +13,7 @@ _QUERIES = {
     "op3_license_scan": "license_scan",
     "op6_decontamination": "decontaminate",
     "op1_pii": "pii",
+    "op4_embedding_dedup": "embedding_dedup",
     "op5_warc": "warc",
     "op2_token_output": "token_output",
     "op7_simhash": "simhash",

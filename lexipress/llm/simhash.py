@@ -76,6 +76,18 @@ def _fingerprints(shingle: int, seed: int):
     return run
 
 
+_RANKED = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("fp", pa.int64())])
+
+
+def _ranked_fingerprints(shingle: int, seed: int):
+    def run(batches):
+        for batch in batches:
+            fps = [_signed(fingerprint(t, shingle, seed)) for t in common.text_values(batch.column("text"))]
+            yield common.batch_of(_RANKED, (batch.column("doc_id"), batch.column("digest"), fps))
+
+    return run
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
     common.small_batches(docs.sparkSession)
@@ -126,6 +138,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
     return fps.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
+
+    Null doc_ids come last; of rows that share a doc_id the one of the smallest text
+    digest stays, and of rows equal in both one.  All columns are kept.
+    """
+    spark = docs.sparkSession
+    common.small_batches(spark)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = source.withColumn("digest", F.xxhash64("text"))
+    ranked = source.mapInArrow(_ranked_fingerprints(shingle, seed), "doc_id long, digest long, fp long")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    alone = common.materialise(ranked.groupBy("fp").agg(F.min(rank).alias("rank")), "folded")
+    found = common.materialise(components(links(alone.select("fp"))), "components").withColumnRenamed("node", "fp")
+    first = alone.join(found, "fp", "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("rank").alias("rank"))
+    kept = common.materialise(first.select(F.col("rank.doc_id").alias("_id"), F.col("rank.digest").alias("_digest")), "kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
+    chosen = docs.join(kept, same, "left_semi")
+    # Only rows that repeat a doc_id and a text are more than one now; each such key is a few rows.
+    return chosen.dropDuplicates(["doc_id", "text"])
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: fingerprint and component of every document."""
     return near_duplicates(common.read_table(spark, sf_dir, "documents"))
