@@ -66,29 +66,32 @@ def terms(text: Column, pattern: str, most: int = MAX_TERMS) -> Column:
     """First ``most`` different matches, whatever their case, as they stand first."""
     found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({pattern})"), 1), lambda m: F.regexp_replace(F.trim(m), r"\s+", " "))
     found = F.filter(found, lambda m: m != "")
-    lower = F.transform(found, lambda m: F.lower(m))
-    firsts = F.filter(found, lambda m, i: F.array_position(lower, F.lower(m)) == i + 1)
-    return F.slice(firsts, 1, most)
+    # A short list of what is kept is looked through for each match, never all matches for each other.
+    none = F.array().cast("array<string>")
+    return F.aggregate(found, none, lambda kept, m: F.when((F.size(kept) >= most) | F.exists(kept, lambda k: F.lower(k) == F.lower(m)), kept).otherwise(F.concat(kept, F.array(m))))
 
 
-def junk(title: Column, text: Column, rules: JunkRules) -> Column:
-    """struct<category, matched_terms, title_match_count, body_match_count> of the first category that fires, or null.
+def with_junk(docs: DataFrame, title: str, text: str, rules: JunkRules, name: str = "junk") -> DataFrame:
+    """``docs`` with struct<category, matched_terms, title_match_count, body_match_count> of the first category that fires, or null.
 
-    A category fires on one match in the title or two different ones in the text.
+    A category fires on one match in the title or two different ones in the text.  Matches
+    are columns of their own first, so that each pattern runs once over a text.
     """
-    both = F.concat_ws("\n", F.nullif(title, F.lit("")), F.nullif(text, F.lit("")))
-    cases = None
-    for category, patterns in rules.categories.items():
+    found = docs
+    for k, patterns in enumerate(rules.categories.values()):
         p = whole_words(patterns)
-        in_title, in_text = terms(title, p), terms(text, p)
-        more = F.filter(in_text, lambda m: ~F.exists(in_title, lambda t: F.lower(t) == F.lower(m)))  # noqa: B023
-        found = F.struct(F.lit(category).alias("category"), F.slice(F.concat(in_title, more), 1, MAX_TERMS).alias("matched_terms"), F.size(in_title).alias("title_match_count"), F.size(in_text).alias("body_match_count"))
-        fires = (F.size(in_title) > 0) | (F.size(in_text) >= MIN_BODY_HITS)
-        cases = F.when(fires, found) if cases is None else cases.when(fires, found)
-    allowed = F.trim(F.coalesce(text, F.lit(""))) != ""
+        found = found.withColumns({f"_title_{k}": terms(F.col(title), p), f"_text_{k}": terms(F.col(text), p)})
+    both = F.concat_ws("\n", F.nullif(F.col(title), F.lit("")), F.nullif(F.col(text), F.lit("")))
+    allowed = F.trim(F.coalesce(F.col(text), F.lit(""))) != ""
     if rules.guard:
         allowed = allowed & ~both.rlike(whole_words(rules.guard))
-    return F.when(allowed, cases) if cases is not None else F.lit(None)
+    cases = F.when(~allowed, F.lit(None))
+    for k, category in enumerate(rules.categories):
+        in_title, in_text = F.col(f"_title_{k}"), F.col(f"_text_{k}")
+        more = F.filter(in_text, lambda m: ~F.exists(in_title, lambda t: F.lower(t) == F.lower(m)))  # noqa: B023
+        shown = F.struct(F.lit(category).alias("category"), F.slice(F.concat(in_title, more), 1, MAX_TERMS).alias("matched_terms"), F.size(in_title).alias("title_match_count"), F.size(in_text).alias("body_match_count"))
+        cases = cases.when((F.size(in_title) > 0) | (F.size(in_text) >= MIN_BODY_HITS), shown)
+    return found.withColumn(name, cases).select(*(F.col(f"`{c}`") for c in docs.columns), name)
 
 
 def tags(text: Column, patterns: Mapping[str | int, str]) -> Column:

@@ -43,9 +43,8 @@ def cleaned(raw: DataFrame, native: bool = False) -> DataFrame:
 def first_reason(clean: DataFrame, junk_rules: rules.JunkRules, target: str, other: str, names: tuple[str, str]) -> DataFrame:
     """clean with drop_reason of the checks that look at one post: empty_clean_text, non_<language>, junk:<category>."""
     lang = T.language(F.col("clean_text"), target, other, names)
-    found = rules.junk(F.col("clean_title"), F.col("clean_text"), junk_rules)
-    reason = F.when(F.col("clean_text") == "", "empty_clean_text").when(T.foreign(F.col("clean_text"), lang, target, other, names[0]), "non_russian" if names[0] == "ru" else f"non_{names[0]}").otherwise(F.concat(F.lit("junk:"), found["category"]))
-    return clean.withColumn("lang", lang).withColumn("drop_reason", reason)
+    reason = F.when(F.col("clean_text") == "", "empty_clean_text").when(T.foreign(F.col("clean_text"), lang, target, other, names[0]), "non_russian" if names[0] == "ru" else f"non_{names[0]}").otherwise(F.concat(F.lit("junk:"), F.col("junk.category")))
+    return rules.with_junk(clean, "clean_title", "clean_text", junk_rules).withColumn("lang", lang).withColumn("drop_reason", reason)
 
 
 def verdicts(raw: DataFrame, junk_rules: rules.JunkRules = rules.DEMO_RULES, target: str = "а-яё", other: str = "a-z", names: tuple[str, str] = ("ru", "en"), threshold: float = dedup.THRESHOLD, stored: DataFrame | None = None, native: bool = False) -> DataFrame:

@@ -3,27 +3,37 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: dict[str, str] = {}
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local-mode session may go without it."""
-    if spark.sparkContext.getCheckpointDir():
-        return
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a local-mode session may go without it."""
     conf = spark.sparkContext.getConf()
     folder = conf.get("spark.checkpoint.dir")
-    if not folder:
-        if not conf.get("spark.master", "local").startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="lexipress-ck-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(folder)
+    if folder:
+        return folder.rstrip("/")
+    if not conf.get("spark.master", "local").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _MADE:
+        _MADE[app] = tempfile.mkdtemp(prefix="lexipress-cut-")
+        atexit.register(shutil.rmtree, _MADE[app], ignore_errors=True)
+    return _MADE[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once and read from the checkpoint folder from now on."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df``, computed once, written to the shared folder and read from there from now on."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    with contextlib.suppress(Exception):
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)

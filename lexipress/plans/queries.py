@@ -177,7 +177,7 @@ def junk_terms(spark, sf):
 @query()
 def junk_filter(spark, sf):
     p = posts(spark, sf)
-    return p.select(F.col("id_raw_post").alias("id"), rules.junk(F.col("title"), F.col("content"), rules.DEMO_RULES).alias("junk")).where("junk is not null").select("id", "junk.category", F.array_join("junk.matched_terms", "|").alias("terms"), "junk.title_match_count", "junk.body_match_count")
+    return rules.with_junk(p, "title", "content", rules.DEMO_RULES).withColumnRenamed("id_raw_post", "id").where("junk is not null").select("id", "junk.category", F.array_join("junk.matched_terms", "|").alias("terms"), "junk.title_match_count", "junk.body_match_count")
 
 
 @query("""WITH k AS (SELECT * FROM (VALUES (1, 'source', 'src1', true), (1, 'source', 'src2', false), (2, 'source', 'src2', true)) v(id_goal, kind, key, include)),
@@ -357,10 +357,10 @@ def time_range(spark, sf):
     return stats.time_range(table(spark, sf, "events"), "ts")
 
 
-@query("SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1")
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1")
 def daily_counts(spark, sf):
     at = lambda d: F.lit(d).cast("timestamp")
-    return stats.daily(table(spark, sf, "events"), "ts", at("2024-01-05"), at("2024-01-20"))
+    return stats.daily(table(spark, sf, "events"), "ts", at("2024-01-05"), at("2024-01-20")).withColumn("day", F.col("day").cast("string"))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 3")
@@ -491,9 +491,9 @@ def equal_budget(spark, sf):
     return retrieval.equal_budget(lists, 50)
 
 
-@query(f"""WITH {RANKED}, d AS (SELECT id_object, rank - 1 AS at, lag(score) OVER (PARTITION BY id_object ORDER BY rank) - score AS drop FROM ranked),
-i AS (SELECT id_object, at, drop FROM d WHERE at >= 50 AND at < 200), b AS (SELECT id_object, max(struct_pack(drop := drop, at := at)) AS best, list_sort(list(drop)) AS drops FROM i GROUP BY 1), n AS (SELECT id_object, count(*) AS n FROM ranked GROUP BY 1)
-SELECT n.id_object, n.n, CAST(CASE WHEN least(200, n.n) <= least(50, n.n) OR b.best IS NULL THEN least(50, n.n) WHEN b.drops[len(b.drops) // 2 + 1] > 0 AND b.best.drop < 3.0 * b.drops[len(b.drops) // 2 + 1] THEN least(200, n.n) ELSE b.best.at END AS BIGINT) AS cutoff FROM n LEFT JOIN b USING (id_object)""")
+@query(f"""WITH {RANKED}, d AS (SELECT id_object, rank - 1 AS pos, lag(score) OVER (PARTITION BY id_object ORDER BY rank) - score AS fall FROM ranked),
+i AS (SELECT id_object, pos, fall FROM d WHERE pos >= 50 AND pos < 200), b AS (SELECT id_object, max(struct_pack(fall := fall, pos := pos)) AS best, list_sort(list(fall)) AS falls FROM i GROUP BY 1), n AS (SELECT id_object, count(*) AS n FROM ranked GROUP BY 1)
+SELECT n.id_object, n.n, CAST(CASE WHEN least(200, n.n) <= least(50, n.n) OR b.best IS NULL THEN least(50, n.n) WHEN b.falls[len(b.falls) // 2 + 1] > 0 AND b.best.fall < 3.0 * b.falls[len(b.falls) // 2 + 1] THEN least(200, n.n) ELSE b.best.pos END AS BIGINT) AS cutoff FROM n LEFT JOIN b USING (id_object)""")
 def adaptive_cutoff(spark, sf):
     return retrieval.adaptive_cutoff(ranked(spark, sf))
 
@@ -679,10 +679,10 @@ def trigrams(spark, sf):
     return t.select("trigram", "n", F.round("relative_frequency", 9).alias("relative_frequency"))
 
 
-@query("WITH a AS (SELECT doc_id AS id, unnest(list_distinct(regexp_extract_all(text, '\\b[A-Z]{2,6}\\b'))) AS abbreviation FROM documents) SELECT id, abbreviation, e.expansion, CASE WHEN e.expansion IS NULL THEN 'unresolved' ELSE 'resolved' END AS status FROM a LEFT JOIN (VALUES ('MIT', 'Massachusetts Institute of Technology'), ('CC', 'Creative Commons')) e(abbreviation, expansion) USING (abbreviation)")
+@query("WITH a AS (SELECT doc_id AS id, unnest(list_distinct(regexp_extract_all(text, '[A-Z]{2,6}'))) AS abbreviation FROM documents) SELECT id, abbreviation, e.expansion, CASE WHEN e.expansion IS NULL THEN 'unresolved' ELSE 'resolved' END AS status FROM a LEFT JOIN (VALUES ('MIT', 'Massachusetts Institute of Technology'), ('CC', 'Creative Commons')) e(abbreviation, expansion) USING (abbreviation)")
 def abbreviations(spark, sf):
     known = spark.createDataFrame([("MIT", "Massachusetts Institute of Technology"), ("CC", "Creative Commons")], "abbreviation string, expansion string")
-    return merge.expand_abbreviations(table(spark, sf, "documents"), known, key="doc_id", pattern=r"\b[A-Z]{2,6}\b")
+    return merge.expand_abbreviations(table(spark, sf, "documents"), known, key="doc_id", pattern="[A-Z]{2,6}")
 
 
 @query("SELECT doc_id AS id, CASE WHEN quality + toxic > 0 THEN 'labelled' ELSE 'skipped' END AS status, CASE WHEN quality + toxic = 0 THEN 'no_relevant_goals' END AS reason, CAST(quality AS BIGINT) AS n_positive, CAST(toxic AS BIGINT) AS n_negative, CAST(0 AS BIGINT) AS n_neutral FROM labels")

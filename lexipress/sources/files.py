@@ -10,8 +10,7 @@ from pyspark.sql.types import StructType
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """One JSON object a line; blank lines are skipped, broken ones are null rows."""
     rows = spark.read.text(path).where(F.trim("value") != "")
-    ddl = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<").removesuffix(">")
-    return rows.select(F.from_json("value", ddl).alias("row")).select("row.*")
+    return rows.select(F.from_json("value", schema).alias("row")).select("row.*")
 
 
 def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> None:
