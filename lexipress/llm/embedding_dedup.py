@@ -4,8 +4,8 @@ Vectors of one label (and length) are folded by value and dealt over shards of b
 size; each shard gets a graph.  Every shard of a label is queried with all the label's
 vectors, block by block.  A block first audits the graph: a fixed choice of its queries
 is also compared with the whole shard, and the beam is doubled until the audit's recall
-passes.  Then the beam of each query is doubled for as long as all it holds is within the
-threshold, so a dense group is never cut off.  What is found is verified in double
+passes.  A query that finds half its beam within the threshold then meets the whole shard,
+so a dense group is never cut off.  What is found is verified in double
 precision and united: a task passes on one edge for each vector it linked, and components
 are found over all edges.
 """
@@ -25,8 +25,8 @@ from .components import components
 THRESHOLD = 0.93
 #: Vectors of a shard on average, and queries of a block.
 SHARD = 8192
-FIRST_BEAM = 24
-AUDITED = 64
+FIRST_BEAM = 16
+AUDITED = 256
 RECALL = 0.99
 #: A single-precision similarity may be so much less than the exact one.
 _SLACK = 1e-4
@@ -48,19 +48,26 @@ def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def audited_beam(graph: hnsw.Graph, q: np.ndarray, threshold: float, beam: int = FIRST_BEAM, recall: float = RECALL) -> int:
-    """Least doubling of ``beam`` that finds ``recall`` of the audit's true neighbours."""
+    """Least doubling of ``beam`` that passes the audit.
+
+    AUDITED queries are compared with the whole shard; the share ``recall`` of their
+    neighbours within the threshold, as many as half a beam holds, must be found.  Where
+    the sample has few neighbours within the threshold, looser ones are audited with them.
+    """
     n = len(graph.x)
     chosen = q[np.unique(np.linspace(0, len(q) - 1, AUDITED).astype(np.int64))]
     sims = chosen @ graph.x.T
-    # A query's true neighbours: the nearest ten, and of those within the threshold as many as a beam holds.
     order = np.argsort(-sims, axis=1, kind="stable")
+    for loose in (0.0, 0.1, 0.2):
+        within = (sims >= threshold - loose).sum(axis=1)
+        if (within > 1).sum() >= 8:  # a query is its own neighbour
+            break
     while beam < n:
         ids, _ = graph.search(chosen, beam)
         want = hit = 0
         for row, found in enumerate(ids):
-            true = order[row, : max(10, min(beam, int((sims[row] >= threshold).sum())))]
-            want += len(true)
-            hit += len(np.intersect1d(graph.order[true], found))
+            true = graph.order[order[row, : min(beam // 2, int(within[row]))]]
+            want, hit = want + len(true), hit + len(np.intersect1d(true, found))
         if hit >= recall * want:
             break
         beam *= 2
@@ -68,19 +75,22 @@ def audited_beam(graph: hnsw.Graph, q: np.ndarray, threshold: float, beam: int =
 
 
 def links_of(graph: hnsw.Graph, q: np.ndarray, threshold: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs whose similarity reaches the threshold, less the slack."""
-    n, todo = len(graph.x), np.arange(len(q))
-    rows, nodes = [], []
-    while len(todo):
-        ids, sims = graph.search(q[todo], beam)
-        within = (sims >= threshold - _SLACK) & (ids >= 0)
-        full = within.all(axis=1) & (ids.shape[1] < n)
-        done = within & ~full[:, None]
-        at, k = np.nonzero(done)
-        rows.append(todo[at])
-        nodes.append(ids[at, k])
-        todo, beam = todo[full], beam * 2
-    return np.concatenate(rows) if rows else todo, np.concatenate(nodes) if nodes else todo
+    """(query, node) pairs whose similarity reaches the threshold, less the slack.
+
+    A query half of whose beam is within the threshold stands in a dense group: its beam is
+    widened to the whole shard, which is a comparison with all of it, in blocks.
+    """
+    ids, sims = graph.search(q, beam)
+    within = (sims >= threshold - _SLACK) & (ids >= 0)
+    dense = within.sum(axis=1) * 2 >= beam
+    at, k = np.nonzero(within & ~dense[:, None])
+    rows, nodes = [at], [ids[at, k]]
+    todo = np.flatnonzero(dense)
+    for k in range(0, len(todo), 512):
+        at, node = np.nonzero(q[todo[k : k + 512]] @ graph.x.T >= threshold - _SLACK)
+        rows.append(todo[k : k + 512][at])
+        nodes.append(graph.order[node])
+    return np.concatenate(rows), np.concatenate(nodes)
 
 
 def _query(threshold: float, recall: float):
@@ -93,7 +103,8 @@ def _query(threshold: float, recall: float):
         q = hnsw.unit(_stack(queries["embedding"]))
         q32 = q.astype(np.float32)
         a, b = links_of(graph, q32, threshold, audited_beam(graph, q32, threshold, recall=recall))
-        cosine = np.concatenate([np.einsum("ij,ij->i", q[a[k : k + 65536]], hnsw.unit(exact[b[k : k + 65536]])) for k in range(0, len(a), 65536)]) if len(a) else np.zeros(0)
+        whole = hnsw.unit(exact)
+        cosine = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", q[a[k : k + 65536]], whole[b[k : k + 65536]]) for k in range(0, len(a), 65536))])
         good = (cosine >= threshold) & (own[a] != nodes[b])
         a, b = a[good], b[good]
         if not len(a):

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
-DEGREE = 12
-BUILD_BEAM = 48
+DEGREE = 10
+BUILD_BEAM = 28
 #: Candidates of a query that are expanded in one step.
 _WIDE = 4
 _BATCH = 512
