@@ -230,7 +230,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("w1", F.col("w2").alias("v2"), "least")
     covered = found.join(least, "w1").where("(w2 ^ v2) = 0 and doc_id > least").groupBy("doc_id", "tag").agg(F.collect_set("at").alias("starts"))
 
-    originals = named.groupBy("md5").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("md5", "least")
+    # As above: grouped by digest and tag, joined by digest alone.
+    originals = named.groupBy("md5", "tag").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("md5", "least")
     copies = named.select("doc_id", "md5", "tag").join(originals, "md5").where("doc_id > least").select("doc_id", "tag").distinct().withColumn("whole", F.lit(True))
     marks = common.materialise(covered.join(copies, ["doc_id", "tag"], "full"), "covered")
     joined = source.select("doc_id", "text", "tag").join(marks, ["doc_id", "tag"], "left").select("doc_id", "text", "whole", "starts")
