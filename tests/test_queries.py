@@ -22,7 +22,7 @@ def rows(df: pd.DataFrame):
     def show(v):
         if v is None or v is pd.NaT or isinstance(v, float) and v != v:
             return "null"
-        return repr(float(v)) if isinstance(v, float) else str(v)
+        return repr(float(v)) if isinstance(v, float) or isinstance(v, int) and not isinstance(v, bool) else str(v)
 
     return sorted(tuple(show(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
 
