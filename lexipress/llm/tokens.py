@@ -91,8 +91,7 @@ class ChunkEncoder:
         out = []
         for line in chunk.split("\n"):
             core = line.rstrip(MARKS)
-            last = core[-1:]
-            if len(core) < len(line) and (last.isascii() and last.isalnum() or "\xc0" <= last <= "\u024f" and last.isalpha() and last != "\u0130"):
+            if len(core) < len(line) and _ends_word(core):
                 out += (core, line[len(core) :], "\n")
             else:
                 out += (line, "\n")
@@ -105,58 +104,84 @@ class ChunkEncoder:
             (memory if len(atom) <= LONGEST else once)[atom] = ids
         return once
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not remembered; what is too long for that is returned."""
+    def _learn(self, new: set[str]) -> dict[str, bytes | None]:
+        """Ids of chunks that are not remembered; what is too long for that is returned.
+
+        A chunk that makes its text one to be encoded whole stands for None.
+        """
         chunks, bare = self.chunks, self.bare
-        single = {c for c in new if c.isalnum()}
-        split = {c: self._parts(c) for c in new if c not in single}
+        single: set[str] = set()
+        split: dict[str, list[str]] = {}
+        odd = []
+        for chunk in new:
+            if chunk.isalnum():
+                single.add(chunk)
+                continue
+            core = chunk.rstrip(MARKS)
+            if core.isalnum() and core[-1] != "\u0130":
+                split[chunk] = [core, chunk[len(core) :]]
+            elif not chunk or self.lead and _RUN.search(chunk):
+                odd.append(chunk)
+            else:
+                split[chunk] = self._parts(chunk)
         heads = {p[0] for p in split.values()} - single
         single |= chunks.recall(heads)
-        once = self._remember(chunks, list(single), self.lead)
-        rest = bare.unknown({x for p in split.values() for x in p[1:]})
-        once_bare = self._remember(bare, list(rest), "")
+        once: dict[str, bytes | None] = self._remember(chunks, list(single), self.lead)
+        once_bare = self._remember(bare, list(bare.unknown({x for p in split.values() for x in p[1:]})), "")
         for chunk, p in split.items():
             if len(p) > 1:
                 head = chunks[p[0]] if p[0] in chunks else once[p[0]]
-                tail = [bare[x] if x in bare else once_bare[x] for x in p[1:]]
-                (chunks if len(chunk) <= LONGEST else once)[chunk] = head + b"".join(tail)
+                if len(p) == 2 and p[1] in bare:
+                    ids = head + bare[p[1]]
+                else:
+                    ids = head + b"".join([bare[x] if x in bare else once_bare[x] for x in p[1:]])
+                (chunks if len(chunk) <= LONGEST else once)[chunk] = ids
+        once.update(dict.fromkeys(odd))
         return once
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with END_ID, as bytes of ``self.dtype``."""
         lead, end = self.lead, array(self.code, [END_ID]).tobytes()
-        odd = _RUN if lead else _SEPARATORS
         parts: list[list[str] | None] = []
-        whole: list[str] = []
         firsts: list[str] = []
         seen: set[str] = set()
         for text in texts:
-            if odd.search(text):
-                parts.append(None)
-                whole.append(text)
-                continue
-            words = text.split(" ") if lead else text.split()
             if lead:
+                words = text.split(" ")
                 firsts.append(words.pop(0))
+            elif _SEPARATORS.search(text):
+                words = None
+            else:
+                # As the vocabulary's own normalisation does, but for a sigma at the end of a word.
+                words = (text if "\u03a3" in text else text.lower()).split()
             parts.append(words)
-            seen.update(words)
+            if words:
+                seen.update(words)
         once = self._learn(self.chunks.unknown(seen))
         find = self.chunks.__getitem__
         if once:
             find = (lambda w: once[w] if w in once else self.chunks[w])
-        head = dict(zip(set(firsts), self._ids(list(set(firsts))), strict=True)) if firsts else {}
-        whole_ids, first = iter(self._ids(whole) if whole else ()), iter(firsts)
-        out = []
-        for p in parts:
-            if p is None:
-                out.append(next(whole_ids) + end)
-            elif lead:
-                out.append(head[next(first)] + b"".join(map(find, p)) + end)
-            else:
-                out.append(b"".join(map(find, p)) + end)
+        plain = [f for f in set(firsts) if not _RUN.search(f)]
+        head = dict(zip(plain, self._ids(plain), strict=True)) if plain else {}
+        out, whole = [], []
+        for k, p in enumerate(parts):
+            try:
+                ids = (head[firsts[k]] if lead else b"") + b"".join(map(find, p)) + end
+            except (KeyError, TypeError):  # an odd beginning or chunk
+                ids = b""
+                whole.append(k)
+            out.append(ids)
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole]) if whole else (), strict=True):
+            out[k] = ids + end
         return out
 
 
+def _ends_word(core: str) -> bool:
+    """Whether marks after ``core`` are a piece of their own: it ends in a letter or digit whose lower case does too."""
+    last = core[-1:]
+    return last.isascii() and last.isalnum() or "\xc0" <= last <= "\u024f" and last.isalpha() and last != "\u0130"
+
+
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
