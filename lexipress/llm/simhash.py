@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -153,11 +154,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataF
     alone = common.materialise(ranked.groupBy("fp").agg(F.min(rank).alias("rank")), "folded")
     found = common.materialise(components(links(alone.select("fp"))), "components").withColumnRenamed("node", "fp")
     first = alone.join(found, "fp", "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("rank").alias("rank"))
-    kept = common.materialise(first.select(F.col("rank.doc_id").alias("_id"), F.col("rank.digest").alias("_digest")), "kept")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
-    chosen = docs.join(kept, same, "left_semi")
-    # Only rows that repeat a doc_id and a text are more than one now; each such key is a few rows.
-    return chosen.dropDuplicates(["doc_id", "text"])
+    key = lambda doc_id, digest: F.xxhash64(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), digest)
+    kept = common.materialise(first.select(key(F.col("rank.doc_id"), F.col("rank.digest")).alias("_key"), F.col("rank.doc_id").alias("_id"), F.col("rank.digest").alias("_digest")), "kept")
+    keyed = docs.withColumn("_text_digest", F.xxhash64(F.col("text").cast("string"))).withColumn("_key", key(F.col("doc_id").cast("long"), F.col("_text_digest")))
+    # One shuffle of the texts, by key: the window below finds them dealt that way.
+    chosen = keyed.join(kept.select("_key", "_digest"), "_key").where("(_text_digest ^ _digest) = 0")
+    again = F.row_number().over(W.partitionBy("_key", "doc_id", "_text_digest").orderBy(F.lit(1)))
+    return chosen.withColumn("_again", again).where("_again = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
