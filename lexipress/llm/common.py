@@ -106,6 +106,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` does not have, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    return [name for name in (f"_lexi_{k}" for k in range(len(taken) + n)) if name not in taken][:n]
+
+
 def text_values(column: pa.Array) -> list[str]:
     """Python strings of a column; a null text counts as empty."""
     return [x if x is not None else "" for x in column.to_pylist()]

@@ -190,8 +190,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that overlap with a benchmark item; all columns are kept."""
-    found = common.materialise(overlaps(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "contaminated")
-    return docs.join(found, (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest")), "left_anti")
+    one, two = common.free_names(docs, 2)
+    found = common.materialise(overlaps(docs, benchmark).select(F.col("doc_id").alias(one), F.col("digest").alias(two)).distinct(), "contaminated")
+    return docs.join(found, (F.col("doc_id").cast("long").eqNullSafe(F.col(one))) & (F.xxhash64(F.col("text").cast("string")) == F.col(two)), "left_anti")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

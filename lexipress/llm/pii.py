@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from . import common
 
@@ -471,7 +472,7 @@ def redact_texts(docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(trained())
     names = [c for c in docs.columns if c != "text"]
     moved = docs.select(*(F.col(f"`{c}`") for c in names), F.col("text").cast("string").alias("text"))
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in moved.schema.fields)
+    spec = StructType([StructField(f.name, f.dataType, True) for f in moved.schema.fields])
     done = moved.mapInArrow(_redact(model), spec)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

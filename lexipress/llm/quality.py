@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import common, textkernel
 
@@ -154,27 +155,35 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
     return Model(counts, label, share, neighbours, dimensions)
 
 
-def _score(model):
+def _score(model, name):
     def run(batches):
         m = model.value
         for batch in batches:
-            scores = [m.scores(features(batch.column("text").slice(k, _ROWS))) for k in range(0, batch.num_rows, _ROWS)]
+            texts = batch.column("text").cast(pa.string())
+            scores = [m.scores(features(texts.slice(k, _ROWS))) for k in range(0, batch.num_rows, _ROWS)]
             if scores:
                 rest = [batch.column(i) for i in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(np.concatenate(scores))], names=[*batch.schema.names, "quality_score"])
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(np.concatenate(scores))], names=[*batch.schema.names, name])
 
     return run
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with quality_score (0 to 1) of every whole text; a null text scores as an empty one.
+def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """``docs`` with a column of scores (0 to 1) of every whole text; a null text scores as an empty one.
 
-    All columns are kept; repeated rows are scored each.
+    All columns are kept, whatever their names (``name`` must be new); repeated rows are
+    scored each.
     """
     common.small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_score(held), f"{spec}, quality_score double")
+    fields = [StructField(f.name, f.dataType, True) for f in docs.schema.fields]
+    return docs.mapInArrow(_score(held, name), StructType([*fields, StructField(name, DoubleType(), True)]))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` whose score reaches the threshold; all columns are kept."""
+    (name,) = common.free_names(docs, 1)
+    return score(docs, model, name).where(F.col(name) >= threshold).drop(name)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ fingerprints share such a value exactly when they differ in at most two bits.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, textkernel
 from .components import components
 
 SHINGLE = 3
@@ -77,18 +78,6 @@ def _fingerprints(shingle: int, seed: int):
     return run
 
 
-_RANKED = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("fp", pa.int64())])
-
-
-def _ranked_fingerprints(shingle: int, seed: int):
-    def run(batches):
-        for batch in batches:
-            fps = [_signed(fingerprint(t, shingle, seed)) for t in common.text_values(batch.column("text"))]
-            yield common.batch_of(_RANKED, (batch.column("doc_id"), batch.column("digest"), fps))
-
-    return run
-
-
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
     common.small_batches(docs.sparkSession)
@@ -139,28 +128,156 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
     return fps.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+# Groups by similarity: long fingerprints
+
+#: 64-bit words of a long fingerprint.
+WORDS = 28
+BITS = WORDS * 64
+#: Words of the fingerprint that go with each block, for a first look at a pair.
+LOOK = 2
+#: Least bits of a block; more documents take longer ones, so that few meet by chance.
+BLOCK_BITS = 18
+#: Members of one part of a crowded bucket.
+PART = 1024
+_U = np.uint64
+_STEPS = (np.arange(1, WORDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)).reshape(1, -1)
+_ROWS = 64
+_LONG = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("fp", pa.list_(pa.int64()))])
+_LONG_SPEC = "doc_id long, digest long, fp array<long>"
+
+
+def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """WORDS unsigned words: a bit is set if it is in over half of the shingles; no shingles: zeros."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for k in range(0, len(hashes), 255 * 4):
+        drawn = textkernel.mix(hashes[k : k + 255 * 4, None] + _STEPS)
+        bits = np.unpackbits(drawn.view(np.uint8), axis=1, bitorder="little")
+        full = len(bits) // 255 * 255
+        if full:  # sums of 255 bits fit a byte
+            ones += np.add.reduce(bits[:full].reshape(-1, 255, BITS), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        ones += np.add.reduce(bits[full:], axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(_U)
+
+
+def farthest(similarity: float) -> int:
+    """Most differing bits of long fingerprints whose shingles are as similar (Jaccard), and one standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(BITS * share + math.sqrt(BITS * share * (1 - share)))
+
+
+def _long_fingerprints(shingle: int):
+    def run(batches):
+        for whole in batches:
+            for k in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(k, _ROWS)
+                (h,), ends = textkernel.words(batch.column("text"), textkernel.SPACED_LOWER)
+                fps = []
+                for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    size = min(shingle, b - a)  # fewer words are one shingle
+                    fps.append(long_fingerprint(textkernel.windows(h[a:b], size, size) if size else h[:0]).view(np.int64))
+                yield common.batch_of(_LONG, (batch.column("doc_id"), batch.column("digest"), fps))
+
+    return run
+
+
+def _blocks(bits: int):
+    """Column: struct<t, key> of each block of ``bits`` bits of the fingerprint."""
+    mask = F.lit((1 << bits) - 1)
+    out = []
+    for t in range(BITS // bits):
+        word, shift = divmod(t * bits, 64)
+        key = F.shiftrightunsigned(F.get("fp", F.lit(word)), shift)
+        if shift + bits > 64:
+            key = key.bitwiseOR(F.shiftleft(F.get("fp", F.lit(word + 1)), 64 - shift))
+        out.append(F.struct(F.lit(t).alias("t"), key.bitwiseAND(mask).alias("key")))
+    return F.array(*out)
+
+
+def _distance(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+
+
+def _crowd(most: int):
+    def run(rows: pa.Table) -> pa.Table:
+        """Each member of two parts with the least one that links lead to; a task holds a square of bits."""
+        nodes = rows.column("node").to_numpy()
+        fps = rows.column("fp").combine_chunks().flatten().to_numpy().reshape(-1, WORDS).view(_U)
+        order = np.argsort(nodes, kind="stable")
+        nodes, fps = nodes[order], fps[order]
+        near = np.empty((len(nodes), len(nodes)), dtype=bool)
+        for k in range(0, len(nodes), 64):
+            apart = np.zeros((len(fps[k : k + 64]), len(fps)), dtype=np.int64)
+            for w in range(WORDS):
+                apart += np.bitwise_count(fps[k : k + 64, w, None] ^ fps[None, :, w])
+            near[k : k + 64] = apart <= most
+        least = np.arange(len(nodes))
+        while True:
+            after = np.array([least[row].min() for row in near])
+            after = np.minimum(after, after[after])
+            if (after == least).all():
+                break
+            least = after
+        linked = least != np.arange(len(nodes))
+        return pa.table({"a": nodes[linked], "b": nodes[least[linked]]})
+
+    return run
+
+
+def similar_links(fps: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """Edges (a, b) between fingerprints of at least the similarity; fps: node, fp (different ones).
+
+    A fingerprint is cut into some hundred blocks; two that are similar share one of them
+    but for a chance of under a hundredth at a similarity of 0.8, and of next to nothing
+    from 0.9 on.  A block has as many bits as tell the fingerprints apart.  Pairs of small
+    buckets are looked at by two words first and then verified by all.  Buckets of more
+    than PAIRED are compared whole, in parts of bounded size, and give edges, not pairs.
+    """
+    most = farthest(similarity)
+    n = fps.count()
+    bits = max(BLOCK_BITS, min(32, int(n).bit_length()))
+    keyed = fps.select("node", F.get("fp", F.lit(0)).alias("w0"), F.get("fp", F.lit(1)).alias("w1"), F.explode(_blocks(bits)).alias("x")).select("node", "w0", "w1", "x.t", "x.key")
+    crowded = common.materialise(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > PAIRED), "crowded")
+    few = keyed.join(crowded.select("t", "key"), ["t", "key"], "left_anti").groupBy("t", "key").agg(F.collect_list(F.struct("node", "w0", "w1")).alias("all")).where(F.size("all") > 1)
+    # Two words of a pair at the limit differ in so many bits and three standard deviations at most.
+    near = LOOK * 64 * most / BITS
+    seen = int(near + 3 * math.sqrt(near))
+    close = F.filter("all", lambda x: (x["node"] > F.col("one.node")) & (F.bit_count(x["w0"].bitwiseXOR(F.col("one.w0"))) + F.bit_count(x["w1"].bitwiseXOR(F.col("one.w1"))) <= seen))
+    pairs = few.select("all", F.explode("all").alias("one")).select(F.col("one.node").alias("a"), F.explode(close).alias("o")).select("a", F.col("o.node").alias("b")).distinct()
+    pairs = pairs.join(fps.select(F.col("node").alias("a"), F.col("fp").alias("fa")), "a").join(fps.select(F.col("node").alias("b"), F.col("fp").alias("fb")), "b")
+    pairs = pairs.where(_distance("fa", "fb") <= most).select("a", "b")
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    member = keyed.select("node", "t", "key").join(crowded, ["t", "key"]).select("node", "t", "key", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
+    # Every two parts of a bucket meet once.
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("node", "t", "key", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    dense = member.join(fps.select("node", "fp"), "node").groupBy("t", "key", "i", "j").applyInArrow(_crowd(most), "a long, b long").distinct()
+    return pairs.union(dense)
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
 
-    Null doc_ids come last; of rows that share a doc_id the one of the smallest text
-    digest stays, and of rows equal in both one.  All columns are kept.
+    Groups are the components over documents whose shingles of ``shingle`` words are at
+    least as similar as ``similarity`` by their long fingerprints; texts without words are
+    one group.  Null doc_ids come last; of rows that share a doc_id the one of the smallest
+    text digest stays, and of rows equal in both one.  All columns are kept.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("digest", F.xxhash64("text"))
-    ranked = source.mapInArrow(_ranked_fingerprints(shingle, seed), "doc_id long, digest long, fp long")
+    ranked = source.mapInArrow(_long_fingerprints(shingle), _LONG_SPEC)
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
-    alone = common.materialise(ranked.groupBy("fp").agg(F.min(rank).alias("rank")), "folded")
-    found = common.materialise(components(links(alone.select("fp"))), "components").withColumnRenamed("node", "fp")
-    first = alone.join(found, "fp", "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("rank").alias("rank"))
+    alone = common.materialise(ranked.groupBy("fp").agg(F.min(rank).alias("rank")).withColumn("node", F.xxhash64("fp")), "folded")
+    found = common.materialise(components(similar_links(alone.select("node", "fp"), similarity)), "components")
+    first = alone.select("node", "rank").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("rank").alias("rank"))
     key = lambda doc_id, digest: F.xxhash64(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), digest)
-    kept = common.materialise(first.select(key(F.col("rank.doc_id"), F.col("rank.digest")).alias("_key"), F.col("rank.doc_id").alias("_id"), F.col("rank.digest").alias("_digest")), "kept")
-    keyed = docs.withColumn("_text_digest", F.xxhash64(F.col("text").cast("string"))).withColumn("_key", key(F.col("doc_id").cast("long"), F.col("_text_digest")))
+    kept = common.materialise(first.select(key(F.col("rank.doc_id"), F.col("rank.digest")).alias("_key"), F.col("rank.digest").alias("_digest")), "kept")
+    k, d, again, kd = common.free_names(docs, 4)
+    keyed = docs.withColumn(d, F.xxhash64(F.col("text").cast("string"))).withColumn(k, key(F.col("doc_id").cast("long"), F.col(d)))
     # One shuffle of the texts, by key: the window below finds them dealt that way.
-    chosen = keyed.join(kept.select("_key", "_digest"), "_key").where("(_text_digest ^ _digest) = 0")
-    again = F.row_number().over(W.partitionBy("_key", "doc_id", "_text_digest").orderBy(F.lit(1)))
-    return chosen.withColumn("_again", again).where("_again = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = keyed.join(kept.select(F.col("_key").alias(k), F.col("_digest").alias(kd)), k).where(F.col(d).bitwiseXOR(F.col(kd)) == 0)
+    count = F.row_number().over(W.partitionBy(k, "doc_id", d).orderBy(F.lit(1)))
+    return chosen.withColumn(again, count).where(F.col(again) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

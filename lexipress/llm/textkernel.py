@@ -33,6 +33,8 @@ def _table(word_bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
 
 #: Everything but ASCII white space, as in ``[^\x20\x09-\x0D]+``.
 SPACED = _table([b for b in range(256) if b != 0x20 and not 0x09 <= b <= 0x0D], lower=False)
+#: The same with A-Z in lower case.
+SPACED_LOWER = (SPACED[0], _table([], lower=True)[1])
 #: Letters, digits and all beyond ASCII, A-Z in lower case.
 ALNUM = _table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)], lower=True)
 

@@ -223,6 +223,46 @@ def test_keep_one(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == docs.columns and None not in ids and ids.count(7) == 1
     assert {i for i in ids if i not in (5, 7)} <= {i for i, c in found.items() if i == c}
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_similar_groups(spark):
+    r = random.Random(8)
+
+    def changed(text, share):
+        w = text.split()
+        for k in r.sample(range(len(w)), int(len(w) * share)):
+            w[k] = f"new{r.randrange(10**6)}"
+        return " ".join(w)
+
+    rows = []
+    for g in range(12):  # groups of a text, near copies and a far one
+        base = words(400, 900 + g, 5000)
+        rows += [(g * 10, base), (g * 10 + 1, changed(base, 0.005)), (g * 10 + 2, changed(base, 0.01)), (g * 10 + 3, base.upper()), (g * 10 + 5, changed(base, 0.15))]
+    crowd = words(500, 77, 5000)
+    rows += [(1000 + k, changed(crowd, 0.008)) for k in range(150)] + [(2000 + k, crowd) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    kept = sorted(x["doc_id"] for x in simhash.keep_one(docs).collect())
+    assert kept == sorted([g * 10 + k for g in range(12) for k in (0, 5)] + [1000])
+    small = simhash.PART
+    try:
+        simhash.PART = 40  # crowded buckets in several parts
+        assert sorted(x["doc_id"] for x in simhash.keep_one(docs).collect()) == kept
+    finally:
+        simhash.PART = small
+
+
+def test_pipeline_stages_take_hostile_rows(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    docs = documents(spark)
+    for column in ("_key", "_digest", "_id", "quality_score", "_lexi_0", "_again", "rank", "node", "digest", "item_id"):
+        docs = docs.withColumn(column, docs["lang"])
+    for _, stage in pipeline.STAGES[:-1]:
+        made = stage(spark, docs, sf_dir)
+        assert made.columns == docs.columns and made.count() <= docs.count()
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    assert pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= docs.count()
 
 
 def test_pipeline(spark, sf_dir):
