@@ -10,9 +10,9 @@ int64 (documents, values, control bytes, data bytes, crc32 of the rest, 0, 0), t
 doc_ids (int64), flags (uint8, 1: the doc_id is null), values a document (int64),
 control bytes and data bytes.  ``codebook.bin`` holds the ids in rank order.
 
-Two passes over the texts: tokenise once into compressed id blobs (written to the
-shared folder, since tokenising is the dearest step) and count ids over all
-documents; then order the blobs by doc_id with a range shuffle and write shards.
+The texts are read once: each partition is tokenised into compressed id blobs and the
+counts of all its ids (written to the shared folder, since tokenising is the dearest
+step); then the blobs are ordered by doc_id with a range shuffle and shards are written.
 A shard is written under a name of its own and renamed, so a repeated or lost task
 leaves either the whole file or none.  The driver sees one manifest row a shard.
 """
@@ -104,35 +104,36 @@ def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray]]:
             yield (None if is_null else doc), values[start:end]
 
 
-_BLOBS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+#: A document's ids; or, with is_count, the counts of all ids of a partition, as int64 by id.
+_BLOBS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 _COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 _MANIFEST = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 _DECODED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _tokenise(path: str, lead: bool):
+def _tokenise(path: str, lead: bool, size: int):
     def run(batches):
         enc, z = encoder(path, lead), zstandard.ZstdCompressor(level=1)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             texts = common.text_values(batch.column("text"))
             for k in range(0, len(texts), 1000):
                 blobs = enc.encode_bytes(texts[k : k + 1000])
                 ids = batch.column("doc_id").slice(k, len(blobs))
-                yield common.batch_of(_BLOBS, (ids, [len(b) // enc.dtype.itemsize for b in blobs], [z.compress(b) for b in blobs]))
+                total += np.bincount(np.frombuffer(b"".join(blobs), dtype=enc.dtype), minlength=size)
+                yield common.batch_of(_BLOBS, ([False] * len(blobs), ids, [len(b) // enc.dtype.itemsize for b in blobs], [z.compress(b) for b in blobs]))
+        yield common.batch_of(_BLOBS, ([True], [None], [0], [z.compress(total.tobytes())]))
 
     return run
 
 
-def _count(dtype: str, size: int):
-    def run(batches):
-        total, z = np.zeros(size, dtype=np.int64), zstandard.ZstdDecompressor()
-        for batch in batches:
-            for blob in batch.column("ids"):
-                total += np.bincount(np.frombuffer(z.decompress(blob.as_py()), dtype=dtype), minlength=size)
-        at = np.flatnonzero(total)
-        yield common.batch_of(_COUNTS, (at, total[at]))
-
-    return run
+def _add_counts(batches):
+    total, z = 0, zstandard.ZstdDecompressor()
+    for batch in batches:
+        for blob in batch.column("ids"):
+            total = total + np.frombuffer(z.decompress(blob.as_py()), dtype=np.int64)
+    at = np.flatnonzero(total)
+    yield common.batch_of(_COUNTS, (at, total[at] if len(at) else at))
 
 
 def _write(uri: str, dtype: str, ranks):
@@ -202,13 +203,14 @@ def write_token_shards(docs: DataFrame, vocab: str | None = None, lead: bool = T
     path = vocab or vocabulary()
     dtype, size = _vocabulary_shape(path, lead)
     shards = shards or common.shuffle_partitions(spark)
-    spec = "doc_id long, n_tokens long, ids binary"
+    spec = "is_count boolean, doc_id long, n_tokens long, ids binary"
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     uri = common.scratch(spark, "token-blobs")
-    made.mapInArrow(_tokenise(path, lead), spec).write.option("compression", "none").parquet(uri)
-    blobs = spark.read.schema(spec).parquet(uri)
+    made.mapInArrow(_tokenise(path, lead, size), spec).write.option("compression", "none").parquet(uri)
+    written = spark.read.schema(spec).parquet(uri)
+    blobs = written.where("not is_count").select("doc_id", "n_tokens", "ids")
 
-    counted = blobs.mapInArrow(_count(dtype, size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = written.where("is_count").select("ids").mapInArrow(_add_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # One row for each id of the vocabulary at most: bounded by the vocabulary, not by the corpus.
     rows = counted.orderBy(F.desc("n"), "id").collect()
     order = np.array([r["id"] for r in rows], dtype="<u4")
