@@ -14,8 +14,6 @@ import gc
 import os
 import re
 from array import array
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 
@@ -47,13 +45,15 @@ class _Memory(dict):
         super().__init__()
         self.older: dict = {}
 
-    def shrink(self) -> None:
+    def unknown(self, keys: set) -> set:
+        """Which keys are not remembered; the others can be looked up until the next call."""
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
+        return self.recall(keys)
 
     def recall(self, keys: set) -> set:
-        """Which keys are not remembered; the others can be looked up until the next ``shrink``."""
+        """As ``unknown``, without forgetting anything."""
         out, older = keys.difference(self), self.older
         if older:
             known = [k for k in out if k in older]
@@ -110,7 +110,6 @@ class ChunkEncoder:
         A chunk that makes its text one to be encoded whole stands for None.
         """
         chunks, bare = self.chunks, self.bare
-        bare.shrink()
         single: set[str] = set()
         split: dict[str, list[str]] = {}
         odd = []
@@ -128,7 +127,7 @@ class ChunkEncoder:
         heads = {p[0] for p in split.values()} - single
         single |= chunks.recall(heads)
         once: dict[str, bytes | None] = self._remember(chunks, list(single), self.lead)
-        once_bare = self._remember(bare, list(bare.recall({x for p in split.values() for x in p[1:]})), "")
+        once_bare = self._remember(bare, list(bare.unknown({x for p in split.values() for x in p[1:]})), "")
         for chunk, p in split.items():
             if len(p) > 1:
                 head = chunks[p[0]] if p[0] in chunks else once[p[0]]
@@ -142,42 +141,36 @@ class ChunkEncoder:
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with END_ID, as bytes of ``self.dtype``."""
-        lead, end, chunks = self.lead, array(self.code, [END_ID]).tobytes(), self.chunks
-        chunks.shrink()
+        lead, end = self.lead, array(self.code, [END_ID]).tobytes()
+        parts: list[list[str] | None] = []
         firsts: list[str] = []
-        every: list[tuple[list[str], list[bytes | None]] | None] = []
-        missing: set[str] = set()
+        seen: set[str] = set()
         for text in texts:
             if lead:
                 words = text.split(" ")
                 firsts.append(words.pop(0))
             elif _SEPARATORS.search(text):
-                every.append(None)
-                continue
+                words = None
             else:
                 # As the vocabulary's own normalisation does, but for a sigma at the end of a word.
                 words = (text if "\u03a3" in text else text.lower()).split()
-            found = list(map(chunks.get, words))
-            missing.update(compress(words, map(is_, found, repeat(None))))
-            every.append((words, found))
-        once = self._learn(chunks.recall(missing))
+            parts.append(words)
+            if words:
+                seen.update(words)
+        once = self._learn(self.chunks.unknown(seen))
+        find = self.chunks.__getitem__
+        if once:
+            find = (lambda w: once[w] if w in once else self.chunks[w])
         plain = [f for f in set(firsts) if not _RUN.search(f)]
         head = dict(zip(plain, self._ids(plain), strict=True)) if plain else {}
         out, whole = [], []
-        for k, pair in enumerate(every):
-            start = head.get(firsts[k]) if lead else b""
-            if pair is None or start is None:  # an odd beginning
-                found = [None]
-            else:
-                words, found = pair
-                for i in list(compress(range(len(found)), map(is_, found, repeat(None)))):
-                    w = words[i]
-                    found[i] = chunks[w] if w in chunks else once[w]
-            if None in found:  # an odd chunk
+        for k, p in enumerate(parts):
+            try:
+                ids = (head[firsts[k]] if lead else b"") + b"".join(map(find, p)) + end
+            except (KeyError, TypeError):  # an odd beginning or chunk
+                ids = b""
                 whole.append(k)
-                out.append(b"")
-            else:
-                out.append(start + b"".join(found) + end)
+            out.append(ids)
         for k, ids in zip(whole, self._ids([texts[k] for k in whole]) if whole else (), strict=True):
             out[k] = ids + end
         return out
