@@ -131,12 +131,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
 # Groups by similarity: long fingerprints
 
 #: 64-bit words of a long fingerprint.
-WORDS = 28
+WORDS = 36
 BITS = WORDS * 64
 #: Words of the fingerprint that go with each block, for a first look at a pair.
 LOOK = 2
-#: Least bits of a block; more documents take longer ones, so that few meet by chance.
-BLOCK_BITS = 18
+#: A block has so many bits more than it takes to number the fingerprints: in any block a
+#: fingerprint meets a quarter of one by chance, however many there are.
+SPARE_BITS = 2
+#: Largest bucket of blocks of long fingerprints whose members are compared pair by pair.
+FEW = 4
 #: Members of one part of a crowded bucket.
 PART = 1024
 _U = np.uint64
@@ -230,13 +233,13 @@ def similar_links(fps: DataFrame, similarity: float = 0.8) -> DataFrame:
     but for a chance of under a hundredth at a similarity of 0.8, and of next to nothing
     from 0.9 on.  A block has as many bits as tell the fingerprints apart.  Pairs of small
     buckets are looked at by two words first and then verified by all.  Buckets of more
-    than PAIRED are compared whole, in parts of bounded size, and give edges, not pairs.
+    than FEW are compared whole, in parts of bounded size, and give edges, not pairs.
     """
     most = farthest(similarity)
     n = fps.count()
-    bits = max(BLOCK_BITS, min(32, int(n).bit_length()))
+    bits = min(32, int(n).bit_length() + SPARE_BITS)
     keyed = fps.select("node", F.get("fp", F.lit(0)).alias("w0"), F.get("fp", F.lit(1)).alias("w1"), F.explode(_blocks(bits)).alias("x")).select("node", "w0", "w1", "x.t", "x.key")
-    crowded = common.materialise(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > PAIRED), "crowded")
+    crowded = common.materialise(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > FEW), "crowded")
     few = keyed.join(crowded.select("t", "key"), ["t", "key"], "left_anti").groupBy("t", "key").agg(F.collect_list(F.struct("node", "w0", "w1")).alias("all")).where(F.size("all") > 1)
     # Two words of a pair at the limit differ in so many bits and three standard deviations at most.
     near = LOOK * 64 * most / BITS
