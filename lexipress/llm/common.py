@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -106,6 +107,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def leave_memory() -> None:
+    """Forget the chunks that a tokenising stage left in this Python worker; stages that need memory call it first."""
+    if tokens := sys.modules.get(f"{__package__}.tokens"):
+        tokens.forget()
+
+
 def free_names(df: DataFrame, n: int) -> list[str]:
     """Column names that ``df`` does not have, whatever their case."""
     taken = {c.lower() for c in df.columns}

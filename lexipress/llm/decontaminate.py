@@ -77,6 +77,7 @@ def _item_seeds(batches):
 
 def _regions(masks: list[tuple[int, ...]], shared):
     def run(batches):
+        common.leave_memory()
         bitmap = shared.value
         bits = _U(len(bitmap) * 64 - 1)
 

@@ -456,6 +456,7 @@ def redact(text: str, field: Field) -> str:
 
 def _redact(model):
     def run(batches):
+        common.leave_memory()
         field = model.value
         for batch in batches:
             texts = [t if t is None else redact(t, field) for t in batch.column("text").to_pylist()]

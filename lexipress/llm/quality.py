@@ -157,6 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
 
 def _score(model, name):
     def run(batches):
+        common.leave_memory()
         m = model.value
         for batch in batches:
             texts = batch.column("text").cast(pa.string())

@@ -131,7 +131,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
 # Groups by similarity: long fingerprints
 
 #: 64-bit words of a long fingerprint.
-WORDS = 36
+WORDS = 26
 BITS = WORDS * 64
 #: Words of the fingerprint that go with each block, for a first look at a pair.
 LOOK = 2
@@ -170,6 +170,7 @@ def farthest(similarity: float) -> int:
 
 def _long_fingerprints(shingle: int):
     def run(batches):
+        common.leave_memory()
         for whole in batches:
             for k in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(k, _ROWS)

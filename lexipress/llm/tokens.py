@@ -192,3 +192,8 @@ def encoder(path: str, lead: bool) -> ChunkEncoder:
         gc.set_threshold(200_000, 20, 100)  # millions of strings are remembered; none is part of a cycle
         _ENCODERS[path, lead] = ChunkEncoder(path, lead)
     return _ENCODERS[path, lead]
+
+
+def forget() -> None:
+    """Drop all encoders and what they remember."""
+    _ENCODERS.clear()
