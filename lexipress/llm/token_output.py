@@ -69,8 +69,8 @@ def unpack_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return words & MASKS[lengths]
 
 
-def _write_block(out, ids: list[int | None], arrays: list[np.ndarray]) -> int:
-    values = np.concatenate(arrays) if arrays else np.zeros(0, dtype="<u4")
+def _write_block(out, ids: list[int | None], arrays: list[np.ndarray], rank_of: np.ndarray) -> int:
+    values = rank_of[np.concatenate(arrays)]
     control, data = pack_values(values)
     body = b"".join(
         (
@@ -85,8 +85,8 @@ def _write_block(out, ids: list[int | None], arrays: list[np.ndarray]) -> int:
     return len(values)
 
 
-def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ranks) of each document of a shard, block by block."""
+def read_blocks(stream, ids_of: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of each document of a shard, block by block; ids_of: the id of each rank."""
     if stream.read(len(MAGIC)) != MAGIC:
         raise ValueError("not a token shard")
     while head := stream.read(_HEAD.size):
@@ -98,7 +98,7 @@ def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray]]:
         null = np.frombuffer(body, np.uint8, docs, docs * 8).tolist()
         sizes = np.frombuffer(body, "<i8", docs, docs * 9)
         at = docs * 17
-        values = unpack_values(body[at : at + n_control], body[at + n_control :], n)
+        values = ids_of[unpack_values(body[at : at + n_control], body[at + n_control :], n)]
         ends = np.cumsum(sizes)
         for doc, is_null, start, end in zip(ids, null, (ends - sizes).tolist(), ends.tolist(), strict=True):
             yield (None if is_null else doc), values[start:end]
@@ -149,15 +149,15 @@ def _write(uri: str, dtype: str, ranks):
             out.write(MAGIC)
             for batch in batches:
                 for doc, blob in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                    values = rank_of[np.frombuffer(z.decompress(blob.as_py()), dtype=dtype)]
+                    values = np.frombuffer(z.decompress(blob.as_py()), dtype=dtype)
                     docs.append(doc)
                     arrays.append(values)
                     n_docs, held = n_docs + 1, held + len(values)
                     if held >= BLOCK_VALUES:
-                        n_tokens += _write_block(out, docs, arrays)
+                        n_tokens += _write_block(out, docs, arrays, rank_of)
                         docs, arrays, held = [], [], 0
             if docs:
-                n_tokens += _write_block(out, docs, arrays)
+                n_tokens += _write_block(out, docs, arrays, rank_of)
         fs.move(made, final)
         if n_docs:
             yield common.batch_of(_MANIFEST, ([shard], [f"{uri}/{os.path.basename(final)}"], [n_docs], [n_tokens]))
@@ -177,9 +177,8 @@ def _read(codebook: str):
                 fs, at = common.open_fs(path)
                 rows: list[tuple] = []
                 with fs.open_input_stream(at, compression=None) as stream:
-                    for doc, ranks in read_blocks(stream):
-                        ids = ids_of[ranks]
-                        rows.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+                    for doc, ids in read_blocks(stream, ids_of):
+                        rows.append((doc, start, len(ids), zlib.crc32(ids)))
                         start += len(ids)
                         if len(rows) >= 4096:
                             yield common.batch_of(_DECODED, zip(*rows, strict=True))
