@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from . import common, textkernel
 from .components import components
+from .substring_dedup import _bitmap
 
 SHINGLE = 3
 SEED = 42
@@ -128,151 +129,210 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
     return fps.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-# Groups by similarity: long fingerprints
+# Groups by similarity: shingle sets, exactly compared
 
-#: 64-bit words of a long fingerprint.
-WORDS = 26
-BITS = WORDS * 64
-#: Words of the fingerprint that go with each block, for a first look at a pair.
-LOOK = 2
-#: A block has so many bits more than it takes to number the fingerprints: in any block a
-#: fingerprint meets a quarter of one by chance, however many there are.
-SPARE_BITS = 2
-#: Largest bucket of blocks of long fingerprints whose members are compared pair by pair.
-FEW = 4
-#: Members of one part of a crowded bucket.
+#: Largest bucket of a shingle whose members are paired off at once.
+FEW = 8
+#: Members of one part of a crowded bucket, and pairs of one document that a task compares.
 PART = 1024
+#: Leaders that a crowded group is compared with first.
+LEADERS = 4
+#: Documents (about) whose shingles are counted to tell common ones, how often a common one
+#: is among them, and most of them that are kept.
+SAMPLE = 10_000
+OFTEN = 4
+COMMON = 1 << 16
 _U = np.uint64
-_STEPS = (np.arange(1, WORDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)).reshape(1, -1)
-_ROWS = 64
-_LONG = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("fp", pa.list_(pa.int64()))])
-_LONG_SPEC = "doc_id long, digest long, fp array<long>"
-
-
-def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """WORDS unsigned words: a bit is set if it is in over half of the shingles; no shingles: zeros."""
-    ones = np.zeros(BITS, dtype=np.int64)
-    for k in range(0, len(hashes), 255 * 4):
-        drawn = textkernel.mix(hashes[k : k + 255 * 4, None] + _STEPS)
-        bits = np.unpackbits(drawn.view(np.uint8), axis=1, bitorder="little")
-        full = len(bits) // 255 * 255
-        if full:  # sums of 255 bits fit a byte
-            ones += np.add.reduce(bits[:full].reshape(-1, 255, BITS), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
-        ones += np.add.reduce(bits[full:], axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view(_U)
+_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("node", pa.int64()), ("alike", pa.int64()), ("size", pa.int32()), ("firsts", pa.list_(pa.int64()))])
+_SETS_SPEC = "doc_id long, digest long, node long, alike long, size int, firsts array<long>"
+_WHOLE = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+#: Logarithm of the bits of the bitmap that lets through the documents of candidate pairs.
+PASS_BITS = 25
+
+
+def _sets(column: pa.Array, shingle: int):
+    """Different shingles of each text, as ascending hashes, and their counts; fewer words are one shingle, no words none."""
+    (h,), ends = textkernel.words(column, textkernel.SPACED_LOWER)
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        size = min(shingle, b - a)
+        yield np.unique(textkernel.windows(h[a:b], size, size) if size else h[:0], return_counts=True)
 
 
-def farthest(similarity: float) -> int:
-    """Most differing bits of long fingerprints whose shingles are as similar (Jaccard), and one standard deviation."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(BITS * share + math.sqrt(BITS * share * (1 - share)))
+def _node(h: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(h.tobytes(), SEED))
 
 
-def _long_fingerprints(shingle: int):
+def _shingle_sets(shingle: int, similarity: float, known: np.ndarray, often: np.ndarray):
+    """First shingles of each set, as many as it can lack in one as similar, and one, in one order over all documents.
+
+    Shingles that are not known to be common come first, the commonest last.
+    """
+
     def run(batches):
         common.leave_memory()
-        for whole in batches:
-            for k in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(k, _ROWS)
-                (h,), ends = textkernel.words(batch.column("text"), textkernel.SPACED_LOWER)
-                fps = []
-                for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                    size = min(shingle, b - a)  # fewer words are one shingle
-                    fps.append(long_fingerprint(textkernel.windows(h[a:b], size, size) if size else h[:0]).view(np.int64))
-                yield common.batch_of(_LONG, (batch.column("doc_id"), batch.column("digest"), fps))
+        for batch in batches:
+            nodes, alike, sizes, firsts = [], [], [], []
+            for h, counts in _sets(batch.column("text"), shingle):
+                nodes.append(_node(h))
+                most = int(np.argmax(counts)) if len(h) > 1 else 0
+                alike.append(_node(h[most : most + 1]) if len(h) > 1 and 2 * counts[most] > counts.sum() else None)
+                sizes.append(len(h))
+                few = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, often[at], 0), kind="stable")]
+                firsts.append(h[:few].view(np.int64))
+            yield common.batch_of(_SETS, (batch.column("doc_id"), batch.column("digest"), nodes, alike, sizes, firsts))
 
     return run
 
 
-def _blocks(bits: int):
-    """Column: struct<t, key> of each block of ``bits`` bits of the fingerprint."""
-    mask = F.lit((1 << bits) - 1)
-    out = []
-    for t in range(BITS // bits):
-        word, shift = divmod(t * bits, 64)
-        key = F.shiftrightunsigned(F.get("fp", F.lit(word)), shift)
-        if shift + bits > 64:
-            key = key.bitwiseOR(F.shiftleft(F.get("fp", F.lit(word + 1)), 64 - shift))
-        out.append(F.struct(F.lit(t).alias("t"), key.bitwiseAND(mask).alias("key")))
-    return F.array(*out)
+def _whole_sets(shingle: int, wanted):
+    """Whole sets of the documents whose node is in the bitmap, and of a few others."""
+
+    def run(batches):
+        common.leave_memory()
+        bitmap = wanted.value
+        bits = len(bitmap) * 64 - 1
+        for batch in batches:
+            rows = []
+            for h, _ in _sets(batch.column("text"), shingle):
+                node = _node(h)
+                bit = node & bits
+                if int(bitmap[bit >> 6]) >> (bit & 63) & 1:
+                    rows.append((node, h.view(np.int64)))
+            if rows:
+                yield common.batch_of(_WHOLE, zip(*rows, strict=True))
 
+    return run
 
-def _distance(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
 
+def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) of the commonest shingles of a sample, and how often they are in it.
 
-def _crowd(most: int):
+    They set the order of the shingles alone, so they bear on the work and not on the result.
+    """
+    share = max(1, source.count() // SAMPLE)
+
+    def run(batches):
+        for batch in batches:
+            for h, _ in _sets(batch.column("text"), shingle):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    drawn = source.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(share)) == 0)
+    found = drawn.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    h = found.column("h").to_numpy().view(_U)
+    order = np.argsort(h)
+    return h[order], found.column("n").to_numpy()[order]
+
+
+def _may_be_similar(a_size, a_pos, b_size, b_pos, similarity: float):
+    """If two sets that first meet in places a_pos and b_pos (from 0) can be as similar; columns or arrays.
+
+    Before a first meeting nothing is shared, after it the shorter rest at most.
+    """
+    rest_a, rest_b = a_size - a_pos, b_size - b_pos
+    least = F.least(rest_a, rest_b) if not isinstance(rest_a, np.ndarray) else np.minimum(rest_a, rest_b)
+    return least * (1 + similarity) >= similarity * (a_size + b_size) - 1e-6
+
+
+def _across(similarity: float):
     def run(rows: pa.Table) -> pa.Table:
-        """Each member of two parts with the least one that links lead to; a task holds a square of bits."""
-        nodes = rows.column("node").to_numpy()
-        fps = rows.column("fp").combine_chunks().flatten().to_numpy().reshape(-1, WORDS).view(_U)
-        order = np.argsort(nodes, kind="stable")
-        nodes, fps = nodes[order], fps[order]
-        near = np.empty((len(nodes), len(nodes)), dtype=bool)
-        for k in range(0, len(nodes), 64):
-            apart = np.zeros((len(fps[k : k + 64]), len(fps)), dtype=np.int64)
-            for w in range(WORDS):
-                apart += np.bitwise_count(fps[k : k + 64, w, None] ^ fps[None, :, w])
-            near[k : k + 64] = apart <= most
-        least = np.arange(len(nodes))
-        while True:
-            after = np.array([least[row].min() for row in near])
-            after = np.minimum(after, after[after])
-            if (after == least).all():
-                break
-            least = after
-        linked = least != np.arange(len(nodes))
-        return pa.table({"a": nodes[linked], "b": nodes[least[linked]]})
+        """Pairs of members of two parts that stand in different components and can be similar."""
+        node, size, pos, comp, part = (rows.column(c).to_numpy() for c in ("node", "size", "pos", "component", "part"))
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        found = []
+        for k in left:
+            ok = (comp[right] != comp[k]) & _may_be_similar(size[k : k + 1], pos[k : k + 1], size[right], pos[right], similarity)
+            if i == j:
+                ok &= node[right] > node[k]
+            met = node[right[ok]]
+            found.append((np.minimum(met, node[k]), np.maximum(met, node[k])))
+        a, b = (np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
+        return pa.table({"a": a, "b": b})
 
     return run
 
 
-def similar_links(fps: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Edges (a, b) between fingerprints of at least the similarity; fps: node, fp (different ones).
-
-    A fingerprint is cut into some hundred blocks; two that are similar share one of them
-    but for a chance of under a hundredth at a similarity of 0.8, and of next to nothing
-    from 0.9 on.  A block has as many bits as tell the fingerprints apart.  Pairs of small
-    buckets are looked at by two words first and then verified by all.  Buckets of more
-    than FEW are compared whole, in parts of bounded size, and give edges, not pairs.
+def _attached(pairs: DataFrame, sets: DataFrame, side: str, other: str, name: str) -> DataFrame:
+    """``pairs`` with the set of their ``side``; a document of many pairs is dealt over several tasks."""
+    many = pairs.groupBy(side).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = pairs.join(many, side, "left").withColumn("part", part).drop("parts")
+    each = sets.withColumnRenamed("node", side).join(many, side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    return dealt.join(each.select(side, "part", F.col("hashes").alias(name)), [side, "part"]).drop("part")
+
+
+def _verified(pairs: DataFrame, source: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are as similar (Jaccard), compared whole."""
+    pairs = common.materialise(pairs.distinct(), f"{name}-pairs")
+    nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}-nodes")
+    bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(nodes.select(F.col("node").alias("name")), PASS_BITS))
+    whole = source.select("text").mapInArrow(_whole_sets(shingle, bitmap), "node long, hashes array<long>")
+    # Copies have one set; those of a bit but of no pair go.
+    wanted = common.materialise(whole.groupBy("node").agg(F.first("hashes").alias("hashes")).join(nodes, "node", "left_semi"), f"{name}-sets")
+    both = _attached(_attached(pairs, wanted, "a", "b", "fa"), wanted, "b", "a", "fb")
+    shared = F.size(F.array_intersect("fa", "fb"))
+    return common.materialise(both.where(shared / (F.size("fa") + F.size("fb") - shared) >= similarity).select("a", "b"), name)
+
+
+def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity: float = 0.8) -> DataFrame:
+    """Edges (a, b) that join all sets of at least the similarity; sets: node, size, firsts (different ones) of the texts of ``source``.
+
+    Every component over the pairs at least as similar (Jaccard of the whole sets) is one
+    over these edges and the other way round; every edge is such a pair.  Two such sets
+    share a shingle among the first of each: as many as a set can lack in the other, and
+    one.  Sets that share one are paired off in small buckets.  Members of a crowded bucket
+    are compared with a leader first; pairs are made of members that are in different
+    components then, for only these can change one.
     """
-    most = farthest(similarity)
-    n = fps.count()
-    bits = min(32, int(n).bit_length() + SPARE_BITS)
-    keyed = fps.select("node", F.get("fp", F.lit(0)).alias("w0"), F.get("fp", F.lit(1)).alias("w1"), F.explode(_blocks(bits)).alias("x")).select("node", "w0", "w1", "x.t", "x.key")
-    crowded = common.materialise(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > FEW), "crowded")
-    few = keyed.join(crowded.select("t", "key"), ["t", "key"], "left_anti").groupBy("t", "key").agg(F.collect_list(F.struct("node", "w0", "w1")).alias("all")).where(F.size("all") > 1)
-    # Two words of a pair at the limit differ in so many bits and three standard deviations at most.
-    near = LOOK * 64 * most / BITS
-    seen = int(near + 3 * math.sqrt(near))
-    close = F.filter("all", lambda x: (x["node"] > F.col("one.node")) & (F.bit_count(x["w0"].bitwiseXOR(F.col("one.w0"))) + F.bit_count(x["w1"].bitwiseXOR(F.col("one.w1"))) <= seen))
-    pairs = few.select("all", F.explode("all").alias("one")).select(F.col("one.node").alias("a"), F.explode(close).alias("o")).select("a", F.col("o.node").alias("b")).distinct()
-    pairs = pairs.join(fps.select(F.col("node").alias("a"), F.col("fp").alias("fa")), "a").join(fps.select(F.col("node").alias("b"), F.col("fp").alias("fb")), "b")
-    pairs = pairs.where(_distance("fa", "fb") <= most).select("a", "b")
+    keyed = sets.where("size > 0").select("node", "size", F.posexplode("firsts").alias("pos", "key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    met = common.materialise(keyed.join(shared, "key"), "buckets")
+    fits = lambda x, y: _may_be_similar(x["size"], x["pos"], y["size"], y["pos"], similarity)
+    one = F.col("one")
+    few = met.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list(F.struct("node", "size", "pos")).alias("all"))
+    near = F.filter("all", lambda x: (x["node"] > one["node"]) & fits(x, one))
+    pairs = few.select("all", F.explode("all").alias("one")).select(one["node"].alias("a"), F.explode(near).alias("o")).select("a", F.col("o.node").alias("b"))
+    crowd = met.where(F.col("n") > FEW)
+    # Buckets of one group have few leaders between them, whatever their members.
+    leads = crowd.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.pmod("key", F.lit(LEADERS))).alias("draw"), "node", "size", "pos")).alias("one"))
+    star = crowd.join(leads, "key").where((F.col("node") != one["node"]) & _may_be_similar(F.col("size"), F.col("pos"), one["size"], one["pos"], similarity))
+    star = star.select(F.least("node", one["node"]).alias("a"), F.greatest("node", one["node"]).alias("b"))
+    first = _verified(pairs.union(star), source, shingle, similarity, "first-links")
+
+    found = common.materialise(components(first), "first-components")
+    placed = crowd.join(found, "node", "left").select("key", "n", "node", "size", "pos", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
     parts = F.ceil(F.col("n") / PART).cast("int")
-    member = keyed.select("node", "t", "key").join(crowded, ["t", "key"]).select("node", "t", "key", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
+    member = placed.join(mixed, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # Every two parts of a bucket meet once.
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("node", "t", "key", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    dense = member.join(fps.select("node", "fp"), "node").groupBy("t", "key", "i", "j").applyInArrow(_crowd(most), "a long, b long").distinct()
-    return pairs.union(dense)
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    member = member.select("key", "node", "size", "pos", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    rest = member.groupBy("key", "i", "j").applyInArrow(_across(similarity), "a long, b long")
+    return first.union(_verified(rest, source, shingle, similarity, "rest-links"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
 
-    Groups are the components over documents whose shingles of ``shingle`` words are at
-    least as similar as ``similarity`` by their long fingerprints; texts without words are
-    one group.  Null doc_ids come last; of rows that share a doc_id the one of the smallest
-    text digest stays, and of rows equal in both one.  All columns are kept.
+    Groups are the components over documents whose sets of shingles of ``shingle`` words
+    are at least as similar as ``similarity`` (Jaccard of the whole sets); a text of fewer
+    words is one shingle, and texts without words are one group.  A text of which one
+    shingle is over half has the SimHash of that shingle at any length, and goes with the
+    texts that are nothing else.  Null doc_ids come last; of rows that share a doc_id the
+    one of the smallest text digest stays, and of rows equal in both one.  All columns are kept.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("digest", F.xxhash64("text"))
-    ranked = source.mapInArrow(_long_fingerprints(shingle), _LONG_SPEC)
+    ranked = source.mapInArrow(_shingle_sets(shingle, similarity, *_common_shingles(source, shingle)), _SETS_SPEC)
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
-    alone = common.materialise(ranked.groupBy("fp").agg(F.min(rank).alias("rank")).withColumn("node", F.xxhash64("fp")), "folded")
-    found = common.materialise(components(similar_links(alone.select("node", "fp"), similarity)), "components")
+    alone = common.materialise(ranked.groupBy("node").agg(F.min(rank).alias("rank"), F.collect_set("alike").alias("alike"), F.first("size").alias("size"), F.first("firsts").alias("firsts")), "folded")
+    repeated = alone.select(F.col("node").alias("a"), F.explode("alike").alias("b"))
+    found = common.materialise(components(similar_links(alone.select("node", "size", "firsts"), source, shingle, similarity).union(repeated)), "components")
     first = alone.select("node", "rank").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("rank").alias("rank"))
     key = lambda doc_id, digest: F.xxhash64(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), digest)
     kept = common.materialise(first.select(key(F.col("rank.doc_id"), F.col("rank.digest")).alias("_key"), F.col("rank.digest").alias("_digest")), "kept")

@@ -127,3 +127,33 @@ def test_substring_dedup(spark, sf_dir):
             got = substring_dedup.remove_repeats(docs, bitmap_bits=bits).collect()
             assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == plain_dedup(rows)
     assert substring_dedup.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def near_pairs(n, changes, size=400):
+    """Texts in pairs: ``size`` words, and the same with so many of them changed, far from each other; Jaccard of five-word shingles."""
+    r = random.Random(11)
+    texts = []
+    for g in range(n):
+        w = [f"p{g}x{k}" for k in range(size)]
+        other = list(w)
+        for k in r.sample(range(10, size - 10, 10), changes):  # no shingle holds two
+            other[k] = f"q{g}x{k}"
+        texts += [" ".join(w), " ".join(other)]
+    return texts, (size - 4 - 5 * changes) / (size - 4 + 5 * changes)
+
+
+def kept_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    return sorted(r["doc_id"] for r in simhash.keep_one(docs).collect())
+
+
+def test_similar_pairs_are_linked_at_any_size(spark):
+    """Candidates do not depend on how many documents there are: the words of a pair find it."""
+    texts, similarity = near_pairs(40, 8)
+    assert 0.8 < similarity < 0.83
+    assert kept_of(spark, texts) == list(range(0, 80, 2))
+    for more in (0, 4000):  # documents unlike any other
+        others = [(10_000 + k, " ".join(f"o{k}x{i}" for i in range(12))) for k in range(more)]
+        docs = spark.createDataFrame(list(enumerate(texts)) + others, "doc_id long, text string").repartition(4)
+        kept = [r["doc_id"] for r in simhash.keep_one(docs).collect()]
+        assert sorted(i for i in kept if i < 10_000) == list(range(0, 80, 2)) and len(kept) == 40 + more
