@@ -157,3 +157,12 @@ def test_similar_pairs_are_linked_at_any_size(spark):
         docs = spark.createDataFrame(list(enumerate(texts)) + others, "doc_id long, text string").repartition(4)
         kept = [r["doc_id"] for r in simhash.keep_one(docs).collect()]
         assert sorted(i for i in kept if i < 10_000) == list(range(0, 80, 2)) and len(kept) == 40 + more
+
+
+def test_similarity_is_decided_exactly(spark):
+    at, similarity = near_pairs(20, 8, 364)
+    assert similarity == 0.8
+    assert kept_of(spark, at) == list(range(0, 40, 2))
+    under, similarity = near_pairs(20, 9, 364)
+    assert 0.77 < similarity < 0.8
+    assert kept_of(spark, under) == list(range(40))
