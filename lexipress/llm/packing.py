@@ -78,9 +78,9 @@ def _first_id(round_no: int) -> int:
     return (round_no << 58) | (TaskContext.get().partitionId() << 32)
 
 
-def _cut_and_pack(path: str, lead: bool, capacity: int, slack: int):
+def _cut_and_pack(path: str, capacity: int, slack: int):
     def run(batches):
-        enc, base, held = encoder(path, lead), _first_id(1), []
+        enc, base, held = encoder(path), _first_id(1), []
         for batch in batches:
             texts, ids = common.text_values(batch.column("text")), batch.column("doc_id").to_pylist()
             for k in range(0, len(texts), 1000):
@@ -113,7 +113,7 @@ def _repack(round_no: int, capacity: int, last: bool, slack: int):
     return run
 
 
-def pack(docs: DataFrame, vocab: str | None = None, lead: bool = False, capacity: int = CAPACITY, slack: int = NEARLY_FULL) -> DataFrame:
+def pack(docs: DataFrame, vocab: str | None = None, capacity: int = CAPACITY, slack: int = NEARLY_FULL) -> DataFrame:
     """Pack all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts give one piece with END_ID alone.  Rows that share a
@@ -124,7 +124,7 @@ def pack(docs: DataFrame, vocab: str | None = None, lead: bool = False, capacity
     common.small_batches(spark)
     path = vocab or vocabulary("word_bpe_49k.json")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bins = common.materialise(source.mapInArrow(_cut_and_pack(path, lead, capacity, slack), _BIN_SPEC), "bins-1")
+    bins = common.materialise(source.mapInArrow(_cut_and_pack(path, capacity, slack), _BIN_SPEC), "bins-1")
     done, n = [bins.where("done")], bins.rdd.getNumPartitions()
     round_no, before = 2, None
     while True:

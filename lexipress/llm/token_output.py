@@ -111,9 +111,9 @@ _MANIFEST = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs",
 _DECODED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _tokenise(path: str, lead: bool, size: int):
+def _tokenise(path: str, size: int):
     def run(batches):
-        enc, z = encoder(path, lead), zstandard.ZstdCompressor(level=1)
+        enc, z = encoder(path), zstandard.ZstdCompressor(level=1)
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             texts = common.text_values(batch.column("text"))
@@ -189,7 +189,7 @@ def _read(codebook: str):
     return run
 
 
-def write_token_shards(docs: DataFrame, vocab: str | None = None, lead: bool = True, shards: int | None = None) -> DataFrame:
+def write_token_shards(docs: DataFrame, vocab: str | None = None, shards: int | None = None) -> DataFrame:
     """Tokenise ``text`` of all documents and write shards in ascending doc_id order.
 
     Returns the manifest (shard, path, n_docs, n_tokens, start, codebook), one row a
@@ -200,12 +200,12 @@ def write_token_shards(docs: DataFrame, vocab: str | None = None, lead: bool = T
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
     path = vocab or vocabulary()
-    dtype, size = _vocabulary_shape(path, lead)
+    dtype, size = _vocabulary_shape(path)
     shards = shards or common.shuffle_partitions(spark)
     spec = "is_count boolean, doc_id long, n_tokens long, ids binary"
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     uri = common.scratch(spark, "token-blobs")
-    made.mapInArrow(_tokenise(path, lead, size), spec).write.option("compression", "none").parquet(uri)
+    made.mapInArrow(_tokenise(path, size), spec).write.option("compression", "none").parquet(uri)
     written = spark.read.schema(spec).parquet(uri)
     blobs = written.where("not is_count").select("doc_id", "n_tokens", "ids")
 
@@ -243,8 +243,8 @@ def read_token_shards(manifest: DataFrame) -> DataFrame:
     return manifest.select("path", "start").repartition(n).mapInArrow(_read(first[0]), spec)
 
 
-def _vocabulary_shape(path: str, lead: bool) -> tuple[str, int]:
-    enc = encoder(path, lead)
+def _vocabulary_shape(path: str) -> tuple[str, int]:
+    enc = encoder(path)
     return enc.dtype.str, enc.tokenizer.get_vocab_size()
 
 

@@ -1,33 +1,87 @@
+import functools
+import unicodedata
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lexipress.llm import packing, token_output
-from lexipress.llm.tokens import ChunkEncoder, encoder, vocabulary
+from lexipress.llm import packing, token_output, tokens
+from lexipress.llm.tokens import PieceEncoder, encoder, vocabulary
 from tests.llm.fixtures import DOCS, documents, extra_columns
+from tokenizers import Tokenizer
+
+NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
+
+
+@functools.cache
+def plain(name):
+    """A tokenizer of the test's own, as the library loads it."""
+    return Tokenizer.from_file(vocabulary(name))
 
 
 def reference_ids(name, text):
-    enc = encoder(vocabulary(name), name.startswith("byte"))
-    return enc.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    return plain(name).encode(text or "", add_special_tokens=False).ids + [0]
 
 
-@given(st.lists(st.text(alphabet=st.sampled_from(list("aB1İßΣσK»… \n\t.,'s\xa0é\x1c日<|>́")), max_size=40), max_size=5))
-@settings(max_examples=150, deadline=None)
-def test_chunks_are_boundaries(texts):
-    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        enc = encoder(vocabulary(name), name.startswith("byte"))
-        assert [x.tolist() for x in enc.encode(texts)] == [reference_ids(name, t) for t in texts]
+ODD = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", "it's 'tis don't we'll'd ''s 's\n's x'S I'RE", "  a   b\n\nc \t d  ", "\u1c89\ua7cbx", "e\u0301 \u00e9", "\U0001f600 ok \U00020001", "\u0130stanbul \u03a3\u03a3", "12 345,67 \u0663\u0664 \u00bd", "\x1c\x1f a", "w" * 900_000, "ab cd " * 200_000, "\n" * 700_000, ""]
 
 
-def test_memory_starts_anew(monkeypatch):
-    from lexipress.llm import tokens
+@given(st.lists(st.lists(st.sampled_from([*"aB1İßΣσK»… \n\t.,'s\xa0é\x1c日<|>́", "'re", "'ll", "'s", "  ", "<|endoftext|>", "<|startoftext|>", "😀"]), max_size=40).map("".join), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_pieces_give_the_library_s_ids(texts):
+    for name in NAMES:
+        assert [x.tolist() for x in encoder(vocabulary(name)).encode(texts)] == [reference_ids(name, t) for t in texts]
+
 
+@pytest.mark.parametrize("name", NAMES)
+def test_odd_and_long_texts(name, sf_dir, spark):
+    texts = ODD + [r[0] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    assert encoder(vocabulary(name)).kind
+    assert [x.tolist() for x in encoder(vocabulary(name)).encode(texts)] == [reference_ids(name, t) for t in texts]
+
+
+def test_classes_are_the_library_s():
+    """Every tabled character has the class, and the lower case, that the library gives it."""
+    pre, norm = plain(NAMES[0]).pre_tokenizer, plain(NAMES[1]).normalizer
+    (of, _), (of_low, low) = tokens.classes(False), tokens.classes(True)
+    one = lambda s: len(pre.pre_tokenize_str(s)) == 1
+    for c in range(tokens.TABLED):
+        if of[c] == tokens.UNSURE or c == ord("'"):
+            continue
+        x = chr(c)
+        assert of[c] == (tokens.LETTER if one("a" + x) else tokens.NUMBER if one("1" + x) else tokens.OTHER if one("." + x) else tokens.SPACE), hex(c)
+        if of_low[c] not in (tokens.UNSURE, tokens.SPACE) and unicodedata.is_normalized("NFC", x):
+            assert norm.normalize_str(x) == chr(low[c]), hex(c)
+
+
+def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
-    enc = ChunkEncoder(vocabulary(), True)
-    texts = ["one two three four five", "six seven one " + "y" * 99]
-    assert [x.tolist() for x in enc.encode(texts)] == [reference_ids("byte_bpe_50k.json", t) for t in texts]
+    monkeypatch.setattr(tokens, "SLICE", 16)
+    enc = PieceEncoder(vocabulary())
+    texts = ["one two three four five", "six seven one " + "y" * 99, "eight, nine; ten", "two two"]
+    for _ in range(3):
+        assert [x.tolist() for x in enc.encode(texts)] == [reference_ids(NAMES[0], t) for t in texts]
+
+
+def test_pieces_of_one_key_are_left_to_the_library(monkeypatch):
+    monkeypatch.setattr(tokens, "mix", lambda h: h & np.uint64(7) | np.uint64(1) | h & np.uint64(0xFFFFFFFF00000000))
+    texts = ["one two three four five six seven eight nine ten " * 3, "alpha beta gamma delta"]
+    enc = PieceEncoder(vocabulary())
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(texts)] == [reference_ids(NAMES[0], t) for t in texts]
+
+
+def test_other_layouts_are_encoded_whole(tmp_path):
+    import json
+
+    layout = json.load(open(vocabulary()))
+    layout["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(layout))
+    enc = PieceEncoder(str(path))
+    want = Tokenizer.from_file(str(path))
+    assert enc.kind is None and [x.tolist() for x in enc.encode(["a b", ""])] == [[*want.encode(t).ids, 0] for t in ("a b", "")]
 
 
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
