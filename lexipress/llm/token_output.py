@@ -13,13 +13,13 @@ control bytes and data bytes.  ``codebook.bin`` holds the ids in rank order.
 The texts are read once: each partition is tokenised into compressed id blobs and the
 counts of all its ids (written to the shared folder, since tokenising is the dearest
 step); then the blobs are ordered by doc_id with a range shuffle and shards are written.
-A shard is written under a name of its own and renamed, so a repeated or lost task
-leaves either the whole file or none.  The driver sees one manifest row a shard.
+Every attempt of a task writes a file of its own name, and the manifest, which the driver
+gets from the attempts that counted, says which files are shards: a repeated task leaves a
+file that nobody reads.  A shard has about ``SHARD_TOKENS`` ids, however large the corpus.
 """
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
@@ -38,6 +38,8 @@ from .tokens import encoder, vocabulary
 MAGIC = b"LXTOKENS"
 #: Values after which a block is closed; a document is never split.
 BLOCK_VALUES = 1 << 18
+#: Ids of a shard, about; there are as many shards as shuffle partitions at least.
+SHARD_TOKENS = 1 << 26
 _HEAD = struct.Struct("<7q")
 
 _SHIFTS = np.arange(4, dtype=np.uint8) * 2
@@ -141,11 +143,11 @@ def _write(uri: str, dtype: str, ranks):
         fs, folder = common.open_fs(uri)
         rank_of, z = ranks.value, zstandard.ZstdDecompressor()
         shard = TaskContext.get().partitionId()
-        final, made = f"{folder}/shard-{shard:07d}.tok", f"{folder}/.{shard:07d}-{uuid.uuid4().hex}"
+        name = f"shard-{shard:07d}-{uuid.uuid4().hex}.tok"
         n_docs = n_tokens = held = 0
         docs: list[int | None] = []
         arrays: list[np.ndarray] = []
-        with fs.open_output_stream(made, compression=None) as out:
+        with fs.open_output_stream(f"{folder}/{name}", compression=None) as out:
             out.write(MAGIC)
             for batch in batches:
                 for doc, blob in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
@@ -158,9 +160,8 @@ def _write(uri: str, dtype: str, ranks):
                         docs, arrays, held = [], [], 0
             if docs:
                 n_tokens += _write_block(out, docs, arrays, rank_of)
-        fs.move(made, final)
         if n_docs:
-            yield common.batch_of(_MANIFEST, ([shard], [f"{uri}/{os.path.basename(final)}"], [n_docs], [n_tokens]))
+            yield common.batch_of(_MANIFEST, ([shard], [f"{uri}/{name}"], [n_docs], [n_tokens]))
 
     return run
 
@@ -194,14 +195,14 @@ def write_token_shards(docs: DataFrame, vocab: str | None = None, shards: int |
 
     Returns the manifest (shard, path, n_docs, n_tokens, start, codebook), one row a
     shard.  Null texts are empty and give END_ID alone; null doc_ids come first;
-    rows that share a doc_id are all written, fewer ids first; other
-    columns are not read.  An empty table gives an empty manifest.
+    rows that share a doc_id are all written, fewer ids first, and equal rows each; other
+    columns are not read.  A long text is tokenised in stretches and stands in one block.
+    An empty table gives an empty manifest.
     """
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
     path = vocab or vocabulary()
     dtype, size = _vocabulary_shape(path)
-    shards = shards or common.shuffle_partitions(spark)
     spec = "is_count boolean, doc_id long, n_tokens long, ids binary"
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     uri = common.scratch(spark, "token-blobs")
@@ -216,6 +217,7 @@ def write_token_shards(docs: DataFrame, vocab: str | None = None, shards: int |
     rank_of = np.zeros(size, dtype="<u4")
     rank_of[order] = np.arange(len(order), dtype="<u4")
 
+    shards = shards or max(common.shuffle_partitions(spark), -(-sum(r["n"] for r in rows) // SHARD_TOKENS))
     out = common.scratch(spark, "token-shards")
     fs, folder = common.open_fs(out)
     fs.create_dir(folder, recursive=True)
@@ -234,7 +236,10 @@ def write_token_shards(docs: DataFrame, vocab: str | None = None, shards: int |
 
 
 def read_token_shards(manifest: DataFrame) -> DataFrame:
-    """Decode shards: doc_id, start, n_tokens, ids_crc32 of every document."""
+    """Decode shards: doc_id, start, n_tokens, ids_crc32 of every document; an empty manifest gives no rows.
+
+    Repeated rows are decoded each; a null doc_id is read back as null.
+    """
     spec = "doc_id long, start long, n_tokens long, ids_crc32 long"
     first = manifest.select("codebook").head()
     if first is None:
