@@ -6,7 +6,8 @@ votes for the diagonal p - t; pairs of one passage vote for one diagonal, insert
 dropped words move it a little.  Votes are summed by diagonal, neighbouring diagonals
 are merged into spans, and spans are verified: the words of a base phrase must all
 stand in a row, and a span of a longer notice must hold enough of its pairs in few
-enough words.
+enough words.  Diagonals that hold the same place of a template are different copies and
+are not merged, and each diagonal is verified by itself too.
 
 The templates are fixed text below, so the table of their pairs is bounded and broadcast.
 """
@@ -68,6 +69,8 @@ def templates(spark: SparkSession) -> DataFrame:
     rows = []
     for k, (text, label, exact) in enumerate([(p, x, True) for p, x in PHRASES.items()] + [(p, x, False) for p, x in NOTICES.items()]):
         w = text.split()
+        if len(w) > 64:
+            raise ValueError("a template's pairs are bits of one long")
         rows += [(w[i], w[i + 1], k, i, label, exact, len(w) - 1) for i in range(len(w) - 1)]
     table = spark.createDataFrame(rows, "word_a string, word_b string, template int, t int, label string, exact boolean, n_pairs int")
     return table.withColumn("pair", _pair_hash("word_a", "word_b"))
@@ -78,7 +81,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     score is the best covered share of a template, 1 for a base place.  A null text has
     no words.  Rows of one doc_id are told apart by their text; rows equal in both get
-    equal results, one each.  Other columns are not read.
+    equal results, one each.  Other columns are not read.  An empty table gives no rows;
+    a long text is one row of words until it is exploded.
     """
     spark: SparkSession = docs.sparkSession
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
@@ -101,19 +105,22 @@ def scan(docs: DataFrame) -> DataFrame:
     lines = votes.groupBy(*key, "template", "diagonal", "label", "exact", "n_pairs").agg(F.bit_or(bit).alias("bits"), F.min("p").alias("first"), F.max("p").alias("last"), head.alias("heads"))
     near = W.partitionBy(*key, "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(near)
-    fresh = F.col("exact") | gap.isNull() | (gap > DRIFT) | (F.col("first") - F.lag("last").over(near) > DRIFT + F.col("n_pairs"))
-    spans = lines.withColumn("span", F.sum(F.when(fresh, 1).otherwise(0)).over(near))
-    spans = spans.groupBy(*key, "template", "span", "label", "exact", "n_pairs").agg(F.bit_or("bits").alias("bits"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("heads").alias("heads"))
+    again = F.col("bits").bitwiseAND(F.lag("bits").over(near)) != 0
+    fresh = F.col("exact") | gap.isNull() | again | (gap > DRIFT) | (F.col("first") - F.lag("last").over(near) > DRIFT + F.col("n_pairs"))
     cover = F.bit_count("bits") / F.col("n_pairs")
-    holds = F.when(F.col("exact"), F.bit_count("bits") == F.col("n_pairs")).otherwise((cover >= COVER) & (F.col("last") - F.col("first") + 1 <= LONGER * F.col("n_pairs")))
+    fits = (cover >= COVER) & (F.col("last") - F.col("first") + 1 <= LONGER * F.col("n_pairs"))
+    holds = F.when(F.col("exact"), F.bit_count("bits") == F.col("n_pairs")).otherwise(fits)
+    spans = lines.withColumn("span", F.sum(F.when(fresh, 1).otherwise(0)).over(near)).withColumn("alone", F.when(holds, cover))
+    spans = spans.groupBy(*key, "template", "span", "label", "exact", "n_pairs").agg(F.bit_or("bits").alias("bits"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("heads").alias("heads"), F.max("alone").alias("alone"))
     placed = holds & F.col("exact")
+    share = F.greatest(F.when(holds, cover), "alone")
     out = spans.groupBy(*key).agg(
         F.count(F.when(placed, 1)).alias("n_base"),
         F.min(F.when(placed, F.col("first"))).cast("long").alias("first_word"),
         F.max(F.when(placed, F.col("first"))).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.collect_set(F.when(placed, F.col("label")))), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.collect_set(F.when(holds, F.col("label")))), ",").alias("labels"),
-        F.coalesce(F.max(F.when(holds, cover)), F.lit(0.0)).alias("score"),
+        F.array_join(F.array_sort(F.collect_set(F.when(share.isNotNull(), F.col("label")))), ",").alias("labels"),
+        F.coalesce(F.max(share), F.lit(0.0)).alias("score"),
         F.max("heads").alias("copies"),
     )
     each_row = F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.col("copies"), F.lit(1))))
