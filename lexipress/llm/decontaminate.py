@@ -28,7 +28,8 @@ STRETCH = 10
 EQUAL = 8
 #: Word positions of the seeds; any two unequal words in ten miss one of them.
 SEEDS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6))
-#: Items of fewer words than STRETCH and at least this many must occur whole; shorter ones say nothing.
+#: Items of fewer words than STRETCH, and at least so many, must occur whole but for one word;
+#: shorter ones, which any text may hold by chance, must be all the words of a document.
 SHORTEST = 5
 BITMAP_BITS = 26
 _U = np.uint64
@@ -42,8 +43,20 @@ _REGION_SPEC = "doc_id long, digest long, first int, words array<long>, hits arr
 _OVERLAP_SPEC = "doc_id long, digest long, item_id long, doc_start long, item_start long, n_words long, n_equal long"
 
 
-def _masks(short: list[int]) -> list[tuple[int, ...]]:
-    return [*SEEDS, *(tuple(range(n)) for n in short)]
+def _item_masks(n: int) -> tuple[tuple[int, ...], ...]:
+    """Seeds of an item of n words.  Of an item under STRETCH each ignores a third of the places: one unequal word misses one seed."""
+    if n >= STRETCH:
+        return SEEDS
+    if n < SHORTEST:
+        return (tuple(range(n)),)
+    return tuple(tuple(p for p in range(n) if p % 3 != r) for r in range(3))
+
+
+def _masks(short: list[int]) -> list[tuple[tuple[int, ...], int]]:
+    """Seeds of documents, and how many words a document of a hit must have (0: any number)."""
+    masks = dict.fromkeys((m, 0) for m in SEEDS)
+    masks |= dict.fromkeys((m, n if n < SHORTEST else 0) for n in short for m in _item_masks(n))
+    return list(masks)
 
 
 def _seed_hashes(h: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
@@ -68,14 +81,15 @@ def _item_seeds(batches):
     for batch in batches:
         for item, words in zip(batch.column("item_id").to_pylist(), batch.column("words"), strict=True):
             h = words.values.to_numpy(zero_copy_only=False).view(_U)
-            masks = SEEDS if len(h) >= STRETCH else [tuple(range(len(h)))]
-            for mask in masks:
+            for mask in _item_masks(len(h)):
                 names = _seed_hashes(h, mask).view(np.int64)
+                if len(h) < STRETCH:
+                    names = names[:1]  # the item as a whole
                 if len(names):
                     yield pa.RecordBatch.from_arrays([pa.array([item] * len(names), pa.int64()), pa.array(np.arange(len(names), dtype=np.int32)), pa.array(names)], names=["item_id", "at", "name"])
 
 
-def _regions(masks: list[tuple[int, ...]], shared):
+def _regions(masks: list[tuple[tuple[int, ...], int]], shared):
     def run(batches):
         common.leave_memory()
         bitmap = shared.value
@@ -90,11 +104,13 @@ def _regions(masks: list[tuple[int, ...]], shared):
                 batch = whole.slice(k, _ROWS)
                 (h,), ends = textkernel.words(batch.column("text"), textkernel.ALNUM)
                 ats, names = [], []
-                for mask in masks:
+                sizes = np.diff(ends, prepend=0)
+                for mask, only in masks:
                     made = _seed_hashes(h, mask)
                     at = np.flatnonzero(known(made))
-                    row_end = ends[np.searchsorted(ends, at, side="right")] if len(at) else at
-                    at = at[at + mask[-1] < row_end]  # a seed lies in one document
+                    row = np.searchsorted(ends, at, side="right")
+                    inside = at + mask[-1] < ends[row]  # a seed lies in one document
+                    at = at[inside & (sizes[row] == only)] if only else at[inside]
                     ats.append(at)
                     names.append(made[at].view(np.int64))
                 at, name = np.concatenate(ats), np.concatenate(names)
@@ -148,7 +164,10 @@ def _verify(batches):
             if hi <= lo:
                 continue
             equal = v[lo:hi] == w[lo + shift : hi + shift]
-            found = best_stretch(equal) if len(v) >= STRETCH else (0, len(v)) if hi - lo == len(v) and equal.all() else None
+            if len(v) >= STRETCH:
+                found = best_stretch(equal)
+            else:
+                found = (0, len(v)) if hi - lo == len(v) and equal.sum() >= len(v) - (len(v) >= SHORTEST) else None
             if found:
                 a, b = found
                 rows.append((doc, digest, item, diagonal + lo + a, lo + a, b - a, int(equal[a:b].sum())))
@@ -162,15 +181,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of ASCII letters and digits and of all characters beyond ASCII,
     A-Z in lower case; starts count words from 0.  One row for each document, item and
     diagonal: its longest verified stretch.  ``digest`` (xxhash64 of the text) tells rows
-    that share a doc_id apart.  Items of equal words stand as one, under the least
-    item_id; items of under SHORTEST words and null texts overlap with nothing.  Other
-    columns are not read.
+    that share a doc_id apart; rows equal in both give one.  Items of equal words are
+    compared once and each have their rows.  An item of SHORTEST to nine words must occur
+    whole but for one word, a shorter one must be all the words of a document; null texts
+    and items without words overlap with nothing.  Other columns are not read; an empty
+    table gives no rows.
     """
+    items = _items(benchmark)
+    alone = common.materialise(items.groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", "words"), "items")
+    again = items.join(alone.select("words", F.col("item_id").alias("first")), "words").select("item_id", "first").distinct()
+    found = _overlaps(docs, alone).withColumnRenamed("item_id", "first")
+    return found.join(again, "first").select("doc_id", "digest", "item_id", "doc_start", "item_start", "n_words", "n_equal")
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    return items.mapInArrow(_item_words, "item_id long, words array<long>").where(F.size("words") > 0)
+
+
+def _overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``overlaps`` with items (item_id, words) of different words."""
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    items = items.mapInArrow(_item_words, "item_id long, words array<long>").where(F.size("words") >= SHORTEST)
-    items = common.materialise(items.groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", "words"), "items")
     seeds = common.materialise(items.mapInArrow(_item_seeds, "item_id long, at int, name long").distinct(), "seeds")
     bitmap = spark.sparkContext.broadcast(_bitmap(seeds.select("name"), BITMAP_BITS))
     short = sorted(r[0] for r in items.where(F.size("words") < STRETCH).select(F.size("words")).distinct().collect())
@@ -190,9 +222,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that overlap with a benchmark item; all columns are kept."""
+    """``docs`` without the rows that overlap with a benchmark item; all columns are kept.
+
+    Null texts stay; an empty benchmark leaves all rows, an empty table gives none.
+    """
     one, two = common.free_names(docs, 2)
-    found = common.materialise(overlaps(docs, benchmark).select(F.col("doc_id").alias(one), F.col("digest").alias(two)).distinct(), "contaminated")
+    items = common.materialise(_items(benchmark).groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", "words"), "items")
+    found = common.materialise(_overlaps(docs, items).select(F.col("doc_id").alias(one), F.col("digest").alias(two)).distinct(), "contaminated")
     return docs.join(found, (F.col("doc_id").cast("long").eqNullSafe(F.col(one))) & (F.xxhash64(F.col("text").cast("string")) == F.col(two)), "left_anti")
 
 
