@@ -105,10 +105,10 @@ class Model:
             return np.full(len(counts), 0.5)
         x = self._unit((_weigh(counts, self.idf) - self.centre) @ self.project)
         cosine = x @ self.vectors.T
-        near = np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
-        weight = np.take_along_axis(cosine, near, axis=1).astype(np.float64)
-        weight = np.maximum(weight, 1e-6) ** 4 * self.stands_for[near]
-        return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
+        # All that are as near as the last neighbour vote, so ties are not broken at will.
+        last = np.partition(cosine, len(self.labels) - self.neighbours, axis=1)[:, len(self.labels) - self.neighbours]
+        near = np.where(cosine >= last[:, None], np.maximum(cosine.astype(np.float64), 1e-6) ** 4, 0.0) * self.stands_for
+        return np.clip(near @ self.labels / near.sum(axis=1), 0.0, 1.0)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -134,7 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
 
     At most ``per_label`` labelled documents of each label (0 and 1), those whose ids
     have the smallest hashes.  Several labels of one document count as the smallest;
-    null labels and ids are no labels.
+    null labels and ids are no labels.  Of rows that share a doc_id one is taken, that of
+    the least text digest, so rows are bounded as ids are.  Without labels or documents
+    the model is empty and scores one half.
     """
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
@@ -144,7 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
     chosen = spark.createDataFrame([(r["doc_id"], r["label"]) for r in picked], "doc_id long, label int")
     # ``chosen`` has at most 2 * per_label rows.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    table = texts.select("label", "text").mapInArrow(_sample_rows, "label int, at array<int>, n array<float>").toArrow()
+    texts = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("digest"), "text")).alias("one"))
+    table = texts.select("label", "one.text").mapInArrow(_sample_rows, "label int, at array<int>, n array<float>").toArrow()
     counts = np.zeros((table.num_rows, FEATURES), dtype=np.float32)
     for row, (at, n) in enumerate(zip(table.column("at"), table.column("n"), strict=True)):
         counts[row, at.values.to_numpy(zero_copy_only=False)] = n.values.to_numpy(zero_copy_only=False)
@@ -173,7 +176,8 @@ def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFra
     """``docs`` with a column of scores (0 to 1) of every whole text; a null text scores as an empty one.
 
     All columns are kept, whatever their names (``name`` must be new); repeated rows are
-    scored each.
+    scored each, and an empty table gives no rows.  All labelled rows as near as the last
+    of the neighbours vote; features of a long text are counted in slices.
     """
     common.small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -182,7 +186,10 @@ def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFra
 
 
 def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` whose score reaches the threshold; all columns are kept."""
+    """``docs`` whose score reaches the threshold; all columns are kept.
+
+    Null texts are judged as empty ones, repeated rows each; an empty table gives no rows.
+    """
     (name,) = common.free_names(docs, 1)
     return score(docs, model, name).where(F.col(name) >= threshold).drop(name)
 

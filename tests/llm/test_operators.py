@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,6 +118,29 @@ def test_license_scan(spark, sf_dir):
     assert license_scan.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_copies_of_a_notice_side_by_side(spark):
+    r = random.Random(5)
+    texts = {
+        1: ("mozilla public license mozilla public license", "mpl", 1.0),
+        2: ("all rights reserved. all rights reserved.", "proprietary", 1.0),
+        3: ("cc by nc cc by nc", "cc-by,cc-by-nc", 1.0),
+        4: ("cc by or cc by sa 4 0", "cc-by,cc-by-sa", 1.0),
+        5: ("mozilla x public license", "", 0.0),
+        6: ("plain words alone", "", 0.0),
+    }
+    both = {**license_scan.PHRASES, **license_scan.NOTICES}
+    want = {k: (set(x.split(",")) - {""}, y) for k, (_, x, y) in texts.items()}
+    for k in range(40):  # whole notices in a row, some with words between
+        chosen = r.choices(list(both), k=r.randrange(1, 6))
+        texts[100 + k] = (r.choice(("; ", " pad ")).join(chosen), None, None)
+        text = f" {' '.join(re.findall('[a-z0-9]+', texts[100 + k][0]))} "
+        want[100 + k] = ({x for t, x in both.items() if f" {t} " in text}, 1.0)
+    docs = spark.createDataFrame([(k, t[0].title()) for k, t in texts.items()], "doc_id long, text string")
+    for row in license_scan.scan(docs).collect():
+        got, (labels, score) = set(row["labels"].split(",")) - {""}, want[row["doc_id"]]
+        assert row["score"] == score and (got >= labels if row["doc_id"] >= 100 else got == labels), (texts[row["doc_id"]], row)
+
+
 def test_license_scan_is_native(spark, sf_dir):
     plan = queries.queries()["op3_license_scan"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -151,26 +175,32 @@ def test_damaged_archives():
         list(warc.read_members(io.BytesIO(record[:-9])))
 
 
-def contaminated(words, item):
+def contaminated(doc, item):
     if len(item) < decontaminate.SHORTEST:
-        return False
+        return bool(item) and doc == item
     if len(item) < decontaminate.STRETCH:
-        return any(words[i : i + len(item)] == item for i in range(len(words)))
-    for d in range(-len(item), len(words)):
-        equal = [0 <= d + j < len(words) and words[d + j] == item[j] for j in range(len(item))]
-        for j in range(len(item) - 9):
-            if 0 <= d + j and d + j + 10 <= len(words) and sum(equal[j : j + 10]) >= 8:
-                return True
+        return any(sum(x == y for x, y in zip(doc[i : i + len(item)], item, strict=True)) >= len(item) - 1 for i in range(len(doc) - len(item) + 1))
+    for d in range(-len(item), len(doc)):
+        lo, hi = max(0, -d), min(len(item), len(doc) - d)
+        equal = [item[j] == doc[j + d] for j in range(lo, hi)]
+        if any(sum(equal[k : k + decontaminate.STRETCH]) >= decontaminate.EQUAL for k in range(len(equal) - decontaminate.STRETCH + 1)):
+            return True
     return False
 
 
 def test_decontamination(spark, sf_dir):
     r = random.Random(4)
-    items = [words(n, 100 + n, 5000).split() for n in (3, 5, 7, 9, 10, 11, 25, 40)]
+    items = [words(n, 100 + n, 5000).split() for n in (1, 3, 5, 6, 7, 8, 9, 10, 11, 25, 40)]
     items += [items[-1]]
-    docs = [(1000 + k, " ".join(["pad"] * 5 + i + ["pad"] * 3)) for k, i in enumerate(items)]
+    docs = [(3000 + k, ", ".join(i[: 4 + k])) for k, i in enumerate(items)]  # short items are whole documents
+    for k in range(60):  # one unequal word and two, and an end that is missing
+        i = list(items[2 + k % 5])
+        for at in r.sample(range(len(i)), 1 + (k % 7 == 0)):
+            i[at] = "sub"
+        docs.append((4000 + k, "pad " + " ".join(i[: len(i) - (k % 11 == 0)])))
+    docs += [(1000 + k, " ".join(["pad"] * 5 + i + ["pad"] * 3)) for k, i in enumerate(items)]
     for k in range(60):
-        i = list(r.choice(items[4:]))
+        i = list(r.choice(items[7:]))
         for _ in range(r.randrange(0, 1 + len(i) // 4)):
             i[r.randrange(len(i))] = f"sub{r.randrange(99)}"
         a = r.randrange(0, max(1, len(i) - 8))
@@ -178,7 +208,7 @@ def test_decontamination(spark, sf_dir):
     benchmark = spark.createDataFrame([(k, " ".join(i).upper()) for k, i in enumerate(items)] + [(50, None), (51, "")], "item_id long, text string").selectExpr("*", "'x' as words", "1 as at", "'q' as name")
     frame = documents(spark, docs)
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
-    want = {(str(d), k) for d, t in ((r["doc_id"], r["text"]) for r in frame.collect()) for k, i in enumerate(items[:-1]) if contaminated(split(t), i)}
+    want = {(str(d), k) for d, t in ((r["doc_id"], r["text"]) for r in frame.collect()) for k, i in enumerate(items) if contaminated(split(t), i)}
     got = decontaminate.overlaps(extra_columns(frame), benchmark).collect()
     assert {(str(g["doc_id"]), g["item_id"]) for g in got} == want and len(want) > 20
     assert all(g["n_equal"] >= 0.8 * g["n_words"] or g["n_words"] < 15 for g in got)
@@ -206,6 +236,43 @@ def test_quality(spark):
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
 
 
+def plain_features(text):
+    """Counts of words and of three-character shapes, by the rules of the docstring, in plain Python."""
+    out = np.zeros(quality.FEATURES)
+    data = text.encode()
+    for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", data):
+        (h,), _ = quality.textkernel.words(pa.array([w.lower().decode()]), quality.textkernel.ALNUM)
+        out[int(h[0]) >> (64 - quality.WORD_BITS)] += 1
+    shape = [0x30 if 48 <= c < 58 else 0x41 if 65 <= c < 91 else 0x61 if 97 <= c < 123 or c >= 128 else 0x20 if c in (9, 11, 12, 13) else c for c in data]
+    for x, y, z in zip(shape, shape[1:], shape[2:], strict=False):
+        out[(1 << quality.WORD_BITS) + ((((x << 16) + (y << 8) + z) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - quality.SHAPE_BITS))] += 1
+    return out
+
+
+def test_scores_against_brute_force(spark, sf_dir):
+    """Every neighbour by every cosine, one document at a time, and votes of all ties."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    copies = docs.where("doc_id < 40").selectExpr("doc_id + 100000 as doc_id", "text")  # rows as near as each other
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = quality.fit(docs.union(copies), labels.union(labels.where("doc_id < 40").selectExpr("doc_id + 100000", "quality")), per_label=60)
+    half = 1 << quality.WORD_BITS
+    for row in quality.score(docs.orderBy("doc_id").limit(60), model).collect():
+        x = np.log1p(plain_features(row["text"] or "")) * model.idf
+        for part in (x[:half], x[half:]):
+            part /= max(np.linalg.norm(part), 1e-12)
+        v = (x - model.centre) @ model.project
+        cosine = [float(v @ u) / max(np.linalg.norm(v), 1e-12) for u in model.vectors]
+        last = sorted(cosine)[-quality.NEIGHBOURS]
+        votes = [(max(c, 1e-6) ** 4 * s, y) for c, s, y in zip(cosine, model.stands_for, model.labels, strict=True) if c >= last - 1e-6]
+        assert abs(row["quality_score"] - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 2e-3
+
+
+def test_many_rows_of_one_labelled_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k} of many") for k in range(300)] + [(k, words(30, k)) for k in range(2, 20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 20)], "doc_id long, quality int")
+    assert len(quality.fit(docs, labels).labels) <= 19
+
+
 def test_quality_edges(spark):
     docs = extra_columns(documents(spark))
     labels = spark.createDataFrame([(1, 1), (2, None), (4, 0), (4, 1), (None, 1), (999, 0), (6, 1)], "doc_id long, quality int")
