@@ -94,10 +94,31 @@ def shuffles_dropped(spark: SparkSession):
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """Cut the lineage of ``df``: write it to the shared folder and read it back."""
+#: Scratch folders to drop when each open ``passing`` block ends.
+_PASSING: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def passing():
+    """Tables that ``materialise`` writes within are dropped at the end, but those that stay."""
+    _PASSING.append([])
+    try:
+        yield
+    finally:
+        for uri in _PASSING.pop():
+            drop_scratch(uri)
+
+
+def materialise(df: DataFrame, name: str, codec: str = "snappy", stays: bool = False) -> DataFrame:
+    """Cut the lineage of ``df``: write it to the shared folder and read it back.
+
+    Within ``passing`` the table lives until the end of the block; one that ``stays``
+    lives as long as the next outer block, or the driver.
+    """
     spark = df.sparkSession
     uri = scratch(spark, name)
+    for held in _PASSING[-2:-1] if stays else _PASSING[-1:]:
+        held.append(uri)
     with shuffles_dropped(spark):
         df.write.option("compression", codec).parquet(uri)
     return spark.read.schema(df.schema).parquet(uri)

@@ -67,9 +67,10 @@ def features(column: pa.Array) -> np.ndarray:
 
 def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Damped and weighted counts; words and shapes each of unit length, so that neither drowns the other."""
-    x = np.log1p(counts) * idf
+    x = np.log1p(counts)
+    x *= idf
     for a, b in ((0, 1 << WORD_BITS), (1 << WORD_BITS, FEATURES)):
-        norm = np.sqrt((x[:, a:b] ** 2).sum(axis=1, keepdims=True))
+        norm = np.sqrt(np.einsum("ij,ij->i", x[:, a:b], x[:, a:b]))[:, None]
         x[:, a:b] /= np.maximum(norm, 1e-12)
     return x
 
@@ -84,13 +85,13 @@ class Model:
         self.idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
         x = _weigh(counts, self.idf)
         self.centre = x.mean(axis=0)
-        x = x - self.centre
+        x -= self.centre
         # Right singular vectors by way of the smaller of the two Gram matrices.
         if len(x) < FEATURES:
             values, left = np.linalg.eigh((x @ x.T).astype(np.float64))
             top = np.argsort(-values)[:dimensions]
             top = top[values[top] > 1e-9]
-            self.project = (x.T.astype(np.float64) @ (left[:, top] / np.sqrt(values[top]))).astype(np.float32)
+            self.project = x.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)
         else:
             values, right = np.linalg.eigh((x.T @ x).astype(np.float64))
             self.project = right[:, np.argsort(-values)[:dimensions]].astype(np.float32)
@@ -152,6 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
     for row, (at, n) in enumerate(zip(table.column("at"), table.column("n"), strict=True)):
         counts[row, at.values.to_numpy(zero_copy_only=False)] = n.values.to_numpy(zero_copy_only=False)
     label = table.column("label").to_numpy()
+    del table
     order = np.lexsort((*(counts @ np.random.default_rng(0).random((FEATURES, 1), dtype=np.float32)).T, label))  # the same model however rows arrive
     counts, label = counts[order], label[order]
     share = np.array([totals[x] / max(1, (label == x).sum()) for x in label.tolist()], dtype=np.float64)

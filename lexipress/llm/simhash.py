@@ -119,12 +119,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
     null.  Other columns are not read; an empty table gives no rows.
     """
     fps = common.materialise(fingerprints(docs, shingle, seed), "fingerprints")
-    alone = common.materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "folded")
-    found = common.materialise(components(links(alone.select("fp"))), "components").withColumnRenamed("node", "fp")
-    named = alone.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = common.materialise(named, "named")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component").select("fp", "component_id")
+    with common.passing():
+        alone = common.materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "folded")
+        found = common.materialise(components(links(alone.select("fp"))), "components").withColumnRenamed("node", "fp")
+        named = alone.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+        named = common.materialise(named, "named")
+        least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+        ids = common.materialise(named.join(least, "component").select("fp", "component_id"), "ids", stays=True)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
@@ -137,17 +138,20 @@ FEW = 8
 PART = 1024
 #: Leaders that a crowded group is compared with first.
 LEADERS = 4
-#: Documents (about) whose shingles are counted to tell common ones, how often a common one
-#: is among them, and most of them that are kept.
-SAMPLE = 10_000
-OFTEN = 4
+#: One in so many documents has its shingles counted, to tell common ones: those in so many of
+#: them.  The share is the same at every size, so the crowds that are left are, too.
+SHARE = 8
+OFTEN = 3
+#: The commonest ones are ordered by their counts among each other.
 COMMON = 1 << 16
 _U = np.uint64
-_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("node", pa.int64()), ("alike", pa.int64()), ("size", pa.int32()), ("firsts", pa.list_(pa.int64()))])
-_SETS_SPEC = "doc_id long, digest long, node long, alike long, size int, firsts array<long>"
+_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("name", pa.int64()), ("node", pa.int64()), ("alike", pa.int64()), ("size", pa.int32()), ("firsts", pa.list_(pa.int64()))])
+_SETS_SPEC = "doc_id long, digest long, name long, node long, alike long, size int, firsts array<long>"
 _WHOLE = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
-#: Logarithm of the bits of the bitmap that lets through the documents of candidate pairs.
-PASS_BITS = 25
+_KEYED = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("key", pa.int64())])
+#: Logarithm of the bits of each bitmap (4 MB): of the documents of candidate pairs, of the first
+#: shingles that two documents share and of common shingles.  A fuller one changes no result.
+BITS = 25
 
 
 def _sets(column: pa.Array, shingle: int):
@@ -162,7 +166,7 @@ def _node(h: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(h.tobytes(), SEED))
 
 
-def _shingle_sets(shingle: int, similarity: float, known: np.ndarray, often: np.ndarray):
+def _shingle_sets(shingle: int, similarity: float, order):
     """First shingles of each set, as many as it can lack in one as similar, and one, in one order over all documents.
 
     Shingles that are not known to be common come first, the commonest last.
@@ -170,6 +174,7 @@ def _shingle_sets(shingle: int, similarity: float, known: np.ndarray, often: np.
 
     def run(batches):
         common.leave_memory()
+        known, often, crowd = order.value
         for batch in batches:
             nodes, alike, sizes, firsts = [], [], [], []
             for h, counts in _sets(batch.column("text"), shingle):
@@ -178,52 +183,72 @@ def _shingle_sets(shingle: int, similarity: float, known: np.ndarray, often: np.
                 alike.append(_node(h[most : most + 1]) if len(h) > 1 and 2 * counts[most] > counts.sum() else None)
                 sizes.append(len(h))
                 few = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
-                if len(known):
+                rank = _hits(crowd, h.view(np.int64)).astype(np.int64)
+                if len(known) and rank.any():
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    h = h[np.argsort(np.where(known[at] == h, often[at], 0), kind="stable")]
-                firsts.append(h[:few].view(np.int64))
-            yield common.batch_of(_SETS, (batch.column("doc_id"), batch.column("digest"), nodes, alike, sizes, firsts))
+                    rank += np.where(known[at] == h, often[at], 0)
+                firsts.append(h[np.argsort(rank, kind="stable")][:few].view(np.int64))
+            yield common.batch_of(_SETS, (batch.column("doc_id"), batch.column("digest"), batch.column("name"), nodes, alike, sizes, firsts))
 
     return run
 
 
+def _hits(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which names (int64) have their bit set."""
+    bit = names & (len(bitmap) * 64 - 1)
+    return (bitmap[bit >> 6] >> (bit & 63).astype(_U)) & _U(1) == 1
+
+
 def _whole_sets(shingle: int, wanted):
-    """Whole sets of the documents whose node is in the bitmap, and of a few others."""
+    """Whole sets of the rows whose name is in the bitmap: those that stand for a candidate, and a few others."""
 
     def run(batches):
         common.leave_memory()
-        bitmap = wanted.value
-        bits = len(bitmap) * 64 - 1
         for batch in batches:
-            rows = []
-            for h, _ in _sets(batch.column("text"), shingle):
-                node = _node(h)
-                bit = node & bits
-                if int(bitmap[bit >> 6]) >> (bit & 63) & 1:
-                    rows.append((node, h.view(np.int64)))
-            if rows:
+            batch = batch.filter(pa.array(_hits(wanted.value, batch.column("name").to_numpy())))
+            if batch.num_rows:
+                rows = [(_node(h), h.view(np.int64)) for h, _ in _sets(batch.column("text"), shingle)]
                 yield common.batch_of(_WHOLE, zip(*rows, strict=True))
 
     return run
 
 
-def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (ascending) of the commonest shingles of a sample, and how often they are in it.
+def _shared_firsts(shared):
+    """node, size, pos, key of the first shingles whose bit is set."""
+
+    def run(batches):
+        for batch in batches:
+            firsts, sizes = batch.column("firsts"), batch.column("size").to_numpy()
+            counts = np.diff(firsts.offsets.to_numpy())
+            keys = firsts.flatten().to_numpy()
+            row = np.repeat(np.arange(len(counts)), counts)
+            at = np.flatnonzero(_hits(shared.value, keys))
+            pos = at - (np.cumsum(counts) - counts)[row[at]]
+            yield common.batch_of(_KEYED, (batch.column("node").to_numpy()[row[at]], sizes[row[at]], pos.astype(np.int32), keys[at]))
+
+    return run
+
+
+def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (ascending) and counts of the commonest shingles, and a bitmap of all common ones.
 
     They set the order of the shingles alone, so they bear on the work and not on the result.
     """
-    share = max(1, source.count() // SAMPLE)
 
     def run(batches):
+        common.leave_memory()
         for batch in batches:
             for h, _ in _sets(batch.column("text"), shingle):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    drawn = source.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(share)) == 0)
-    found = drawn.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    drawn = source.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(SHARE)) == 0)
+    with common.passing():
+        often = common.materialise(drawn.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN), "common-shingles")
+        found = often.orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+        crowd = _bitmap(often.select(F.col("h").alias("name")), BITS)
     h = found.column("h").to_numpy().view(_U)
     order = np.argsort(h)
-    return h[order], found.column("n").to_numpy()[order]
+    return h[order], found.column("n").to_numpy()[order], crowd
 
 
 def _may_be_similar(a_size, a_pos, b_size, b_pos, similarity: float):
@@ -264,32 +289,55 @@ def _attached(pairs: DataFrame, sets: DataFrame, side: str, other: str, name: st
     return dealt.join(each.select(side, "part", F.col("hashes").alias(name)), [side, "part"]).drop("part")
 
 
-def _verified(pairs: DataFrame, source: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are as similar (Jaccard), compared whole."""
-    pairs = common.materialise(pairs.distinct(), f"{name}-pairs")
-    nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}-nodes")
-    bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(nodes.select(F.col("node").alias("name")), PASS_BITS))
-    whole = source.select("text").mapInArrow(_whole_sets(shingle, bitmap), "node long, hashes array<long>")
-    # Copies have one set; those of a bit but of no pair go.
-    wanted = common.materialise(whole.groupBy("node").agg(F.first("hashes").alias("hashes")).join(nodes, "node", "left_semi"), f"{name}-sets")
-    both = _attached(_attached(pairs, wanted, "a", "b", "fa"), wanted, "b", "a", "fb")
-    shared = F.size(F.array_intersect("fa", "fb"))
-    return common.materialise(both.where(shared / (F.size("fa") + F.size("fb") - shared) >= similarity).select("a", "b"), name)
+def _likely(pairs: DataFrame, met: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) that can be as similar by what their first shingles share.
+
+    Of the two last first shingles one comes before the other; what is shared up to it is
+    among the first of both, and what is shared after it among the rest of its own set.
+    """
+    lists = met.groupBy("node").agg(F.first("size").alias("size"), F.collect_set("key").alias("keys"))
+    lists = common.materialise(lists.select("node", F.struct("size", "keys").alias("hashes")), "first-lists")
+    both = _attached(_attached(pairs, lists, "a", "b", "fa"), lists, "b", "a", "fb")
+    shared = F.size(F.array_intersect("fa.keys", "fb.keys"))
+    rest = lambda n: F.ceil(similarity * n - 1e-9) - 1
+    a, b = F.col("fa.size"), F.col("fb.size")
+    return both.where((shared + F.greatest(rest(a), rest(b))) * (1 + similarity) >= similarity * (a + b) - 1e-6).select("a", "b")
+
+
+def _verified(pairs: DataFrame, met: DataFrame, names: DataFrame, source: DataFrame, shingle: int, similarity: float, what: str) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are as similar (Jaccard), compared whole; names: the row (name) that stands for a node."""
+    with common.passing():
+        pairs = common.materialise(_likely(common.materialise(pairs.distinct(), f"{what}-met"), met, similarity), f"{what}-pairs")
+        nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(names, "node"), f"{what}-nodes")
+        bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(nodes.select("name"), BITS))
+        whole = source.select("name", "text").mapInArrow(_whole_sets(shingle, bitmap), "node long, hashes array<long>")
+        # Rows equal in doc_id and text have one name and one set; other sets of a bit but of no pair go.
+        wanted = common.materialise(whole.join(nodes, "node", "left_semi").dropDuplicates(["node"]), f"{what}-sets")
+        bitmap.destroy()
+        both = _attached(_attached(pairs, wanted, "a", "b", "fa"), wanted, "b", "a", "fb")
+        shared = F.size(F.array_intersect("fa", "fb"))
+        return common.materialise(both.where(shared / (F.size("fa") + F.size("fb") - shared) >= similarity).select("a", "b"), what, stays=True)
 
 
 def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity: float = 0.8) -> DataFrame:
-    """Edges (a, b) that join all sets of at least the similarity; sets: node, size, firsts (different ones) of the texts of ``source``.
+    """Edges (a, b) that join all sets of at least the similarity; sets: node, name, size, firsts (different ones) of the texts of ``source``.
 
     Every component over the pairs at least as similar (Jaccard of the whole sets) is one
     over these edges and the other way round; every edge is such a pair.  Two such sets
     share a shingle among the first of each: as many as a set can lack in the other, and
-    one.  Sets that share one are paired off in small buckets.  Members of a crowded bucket
+    one.  Sets that share one are paired off in small buckets; pairs that share too few of
+    their first ones go before any set is sent.  Members of a crowded bucket
     are compared with a leader first; pairs are made of members that are in different
     components then, for only these can change one.
     """
-    keyed = sets.where("size > 0").select("node", "size", F.posexplode("firsts").alias("pos", "key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sets = sets.where("size > 0")
+    names = sets.select("node", "name")
+    shared = common.materialise(sets.select(F.explode("firsts").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-firsts")
+    # Most shingles are in one document: they end at the source, against a bitmap of fixed size.
+    bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(shared.select(F.col("key").alias("name")), BITS))
+    keyed = sets.select("node", "size", "firsts").mapInArrow(_shared_firsts(bitmap), "node long, size int, pos int, key long")
     met = common.materialise(keyed.join(shared, "key"), "buckets")
+    bitmap.destroy()
     fits = lambda x, y: _may_be_similar(x["size"], x["pos"], y["size"], y["pos"], similarity)
     one = F.col("one")
     few = met.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list(F.struct("node", "size", "pos")).alias("all"))
@@ -300,18 +348,21 @@ def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity:
     leads = crowd.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.pmod("key", F.lit(LEADERS))).alias("draw"), "node", "size", "pos")).alias("one"))
     star = crowd.join(leads, "key").where((F.col("node") != one["node"]) & _may_be_similar(F.col("size"), F.col("pos"), one["size"], one["pos"], similarity))
     star = star.select(F.least("node", one["node"]).alias("a"), F.greatest("node", one["node"]).alias("b"))
-    first = _verified(pairs.union(star), source, shingle, similarity, "first-links")
+    first = _verified(pairs.union(star), met, names, source, shingle, similarity, "first-links")
 
     found = common.materialise(components(first), "first-components")
     placed = crowd.join(found, "node", "left").select("key", "n", "node", "size", "pos", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
+    mixed = common.materialise(mixed, "mixed")
+    if mixed.isEmpty():
+        return first
     parts = F.ceil(F.col("n") / PART).cast("int")
     member = placed.join(mixed, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # Every two parts of a bucket meet once.
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     member = member.select("key", "node", "size", "pos", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     rest = member.groupBy("key", "i", "j").applyInArrow(_across(similarity), "a long, b long")
-    return first.union(_verified(rest, source, shingle, similarity, "rest-links"))
+    return first.union(_verified(rest, met, names, source, shingle, similarity, "rest-links"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -326,16 +377,20 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Data
     """
     spark = docs.sparkSession
     common.small_batches(spark)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    source = source.withColumn("digest", F.xxhash64("text"))
-    ranked = source.mapInArrow(_shingle_sets(shingle, similarity, *_common_shingles(source, shingle)), _SETS_SPEC)
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
-    alone = common.materialise(ranked.groupBy("node").agg(F.min(rank).alias("rank"), F.collect_set("alike").alias("alike"), F.first("size").alias("size"), F.first("firsts").alias("firsts")), "folded")
-    repeated = alone.select(F.col("node").alias("a"), F.explode("alike").alias("b"))
-    found = common.materialise(components(similar_links(alone.select("node", "size", "firsts"), source, shingle, similarity).union(repeated)), "components")
-    first = alone.select("node", "rank").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("rank").alias("rank"))
     key = lambda doc_id, digest: F.xxhash64(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), digest)
-    kept = common.materialise(first.select(key(F.col("rank.doc_id"), F.col("rank.digest")).alias("_key"), F.col("rank.digest").alias("_digest")), "kept")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = source.withColumn("digest", F.xxhash64("text")).withColumn("name", key(F.col("doc_id"), F.col("digest")))
+    with common.passing():
+        order = spark.sparkContext.broadcast(_common_shingles(source, shingle))
+        ranked = source.mapInArrow(_shingle_sets(shingle, similarity, order), _SETS_SPEC)
+        rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "name")
+        alone = common.materialise(ranked.groupBy("node").agg(F.min(rank).alias("rank"), F.collect_set("alike").alias("alike"), F.first("size").alias("size"), F.first("firsts").alias("firsts")), "folded")
+        order.destroy()
+        repeated = alone.select(F.col("node").alias("a"), F.explode("alike").alias("b"))
+        links = similar_links(alone.select("node", "rank.name", "size", "firsts"), source, shingle, similarity)
+        found = common.materialise(components(links.union(repeated)), "components")
+        first = alone.select("node", "rank").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("rank").alias("rank"))
+        kept = common.materialise(first.select(F.col("rank.name").alias("_key"), F.col("rank.digest").alias("_digest")), "kept", stays=True)
     k, d, again, kd = common.free_names(docs, 4)
     keyed = docs.withColumn(d, F.xxhash64(F.col("text").cast("string"))).withColumn(k, key(F.col("doc_id").cast("long"), F.col(d)))
     # One shuffle of the texts, by key: the window below finds them dealt that way.
