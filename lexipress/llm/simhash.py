@@ -261,15 +261,34 @@ def _may_be_similar(a_size, a_pos, b_size, b_pos, similarity: float):
     return least * (1 + similarity) >= similarity * (a_size + b_size) - 1e-6
 
 
+def _shared_counts(rows: np.ndarray, keys: np.ndarray, n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many keys each of ``left`` shares with each of ``right``; key k is one of member rows[k] of n."""
+    found, at, often = np.unique(keys, return_inverse=True, return_counts=True)
+    rows, at = rows[often[at] > 1], at[often[at] > 1]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for k in range(0, len(found), PART):  # a block of keys at a time
+        here = (at >= k) & (at < k + PART)
+        if here.any():
+            has = np.zeros((n, PART), dtype=np.float32)
+            has[rows[here], at[here] - k] = 1
+            out += has[left] @ has[right].T
+    return out
+
+
 def _across(similarity: float):
     def run(rows: pa.Table) -> pa.Table:
-        """Pairs of members of two parts that stand in different components and can be similar."""
+        """Pairs of members of two parts that stand in different components and, by their first shingles, can be similar."""
         node, size, pos, comp, part = (rows.column(c).to_numpy() for c in ("node", "size", "pos", "component", "part"))
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        lists = rows.column("keys").combine_chunks()
+        counts = np.diff(lists.offsets.to_numpy())
+        shared = _shared_counts(np.repeat(np.arange(len(node)), counts), lists.flatten().to_numpy(), len(node), left, right)
+        rest = np.ceil(similarity * size - 1e-9) - 1
         found = []
-        for k in left:
+        for k, same in zip(left, shared, strict=True):
             ok = (comp[right] != comp[k]) & _may_be_similar(size[k : k + 1], pos[k : k + 1], size[right], pos[right], similarity)
+            ok &= (same + np.maximum(rest[k], rest[right])) * (1 + similarity) >= similarity * (size[k] + size[right]) - 1e-6
             if i == j:
                 ok &= node[right] > node[k]
             met = node[right[ok]]
@@ -360,7 +379,10 @@ def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity:
     member = placed.join(mixed, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # Every two parts of a bucket meet once.
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    member = member.select("key", "node", "size", "pos", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    # With its shared first shingles, so that pairs are compared in blocks and only likely ones are rows.
+    lists = met.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_set(F.col("key")).alias("keys"))
+    member = member.join(lists, "node")
+    member = member.select("key", "node", "keys", "size", "pos", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     rest = member.groupBy("key", "i", "j").applyInArrow(_across(similarity), "a long, b long")
     return first.union(_verified(rest, met, names, source, shingle, similarity, "rest-links"))
 
