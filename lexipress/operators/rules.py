@@ -123,7 +123,8 @@ def triage(docs: DataFrame, title: str, text: str, broad: Iterable[str], objects
 
 def any_keyword(text: Column, words: Column) -> Column:
     """Whether any of an array of lower-case keywords stands in the text."""
-    return F.exists(words, lambda w: F.contains(F.lower(text), w))
+    # Lower case is made once a text, as the element of an array, not once a keyword.
+    return F.exists(F.array(F.lower(text)), lambda t: F.exists(words, lambda w: F.contains(t, w)))
 
 
 def keyword_array(words: Column) -> Column:
