@@ -45,16 +45,46 @@ def _any(pattern: str | None, text: str) -> bool:
     return bool(pattern) and re.search(pattern, text, re.I) is not None
 
 
-def mentions_of(text: str, r: BrandRules) -> list[dict]:
-    """Distinct mentions with their mood: bad words near by before good ones."""
-    out: dict[str, dict] = {}
-    for m in re.finditer(r.brand, text, re.I):
-        shown = " ".join(text[max(0, m.start() - FRAGMENT[0]) : m.end() + FRAGMENT[1]].split())
-        near = text[max(0, m.start() - MOOD[0]) : m.end() + MOOD[1]]
-        mood = "negative" if _any(r.negative, near) else "positive" if _any(r.positive, near) else "neutral"
-        if shown:
-            out.setdefault(shown, {"text": shown, "sentiment": mood, "confidence": 0.6 if mood == "neutral" else 0.7})
-    return list(out.values())[:MOST_MENTIONS]
+def _spots(text: Column, pattern: str) -> Column:
+    """array<struct<a, b>>: first and last + 1 character of each match, from what stands between them."""
+    found = F.regexp_extract_all(text, F.lit(f"(?i)({pattern})"), 1)
+    between = F.slice(F.split(text, f"(?i)(?:{pattern})"), 1, F.size(found))
+    cut = F.arrays_zip(between.alias("before"), found.alias("match"))
+    empty = F.array().cast("array<struct<a: int, b: int>>")
+
+    def add(spots: Column, x: Column) -> Column:
+        a = F.coalesce(F.try_element_at(spots, F.lit(-1))["b"], F.lit(0)) + F.length(x["before"])
+        return F.concat(spots, F.array(F.struct(a.alias("a"), (a + F.length(x["match"])).alias("b"))))
+
+    return F.aggregate(cut, empty, add)
+
+
+def _around(text: Column, spot: Column, reach: tuple[int, int]) -> Column:
+    a = F.greatest(spot["a"] - reach[0], F.lit(0))
+    return text.substr(a + 1, spot["b"] + reach[1] - a)
+
+
+def mentions_in(text: Column, r: BrandRules) -> Column:
+    """array<struct<text, sentiment, confidence>>: distinct mentions with their mood, bad words near by before good ones.
+
+    A null text has none.  Of mentions that read alike the first stands, MOST_MENTIONS at most.
+    """
+
+    def told(whole: Column) -> Column:
+        def one(spot: Column) -> Column:
+            near = _around(whole, spot, MOOD)
+            mood = F.when(near.rlike(f"(?i){r.negative}"), "negative").when(near.rlike(f"(?i){r.positive}"), "positive").otherwise("neutral")
+            shown = F.trim(F.regexp_replace(_around(whole, spot, FRAGMENT), r"(?U)\s+", " "))
+            return F.struct(shown.alias("text"), mood.alias("sentiment"), F.when(mood == "neutral", 0.6).otherwise(0.7).alias("confidence"))
+
+        return F.filter(F.transform(_spots(whole, r.brand), one), lambda x: x["text"] != "")
+
+    def first(all_: Column) -> Column:
+        return F.transform(F.array(F.transform(all_, lambda x: x["text"])), lambda texts: F.filter(all_, lambda x, k: F.array_position(texts, x["text"]) == k + 1))[0]
+
+    # Texts and lists are elements of arrays of one, so that lambdas do not work them out again.
+    made = F.transform(F.array(F.coalesce(text, F.lit(""))), told)
+    return F.slice(F.transform(made, first)[0], 1, MOST_MENTIONS)
 
 
 def impact_of(goal_id: int, title: str | None, content: str | None, r: BrandRules) -> dict:
@@ -74,12 +104,7 @@ def impact_of(goal_id: int, title: str | None, content: str | None, r: BrandRule
 
 def mentions(docs: DataFrame, text: str, r: BrandRules) -> DataFrame:
     """docs with ``mentions``: array<struct<text, sentiment, confidence>>."""
-
-    @F.pandas_udf("array<struct<text: string, sentiment: string, confidence: double>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: mentions_of(t or "", r))
-
-    return docs.withColumn("mentions", run(F.col(text)))
+    return docs.withColumn("mentions", mentions_in(F.col(text), r))
 
 
 def impacts(pairs: DataFrame, r: BrandRules) -> DataFrame:

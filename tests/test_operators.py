@@ -1,3 +1,4 @@
+import re
 import random
 
 import pytest
@@ -204,7 +205,7 @@ def test_truth_and_recall(spark):
     assert {r["id_object"]: r["recall_at_1"] for r in got} == {1: 0.5, 2: 0.0}
 
 
-def test_impact_rules():
+def test_impact_rules(spark):
     g = {1: classify.GoalRules("app", "improved", "outage"), 4: classify.GoalRules("trust", "loved", "fraud", open=True), 5: classify.GoalRules("salary", "grew", "delay", quiet="vacancy")}
     r = classify.BrandRules("acme", "great", "awful", "press release", r"subscribe to acme", g)
     assert classify.impact_of(1, "Acme app", "improved a lot. press release", r) == {"impact": "positive", "signal_strength": "direct", "confidence": 0.7, "is_paid": 1}
@@ -213,7 +214,16 @@ def test_impact_rules():
     assert classify.impact_of(4, "Acme", "fraud", r)["impact"] == "negative"
     assert classify.impact_of(5, "Acme salary", "grew. vacancy", r)["impact"] == "neutral"
     assert classify.impact_of(1, None, "subscribe to acme app improved", r)["impact"] == "neutral"
-    assert [m["sentiment"] for m in classify.mentions_of("acme is awful and great" + " x" * 300 + " acme is great", r)] == ["negative", "positive"]
+    texts = [(1, "acme is awful and great" + " x" * 300 + " acme is great"), (2, None), (3, "no brand"), (4, "ACME\u00a0 and  acme " * 40), (5, "y" * 500 + " acme " + "z " * 300 + "awful"), (6, "acme")]
+    got = {x["id"]: x["mentions"] for x in classify.mentions(spark.createDataFrame(texts, "id long, t string"), "t", r).collect()}
+    assert [m["sentiment"] for m in got[1]] == ["negative", "positive"] and got[2] == got[3] == [] and len(got[6]) == 1
+    assert got[5][0]["sentiment"] == "neutral" and got[5][0]["confidence"] == 0.6
+    for k, t in texts:  # each window by its definition
+        want = {}
+        for m in re.finditer("acme", t or "", re.I):
+            near = t[max(0, m.start() - 160) : m.end() + 240]
+            want.setdefault(" ".join(t[max(0, m.start() - 80) : m.end() + 120].split()), "negative" if "awful" in near else "positive" if "great" in near else "neutral")
+        assert [(m["text"], m["sentiment"]) for m in got[k]] == list(want.items())[:12]
 
 
 def test_ranking_gate(spark):
