@@ -136,6 +136,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -
 FEW = 8
 #: Members of one part of a crowded bucket, and pairs of one document that a task compares.
 PART = 1024
+#: Hashes of the sets of one part, on the average.
+HASHES = 1 << 21
 #: Leaders that a crowded group is compared with first.
 LEADERS = 4
 #: One in so many documents has its shingles counted, to tell common ones: those in so many of
@@ -275,26 +277,50 @@ def _shared_counts(rows: np.ndarray, keys: np.ndarray, n: int, left: np.ndarray,
     return out
 
 
-def _across(similarity: float):
+def _block(rows: pa.Table, lists: str):
+    """Of one block: components, members of either part, the flat values of a list column and the member of each."""
+    i, j, part = (rows.column(c).to_numpy() for c in ("i", "j", "part"))
+    each = rows.column(lists).combine_chunks()
+    of = np.repeat(np.arange(rows.num_rows), np.diff(each.offsets.to_numpy()))
+    return rows.column("component").to_numpy(), np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0]), each.flatten(), of
+
+
+def _meeting(similarity: float):
     def run(rows: pa.Table) -> pa.Table:
-        """Pairs of members of two parts that stand in different components and, by their first shingles, can be similar."""
-        node, size, pos, comp, part = (rows.column(c).to_numpy() for c in ("node", "size", "pos", "component", "part"))
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        lists = rows.column("keys").combine_chunks()
-        counts = np.diff(lists.offsets.to_numpy())
-        shared = _shared_counts(np.repeat(np.arange(len(node)), counts), lists.flatten().to_numpy(), len(node), left, right)
-        rest = np.ceil(similarity * size - 1e-9) - 1
-        found = []
-        for k, same in zip(left, shared, strict=True):
-            ok = (comp[right] != comp[k]) & _may_be_similar(size[k : k + 1], pos[k : k + 1], size[right], pos[right], similarity)
-            ok &= (same + np.maximum(rest[k], rest[right])) * (1 + similarity) >= similarity * (size[k] + size[right]) - 1e-6
-            if i == j:
-                ok &= node[right] > node[k]
-            met = node[right[ok]]
-            found.append((np.minimum(met, node[k]), np.maximum(met, node[k])))
-        a, b = (np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
-        return pa.table({"a": a, "b": b})
+        """Members that first meet one of another component in this bucket and, by their first shingles, can be similar to it.
+
+        They meet first where no earlier first shingle is common, so a pair counts in one bucket.
+        """
+        comp, left, right, firsts, of = _block(rows, "firsts")
+        size, pos = rows.column("size").to_numpy(), rows.column("pos").to_numpy()
+        keys, early = firsts.field("key").to_numpy(), firsts.field("pos").to_numpy() < pos[of]
+        shared = _shared_counts(of, keys, len(comp), left, right)
+        ok = _shared_counts(of[early], keys[early], len(comp), left, right) == 0
+        ok &= comp[left][:, None] != comp[right]
+        a, b = size[left][:, None], size[right]
+        ok &= _may_be_similar(a, pos[left][:, None], b, pos[right], similarity)
+        ok &= (shared + np.ceil(similarity * np.maximum(a, b) - 1e-9) - 1) * (1 + similarity) >= similarity * (a + b) - 1e-6
+        met = np.union1d(left[ok.any(axis=1)], right[ok.any(axis=0)])
+        return rows.select(["key", "i", "j", "part", "node", "component"]).take(pa.array(met))
+
+    return run
+
+
+def _joined(similarity: float):
+    def run(rows: pa.Table) -> pa.Table:
+        """Pairs of members whose whole sets are as similar, as many as join what such pairs join and no more."""
+        comp, left, right, hashes, of = _block(rows, "hashes")
+        node, size = rows.column("node").to_numpy(), np.bincount(of, minlength=len(comp))
+        shared = _shared_counts(of, hashes.to_numpy(), len(comp), left, right).astype(np.float64)
+        ok = shared / (size[left][:, None] + size[right] - shared) >= similarity
+        group, found = comp.copy(), []
+        for k, row in zip(left, ok, strict=True):
+            groups, at = np.unique(group[right[row]], return_index=True)
+            new = groups != group[k]
+            found += [(node[k], node[x]) for x in right[row][at[new]]]
+            group[np.isin(group, groups[new])] = group[k]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -323,16 +349,22 @@ def _likely(pairs: DataFrame, met: DataFrame, similarity: float) -> DataFrame:
     return both.where((shared + F.greatest(rest(a), rest(b))) * (1 + similarity) >= similarity * (a + b) - 1e-6).select("a", "b")
 
 
+def _sets_of(nodes: DataFrame, names: DataFrame, source: DataFrame, shingle: int, what: str) -> DataFrame:
+    """node, hashes: the whole sets of ``nodes``; names: the row (name) that stands for a node."""
+    nodes = common.materialise(nodes.distinct().join(names, "node"), f"{what}-nodes")
+    bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(nodes.select("name"), BITS))
+    whole = source.select("name", "text").mapInArrow(_whole_sets(shingle, bitmap), "node long, hashes array<long>")
+    # Rows equal in doc_id and text have one name and one set; other sets of a bit but of no pair go.
+    wanted = common.materialise(whole.join(nodes, "node", "left_semi").dropDuplicates(["node"]), f"{what}-sets")
+    bitmap.destroy()
+    return wanted
+
+
 def _verified(pairs: DataFrame, met: DataFrame, names: DataFrame, source: DataFrame, shingle: int, similarity: float, what: str) -> DataFrame:
     """Those of the pairs (a, b) whose sets are as similar (Jaccard), compared whole; names: the row (name) that stands for a node."""
     with common.passing():
         pairs = common.materialise(_likely(common.materialise(pairs.distinct(), f"{what}-met"), met, similarity), f"{what}-pairs")
-        nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(names, "node"), f"{what}-nodes")
-        bitmap = source.sparkSession.sparkContext.broadcast(_bitmap(nodes.select("name"), BITS))
-        whole = source.select("name", "text").mapInArrow(_whole_sets(shingle, bitmap), "node long, hashes array<long>")
-        # Rows equal in doc_id and text have one name and one set; other sets of a bit but of no pair go.
-        wanted = common.materialise(whole.join(nodes, "node", "left_semi").dropDuplicates(["node"]), f"{what}-sets")
-        bitmap.destroy()
+        wanted = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), names, source, shingle, what)
         both = _attached(_attached(pairs, wanted, "a", "b", "fa"), wanted, "b", "a", "fb")
         shared = F.size(F.array_intersect("fa", "fb"))
         return common.materialise(both.where(shared / (F.size("fa") + F.size("fb") - shared) >= similarity).select("a", "b"), what, stays=True)
@@ -345,9 +377,10 @@ def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity:
     over these edges and the other way round; every edge is such a pair.  Two such sets
     share a shingle among the first of each: as many as a set can lack in the other, and
     one.  Sets that share one are paired off in small buckets; pairs that share too few of
-    their first ones go before any set is sent.  Members of a crowded bucket
-    are compared with a leader first; pairs are made of members that are in different
-    components then, for only these can change one.
+    their first ones go before any set is sent.  Members of a crowded bucket are compared
+    with a leader first; then, in blocks, with those of other components, for only these can
+    change one.  A block gives rows for members, never for pairs: first which of them may be
+    similar to another, then, of their whole sets, the links that join components.
     """
     sets = sets.where("size > 0")
     names = sets.select("node", "name")
@@ -370,21 +403,26 @@ def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity:
     first = _verified(pairs.union(star), met, names, source, shingle, similarity, "first-links")
 
     found = common.materialise(components(first), "first-components")
-    placed = crowd.join(found, "node", "left").select("key", "n", "node", "size", "pos", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
-    mixed = common.materialise(mixed, "mixed")
-    if mixed.isEmpty():
-        return first
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    member = placed.join(mixed, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # Every two parts of a bucket meet once.
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    # With its shared first shingles, so that pairs are compared in blocks and only likely ones are rows.
-    lists = met.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_set(F.col("key")).alias("keys"))
-    member = member.join(lists, "node")
-    member = member.select("key", "node", "keys", "size", "pos", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    rest = member.groupBy("key", "i", "j").applyInArrow(_across(similarity), "a long, b long")
-    return first.union(_verified(rest, met, names, source, shingle, similarity, "rest-links"))
+    with common.passing():
+        placed = crowd.join(found, "node", "left").select("key", "node", "size", "pos", F.coalesce("component", "node").alias("component"))
+        counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("hashes"))
+        most = F.max(F.struct("n", "hashes", "component"))
+        mixed = counts.groupBy("key").agg(F.count("*").alias("components"), F.sum("n").alias("n"), F.sum("hashes").alias("hashes"), most.alias("most")).where("components > 1")
+        parts = lambda n, hashes: F.ceil(F.greatest(n / PART, hashes / HASHES)).cast("int")
+        rest = parts(F.col("n") - F.col("most.n"), F.col("hashes") - F.col("most.hashes")).alias("rest")
+        mixed = common.materialise(mixed.select("key", F.col("most.component").alias("largest"), rest, parts(F.col("most.n"), F.col("most.hashes")).alias("large")), "mixed")
+        # A bucket's largest component is parts of its own, which meet the other parts but not each other.
+        inside, draw = F.col("component") == F.col("largest"), F.xxhash64("node")
+        part = F.when(inside, F.col("rest") + F.pmod(draw, F.col("large"))).otherwise(F.pmod(draw, F.col("rest"))).cast("int")
+        others = F.sequence(F.lit(0), F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)
+        member = placed.join(mixed, "key").select("key", "node", "size", "pos", "component", part.alias("part"), F.explode(others).alias("other"))
+        lists = met.join(member.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("key", "pos")).alias("firsts"))
+        blocks = member.join(lists, "node").select("*", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).drop("other")
+        meeting = blocks.groupBy("key", "i", "j").applyInArrow(_meeting(similarity), "key long, i int, j int, part int, node long, component long")
+        meeting = common.materialise(meeting, "meeting")
+        whole = meeting.join(_sets_of(meeting.select("node"), names, source, shingle, "meeting"), "node")
+        rest = common.materialise(whole.groupBy("key", "i", "j").applyInArrow(_joined(similarity), "a long, b long"), "rest-links", stays=True)
+    return first.union(rest)
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
