@@ -166,3 +166,24 @@ def test_similarity_is_decided_exactly(spark):
     under, similarity = near_pairs(20, 9, 364)
     assert 0.77 < similarity < 0.8
     assert kept_of(spark, under) == list(range(40))
+
+
+def test_crowded_buckets_of_unlike_texts(spark, monkeypatch):
+    """Texts of one template that differ more or less: components as of all pairs, in blocks of a few members."""
+    rng = random.Random(5)
+    texts = []
+    for g in range(3):
+        base = [f"t{g}x{k}" for k in range(60)]
+        for k in range(40):
+            own = list(base)
+            for at in rng.sample(range(60), rng.choice((1, 2, 3, 6))):
+                own[at] = f"v{g}x{rng.randrange(4) if k % 2 else k}"
+            texts.append(" ".join(own))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for t in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = sorted(set(linked(len(texts), pairs)))
+    assert 3 < len(want) < 100
+    assert kept_of(spark, texts) == want
+    for name, few in (("FEW", 2), ("PART", 8), ("HASHES", 1000), ("LEADERS", 1)):
+        monkeypatch.setattr(simhash, name, few)
+    assert kept_of(spark, texts) == want
