@@ -173,13 +173,13 @@ def test_crowded_buckets_of_unlike_texts(spark, monkeypatch):
     rng = random.Random(5)
     texts = []
     for g in range(3):
-        base = [f"t{g}x{k}" for k in range(60)]
+        base = [f"t{g}x{k}" for k in range(200)]
         for k in range(40):
             own = list(base)
-            for at in rng.sample(range(60), rng.choice((1, 2, 3, 6))):
+            for at in rng.sample(range(200), rng.choice((1, 2, 3, 6))):
                 own[at] = f"v{g}x{rng.randrange(4) if k % 2 else k}"
             texts.append(" ".join(own))
-    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for t in texts]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(196)} for t in texts]
     pairs = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     want = sorted(set(linked(len(texts), pairs)))
     assert 3 < len(want) < 100
