@@ -162,3 +162,8 @@ def fill_template(template: Column, values: dict[str, Column]) -> Column:
 
 def hits_bucket(n: Column) -> Column:
     return F.when(n <= 1, "1").when(n == 2, "2").when(n <= 4, "3-4").when(n <= 9, "5-9").otherwise("10+")
+
+
+def drawn(key: str, seed: int) -> Column:
+    """A hash that orders rows at random, the same for a seed."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import keys
+
 DEPTHS = (10, 50, 100, 500)
 ACCEPTED_RECALL = 0.70
 MIN_POSITIVES = 5
@@ -140,7 +142,7 @@ def consistency(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def stratified(rows: DataFrame, stratum: str, size: int, key: str = "id", seed: int = 0) -> DataFrame:
     """Up to ``size`` rows of each stratum, the same for a seed."""
-    order = W.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), key), key)
+    order = W.partitionBy(stratum).orderBy(keys.drawn(key, seed), key)
     return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size).drop("_n")
 
 

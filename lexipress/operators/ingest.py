@@ -71,5 +71,26 @@ def offset_page(rows: DataFrame, order: list[Column], offset: int, size: int) ->
 
 
 def random_rows(rows: DataFrame, size: int, key: str, seed: int = 0) -> DataFrame:
-    """A sample of ``size`` rows, the same for a seed: smallest hashes of key and seed."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(size)
+    """A sample of ``size`` rows, the same for a seed: smallest hashes of seed and key."""
+    return rows.orderBy(keys.drawn(key, seed), key).limit(size)
+
+
+def with_background(rows: DataFrame, pool: DataFrame, extra: int, key: str, seed: int = 0) -> DataFrame:
+    """Rows of the pool and ``extra`` others drawn at random; ``in_pool`` tells them apart.
+
+    A row without a key is in no pool and may be drawn.
+    """
+    ids = pool.select(key).distinct()
+    inside = rows.join(ids, key, "left_semi").withColumn("in_pool", F.lit(True))
+    return inside.unionByName(random_rows(rows.join(ids, key, "left_anti"), extra, key, seed).withColumn("in_pool", F.lit(False)))
+
+
+def clean_with_source(clean: DataFrame, raw: DataFrame, dimension: DataFrame, key: str = "id_raw_post", name: str = "source") -> DataFrame:
+    """Clean rows with the columns of their raw post and the name of its source; rows that lack either go."""
+    of_source = dimension.select(F.col("source_key").alias("_source_key"), "name_source")
+    return clean.join(raw, key).join(of_source, F.lower(F.col(name)) == F.col("_source_key")).drop("_source_key")
+
+
+def looked_up(ids: DataFrame, rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows with the given ids, repeated ids once; an unknown id has nulls."""
+    return ids.select(key).distinct().join(rows.select(key, *columns), key, "left")

@@ -149,3 +149,9 @@ def cleaned_labels(replies: DataFrame, queue: DataFrame, catalog: set[int]) -> D
 def call_log(step: str, started: float, ended: float, prompt: str, reply: str | None, error: str | None) -> dict:
     """A row of the call log."""
     return {"step": step, "seconds": round(ended - started, 3), "prompt_chars": len(prompt), "reply_chars": len(reply or ""), "success": error is None, "error": error}
+
+
+def labelled_posts(labels: DataFrame, goals: DataFrame, clean: DataFrame, raw: DataFrame) -> DataFrame:
+    """Labels (id, id_goal) with their goal, clean row and raw post (id_raw_post); rows that lack one go."""
+    posts = clean.join(raw, "id_raw_post").withColumnRenamed("id_raw_post", "id")
+    return labels.join(goals, "id_goal").join(posts, "id")

@@ -59,7 +59,7 @@ def offset_page(spark, sf):
     return ingest.offset_page(table(spark, sf, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), F.col("doc_id")], 20, 30)
 
 
-@query()
+@query("SELECT doc_id, source FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 100")
 def random_rows(spark, sf):
     return ingest.random_rows(table(spark, sf, "documents"), 100, "doc_id", 7).select("doc_id", "source")
 
@@ -633,7 +633,7 @@ def nearest_percentiles(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(evaluation.nearest_percentile(F.col("value"), 0.9).alias("p90"), evaluation.upper_median(F.col("value")).alias("median"))
 
 
-@query()
+@query("SELECT event_id AS id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('3:' || event_id), event_id) <= 10")
 def stratified_sample(spark, sf):
     return evaluation.stratified(table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type"), "event_type", 10, seed=3)
 
@@ -641,10 +641,23 @@ def stratified_sample(spark, sf):
 # Labels and merges
 
 
-@query("SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC) = 1")
+@query("""WITH u AS (SELECT l_orderkey, l_linenumber, l_shipdate + CASE WHEN l_linenumber = 1 THEN 10 ELSE 0 END * INTERVAL 1 DAY AS d, l_extendedprice AS p, l_partkey AS k, l_suppkey AS s, l_returnflag AS r, 'stored' AS l_returnflag, 0 AS new FROM lineitem WHERE l_linenumber <= 2
+UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_returnflag, l_returnflag, 1 FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_returnflag FROM u QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY d DESC, p DESC, k DESC, s DESC, r DESC, new DESC) = 1""")
 def latest_wins(spark, sf):
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_returnflag").alias("version"), "l_returnflag")
-    return merge.latest_wins(rows.limit(0), rows, ["l_orderkey", "l_linenumber"], "version").select("l_orderkey", "l_linenumber", "l_returnflag")
+    """Stored rows of line 1 are newer, those of line 2 as new as the new ones."""
+    rows = table(spark, sf, "lineitem")
+    later = F.col("l_shipdate") + F.make_dt_interval(F.when(F.col("l_linenumber") == 1, 10).otherwise(0))
+    version = lambda day: F.struct(day.cast("timestamp").alias("day"), "l_extendedprice", "l_partkey", "l_suppkey", "l_returnflag").alias("version")
+    stored = rows.where("l_linenumber <= 2").select("l_orderkey", "l_linenumber", version(later), F.lit("stored").alias("l_returnflag"))
+    new = rows.select("l_orderkey", "l_linenumber", version(F.col("l_shipdate")), "l_returnflag")
+    return merge.latest_wins(stored, new, ["l_orderkey", "l_linenumber"], "version").select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@query("SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, 7 AS quality FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def insert_missing(spark, sf):
+    new = table(spark, sf, "documents").select("doc_id", F.lit(7).alias("quality"))
+    return merge.insert_missing(table(spark, sf, "labels").select("doc_id", F.col("quality").cast("int").alias("quality")), new, ["doc_id"])
 
 
 @query("SELECT c.c_custkey, coalesce(o.p, c.c_mktsegment) AS c_mktsegment FROM customer c LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS p FROM orders GROUP BY 1) o ON o.o_custkey = c.c_custkey")
@@ -723,3 +736,102 @@ def migration_report(spark, sf):
     items = c.select("id", F.col("text").alias("url"), F.lit("2024-01-01").alias("published_at"), F.col("text").alias("content"), meta.alias("metadata"))
     clean = c.where("role = 'user'").select((F.col("id") + 5).alias("id"), F.col("id").alias("raw_item_id"), F.lit(None).cast("string").alias("clean_title"), F.col("text").alias("clean_text"))
     return merge.migrate(items, clean, items.limit(0))["report"]
+
+
+# Joins of several tables, look-ups, models, keys
+
+
+@query(f"WITH {POSTS}, {VERDICTS}, s AS (SELECT lower(source) AS source_key, arg_min(source, id_raw_post) AS name_source FROM posts GROUP BY 1) SELECT p.id_raw_post, p.title, s.name_source FROM verdicts v JOIN posts p USING (id_raw_post) JOIN s ON s.source_key = lower(p.source) WHERE v.drop_reason IS NULL AND NOT v.is_duplicate")
+def clean_with_source(spark, sf):
+    p = posts(spark, sf)
+    clean = old_verdicts(spark, sf).where(verdict.kept_rows()).select("id_raw_post")
+    return ingest.clean_with_source(clean, p, ingest.sources(p)).select("id_raw_post", "title", "name_source")
+
+
+@query(f"WITH {POSTS}, {VERDICTS}, l AS (SELECT doc_id AS id, 1 AS id_goal, 'positive' AS impact FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 2, 'negative' FROM labels WHERE toxic = 1) SELECT l.id, l.id_goal, 'goal ' || l.id_goal AS goal, l.impact, v.drop_reason, p.title, p.time_post FROM l JOIN verdicts v ON v.id_raw_post = l.id JOIN posts p ON p.id_raw_post = l.id WHERE NOT v.is_duplicate")
+def labelled_posts(spark, sf):
+    n = table(spark, sf, "labels")
+    rows = n.where("quality = 1").select(F.col("doc_id").alias("id"), F.lit(1).alias("id_goal"), F.lit("positive").alias("impact")).union(n.where("toxic = 1").select("doc_id", F.lit(2), F.lit("negative")))
+    clean = old_verdicts(spark, sf).where("not is_duplicate").select("id_raw_post", "drop_reason")
+    return labels.labelled_posts(rows, _goals(spark), clean, posts(spark, sf)).select("id", "id_goal", "goal", "impact", "drop_reason", "title", "time_post")
+
+
+@query("SELECT doc_id, source, TRUE AS in_pool FROM documents WHERE source = 'src3' UNION ALL SELECT * FROM (SELECT doc_id, source, FALSE AS in_pool FROM documents WHERE source IS DISTINCT FROM 'src3' ORDER BY md5('5:' || doc_id), doc_id LIMIT 50)")
+def pool_and_background(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "source")
+    return ingest.with_background(d, d.where("source = 'src3'"), 50, "doc_id", 5)
+
+
+@query(f"WITH {POSTS}, i AS (SELECT DISTINCT doc_id * 3 AS id_raw_post FROM labels) SELECT i.id_raw_post, p.title, p.time_post FROM i LEFT JOIN posts p USING (id_raw_post)")
+def looked_up_titles(spark, sf):
+    ids = table(spark, sf, "labels").select((F.col("doc_id") * 3).alias("id_raw_post"))
+    return ingest.looked_up(ids, posts(spark, sf), "id_raw_post", ["title", "time_post"])
+
+
+@query("SELECT doc_id AS id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def next_stage(spark, sf):
+    return labels.next_stage(table(spark, sf, "documents").select(F.col("doc_id").alias("id")), table(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("id")))
+
+
+def _searched(where: str) -> str:
+    scored = f"SELECT o.id_object, e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(o.q AS DOUBLE[])), 6) AS score FROM embeddings e CROSS JOIN objects o WHERE {where}"
+    return f"WITH {OBJECTS}, scored AS ({scored}) SELECT *, row_number() OVER (PARTITION BY id_object ORDER BY score DESC, id) AS rank FROM scored QUALIFY rank <= 100"
+
+
+def _best(found):
+    return retrieval.top_k(found.select("id_object", "id", F.round("score", 6).alias("score")), 100, "id_object")
+
+
+@query(_searched("e.vec_id % 2 = 0"))
+def vector_of_model(spark, sf):
+    v = vectors(spark, sf).withColumn("model", F.when(F.col("id") % 2 == 0, "even").otherwise("odd"))
+    return _best(retrieval.vector_channel(v, object_queries(spark, sf), 1 << 30, model="even"))
+
+
+@query(_searched("e.label IS NOT NULL AND e.vec_id % 3 > 0"))
+def vector_in_universe(spark, sf):
+    return _best(retrieval.vector_channel(vectors(spark, sf), object_queries(spark, sf), 1 << 30, truth(spark, sf).where("id % 3 > 0")))
+
+
+_WORDS = {1: "the GNU license", 2: "version of token", 3: "a b"}
+
+
+@query("""WITH t AS (SELECT doc_id AS id, string_split_regex(lower(text), '[^\\pL\\pN_]+') AS w FROM documents), q(id_object, words) AS (VALUES (1, ['the', 'gnu', 'license']), (2, ['version', 'token'])),
+s AS (SELECT id_object, id, len(list_filter(w, lambda x: list_contains(words, x))) AS score FROM t CROSS JOIN q)
+SELECT id_object, id, score, row_number() OVER (PARTITION BY id_object ORDER BY score DESC, id) AS rank FROM s WHERE score > 0 QUALIFY rank <= 100""")
+def word_search(spark, sf):
+    return retrieval.word_channel(table(spark, sf, "documents"), _WORDS, F.col("text"), 100, "doc_id")
+
+
+@query("SELECT vec_id AS id, len(embedding) AS n, embedding[1] AS first, embedding[len(embedding)] AS last, CAST(NULL AS BOOLEAN) AS broken FROM embeddings WHERE embedding IS NOT NULL")
+def vector_texts(spark, sf):
+    v = vectors(spark, sf).where("embedding is not null").select("id", V.literal(F.col("embedding")).alias("text"))
+    read = V.parse(F.col("text"))
+    broken = F.isnotnull(V.parse(F.concat(F.lit("x"), "text")))
+    return v.select("id", F.size(read).alias("n"), F.element_at(read, 1).cast("float").alias("first"), F.element_at(read, -1).cast("float").alias("last"), F.when(broken, True).alias("broken"))
+
+
+@query("""SELECT page_id, TRY_CAST(nullif(regexp_extract(string_split(url, '/')[-1], '([0-9]+)', 1), '') AS INTEGER) AS goal, sha1('[' || to_json(url) || ',' || to_json('page ' || page_id) || ']') AS fingerprint, CAST(page_id AS INTEGER) AS step_goal,
+CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS DOUBLE) END AS wait, page_id % 3 < 2 AS over, CASE WHEN page_id % 2 = 0 THEN page_id END AS whole FROM pages""")
+def call_keys(spark, sf):
+    p, n = table(spark, sf, "pages"), F.col("page_id")
+    error = F.when(n % 3 == 0, F.concat(F.lit("HTTP 429, Retry-After: "), n.cast("string"))).when(n % 3 == 1, "Rate limit hit").otherwise("bad request")
+    number = F.when(n % 2 == 0, F.concat(F.lit(" "), n.cast("string"))).otherwise(F.concat(n.cast("string"), F.lit(".5")))
+    return p.select("page_id", keys.goal_of_file(F.col("url")).alias("goal"), keys.row_fingerprint(F.col("url"), F.concat(F.lit("page "), n.cast("string"))).alias("fingerprint"), keys.step_goal(F.concat(F.lit("label-kr-"), n.cast("string"))).alias("step_goal"), keys.retry_after(error).alias("wait"), keys.over_capacity(error).alias("over"), keys.int_like(number).alias("whole"))
+
+
+@query("SELECT string_agg(n_nationkey || '. ' || n_name, chr(10) ORDER BY n_nationkey) AS catalog, count(*) AS n FROM nation WHERE n_regionkey <> 2")
+def active_goals(spark, sf):
+    return labels.goal_catalog(table(spark, sf, "nation").select(F.col("n_nationkey").alias("id_goal"), F.col("n_name").alias("goal"), (F.col("n_regionkey") != 2).alias("active")))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' OR c_custkey % 3 = 0")
+def missing_enrichment(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("enrichment"), F.when(F.col("c_custkey") % 3 == 0, "trial_run").alias("enriched_by"))
+    return labels.missing_enrichment(c).select("c_custkey")
+
+
+@query(f"WITH {TRUTH}, c AS (SELECT id_object, count(*) AS positives FROM truth GROUP BY 1) SELECT count(*) AS objects, round(avg(positives), 6) AS positives FROM c")
+def macro_positives(spark, sf):
+    m = evaluation.macro(truth(spark, sf).groupBy("id_object").agg(F.count("*").alias("positives")), "positives")
+    return m.select("objects", F.round("positives", 6).alias("positives"))

@@ -280,3 +280,12 @@ def test_progress(spark):
     docs = spark.range(3)
     rows = spark.createDataFrame([(0, True), (1, False)], "id long, relevance boolean")
     assert stats.progress(docs, rows, None).head()["done"] is False and stats.progress(docs, rows, 1).head()["done"] is True
+
+
+def test_query_vectors_are_made_once(spark):
+    rows = [(1, "about one", [1.0, 0.0]), (2, "about two", None)]
+    objects = spark.createDataFrame(rows, "id_object int, search_description string, query_embedding array<float>")
+    fn = lambda texts, role: [[0.0, 2.0] if (t, role) == ("about two", "query") else [9.0, 9.0] for t in texts]
+    every, made = retrieval.with_query_vectors(objects, fn, 2)
+    assert {r["id_object"]: r["query_embedding"] for r in every.collect()} == {1: [1.0, 0.0], 2: [0.0, 1.0]}
+    assert [r["id_object"] for r in made.collect()] == [2]
