@@ -30,6 +30,10 @@ SHAPE_BITS = 11
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 #: Documents whose features or cosines are held at once.
 _ROWS = 64
+#: Residual at which an eigenvector has settled, as a share of the largest eigenvalue.
+SETTLED = 1e-12
+#: Vectors that a Krylov space grows by at once.
+BLOCK = 16
 
 
 def _classes() -> np.ndarray:
@@ -65,9 +69,9 @@ def features(column: pa.Array) -> np.ndarray:
     return out
 
 
-def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Damped and weighted counts; words and shapes each of unit length, so that neither drowns the other."""
-    x = np.log1p(counts)
+def _weigh(counts: np.ndarray, idf: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Damped and weighted counts (in ``out``, if given); words and shapes each of unit length, so that neither drowns the other."""
+    x = np.log1p(counts, out=out)
     x *= idf
     for a, b in ((0, 1 << WORD_BITS), (1 << WORD_BITS, FEATURES)):
         norm = np.sqrt(np.einsum("ij,ij->i", x[:, a:b], x[:, a:b]))[:, None]
@@ -75,6 +79,33 @@ def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x
 
 
+def _leading(gram: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest eigenvalues, ascending, and eigenvectors of a symmetric float32 matrix, in double precision.
+
+    A block Krylov space grows until they have settled; if it grew beyond half of the whole
+    space, the dense solver is called instead, which needs several copies of the matrix.
+    """
+    n = len(gram)
+    q = np.linalg.qr(np.random.default_rng(0).standard_normal((n, min(n, BLOCK))))[0]
+    basis, images = np.zeros((n, 0)), np.zeros((n, 0))
+    while basis.shape[1] + BLOCK <= n // 2:
+        image = np.concatenate([gram[i : i + _ROWS].astype(np.float64) @ q for i in range(0, n, _ROWS)])
+        basis, images = np.hstack((basis, q)), np.hstack((images, image))
+        if basis.shape[1] > k and basis.shape[1] % (4 * BLOCK) == 0:
+            small = basis.T @ images
+            values, y = np.linalg.eigh((small + small.T) / 2)
+            values, y = values[-k:], y[:, -k:]
+            vectors = basis @ y
+            if np.linalg.norm(images @ y - vectors * values, axis=0).max() <= SETTLED * values[-1]:
+                return values, vectors
+        q = image
+        for _ in range(2):
+            q = np.linalg.qr(q - basis @ (basis.T @ q))[0]
+    del basis, images
+    values, vectors = np.linalg.eigh(gram.astype(np.float64))
+    return values[-k:], vectors[:, -k:]
+
+
 class Model:
     """Everything that scoring needs; its size is bounded by SAMPLE_PER_LABEL and DIMENSIONS."""
 
@@ -82,19 +113,20 @@ class Model:
         self.labels, self.stands_for, self.neighbours = labels.astype(np.float64), stands_for, min(neighbours, len(labels))
         if not len(labels):
             return
-        self.idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-        x = _weigh(counts, self.idf)
+        # The sample is dense: it is weighed in its place, so ``counts`` is not the caller's any more.
+        self.idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
+        x = _weigh(counts, self.idf, out=counts)
         self.centre = x.mean(axis=0)
         x -= self.centre
         # Right singular vectors by way of the smaller of the two Gram matrices.
         if len(x) < FEATURES:
-            values, left = np.linalg.eigh((x @ x.T).astype(np.float64))
-            top = np.argsort(-values)[:dimensions]
+            values, left = _leading(x @ x.T, min(dimensions, len(x)))
+            top = np.argsort(-values)
             top = top[values[top] > 1e-9]
             self.project = x.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)
         else:
-            values, right = np.linalg.eigh((x.T @ x).astype(np.float64))
-            self.project = right[:, np.argsort(-values)[:dimensions]].astype(np.float32)
+            values, right = _leading(x.T @ x, dimensions)
+            self.project = right[:, np.argsort(-values)].astype(np.float32)
         self.vectors = self._unit(x @ self.project)
 
     @staticmethod
@@ -150,13 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, n
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("digest"), "text")).alias("one"))
     table = texts.select("label", "one.text").mapInArrow(_sample_rows, "label int, at array<int>, n array<float>").toArrow()
-    counts = np.zeros((table.num_rows, FEATURES), dtype=np.float32)
-    for row, (at, n) in enumerate(zip(table.column("at"), table.column("n"), strict=True)):
-        counts[row, at.values.to_numpy(zero_copy_only=False)] = n.values.to_numpy(zero_copy_only=False)
+    rows = [(at.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)) for at, n in zip(table.column("at"), table.column("n"), strict=True)]
     label = table.column("label").to_numpy()
-    del table
-    order = np.lexsort((*(counts @ np.random.default_rng(0).random((FEATURES, 1), dtype=np.float32)).T, label))  # the same model however rows arrive
-    counts, label = counts[order], label[order]
+    draw = np.random.default_rng(0).random(FEATURES)
+    order = np.lexsort((np.array([draw[at] @ n for at, n in rows], dtype=np.float64), label))  # the same model however rows arrive
+    counts, label = np.zeros((len(rows), FEATURES), dtype=np.float32), label[order]
+    for to, row in enumerate(order.tolist()):
+        counts[to, rows[row][0]] = rows[row][1]
+    del rows, table
     share = np.array([totals[x] / max(1, (label == x).sum()) for x in label.tolist()], dtype=np.float64)
     return Model(counts, label, share, neighbours, dimensions)
 

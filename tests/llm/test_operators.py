@@ -353,3 +353,26 @@ def test_pipeline(spark, sf_dir):
     for r in rows:
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
     assert got == tokens
+
+
+def test_leading_vectors_are_those_of_the_dense_solver():
+    """Also of eigenvalues that are equal, or fewer than asked for; a fit has no second copy of the sample."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for spread in (np.linspace(30, 0.1, 1200), np.repeat(np.linspace(30, 1, 40), 30), np.r_[np.ones(5), np.zeros(1195)]):
+        q = np.linalg.qr(r.standard_normal((1200, 1200)))[0]
+        gram = ((q * spread) @ q.T).astype(np.float32)
+        want = np.linalg.eigvalsh(gram.astype(np.float64))[-20:]
+        values, vectors = quality._leading(gram, 20)
+        assert np.allclose(values, want, atol=1e-5) and np.allclose(vectors.T @ vectors, np.eye(20), atol=1e-8)
+        assert np.allclose(gram.astype(np.float64) @ vectors, vectors * values, atol=1e-5)
+    counts = r.poisson(0.2, (600, quality.FEATURES)).astype(np.float32)
+    tracemalloc.start()
+    try:
+        quality.Model(counts, np.arange(600) % 2, np.ones(600), 15, 48)
+        assert tracemalloc.get_traced_memory()[1] < counts.nbytes
+    finally:
+        tracemalloc.stop()
