@@ -26,8 +26,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep, of each group of near duplicates, the document with the smallest doc_id.
 
-    Near duplicates have sets of five-word shingles of a Jaccard similarity of four fifths
-    or more; documents without words are near duplicates of each other.
+    Near duplicates have SimHash fingerprints of five-word shingles at most two bits apart, or
+    sets of such shingles of a Jaccard similarity of four fifths or more; documents without
+    words are near duplicates of each other.
     """
     return simhash.keep_one(docs, shingle=SHINGLE, similarity=SIMILARITY)
 

@@ -147,8 +147,8 @@ OFTEN = 3
 #: The commonest ones are ordered by their counts among each other.
 COMMON = 1 << 16
 _U = np.uint64
-_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("name", pa.int64()), ("node", pa.int64()), ("alike", pa.int64()), ("size", pa.int32()), ("firsts", pa.list_(pa.int64()))])
-_SETS_SPEC = "doc_id long, digest long, name long, node long, alike long, size int, firsts array<long>"
+_SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("name", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("size", pa.int32()), ("firsts", pa.list_(pa.int64()))])
+_SETS_SPEC = "doc_id long, digest long, name long, node long, fp long, size int, firsts array<long>"
 _WHOLE = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 _KEYED = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("key", pa.int64())])
 #: Logarithm of the bits of each bitmap (4 MB): of the documents of candidate pairs, of the first
@@ -157,11 +157,11 @@ BITS = 25
 
 
 def _sets(column: pa.Array, shingle: int):
-    """Different shingles of each text, as ascending hashes, and their counts; fewer words are one shingle, no words none."""
+    """Different shingles of each text, as ascending hashes; fewer words are one shingle, no words none."""
     (h,), ends = textkernel.words(column, textkernel.SPACED_LOWER)
     for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
         size = min(shingle, b - a)
-        yield np.unique(textkernel.windows(h[a:b], size, size) if size else h[:0], return_counts=True)
+        yield np.unique(textkernel.windows(h[a:b], size, size) if size else h[:0])
 
 
 def _node(h: np.ndarray) -> int:
@@ -169,7 +169,7 @@ def _node(h: np.ndarray) -> int:
 
 
 def _shingle_sets(shingle: int, similarity: float, order):
-    """First shingles of each set, as many as it can lack in one as similar, and one, in one order over all documents.
+    """Fingerprint of each text; first shingles of its set, as many as it can lack in one as similar, and one, in one order over all documents.
 
     Shingles that are not known to be common come first, the commonest last.
     """
@@ -178,11 +178,10 @@ def _shingle_sets(shingle: int, similarity: float, order):
         common.leave_memory()
         known, often, crowd = order.value
         for batch in batches:
-            nodes, alike, sizes, firsts = [], [], [], []
-            for h, counts in _sets(batch.column("text"), shingle):
+            fps = [_signed(fingerprint(t, shingle)) for t in common.text_values(batch.column("text"))]
+            nodes, sizes, firsts = [], [], []
+            for h in _sets(batch.column("text"), shingle):
                 nodes.append(_node(h))
-                most = int(np.argmax(counts)) if len(h) > 1 else 0
-                alike.append(_node(h[most : most + 1]) if len(h) > 1 and 2 * counts[most] > counts.sum() else None)
                 sizes.append(len(h))
                 few = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
                 rank = _hits(crowd, h.view(np.int64)).astype(np.int64)
@@ -190,7 +189,7 @@ def _shingle_sets(shingle: int, similarity: float, order):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                     rank += np.where(known[at] == h, often[at], 0)
                 firsts.append(h[np.argsort(rank, kind="stable")][:few].view(np.int64))
-            yield common.batch_of(_SETS, (batch.column("doc_id"), batch.column("digest"), batch.column("name"), nodes, alike, sizes, firsts))
+            yield common.batch_of(_SETS, (batch.column("doc_id"), batch.column("digest"), batch.column("name"), nodes, fps, sizes, firsts))
 
     return run
 
@@ -209,7 +208,7 @@ def _whole_sets(shingle: int, wanted):
         for batch in batches:
             batch = batch.filter(pa.array(_hits(wanted.value, batch.column("name").to_numpy())))
             if batch.num_rows:
-                rows = [(_node(h), h.view(np.int64)) for h, _ in _sets(batch.column("text"), shingle)]
+                rows = [(_node(h), h.view(np.int64)) for h in _sets(batch.column("text"), shingle)]
                 yield common.batch_of(_WHOLE, zip(*rows, strict=True))
 
     return run
@@ -240,7 +239,7 @@ def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.nd
     def run(batches):
         common.leave_memory()
         for batch in batches:
-            for h, _ in _sets(batch.column("text"), shingle):
+            for h in _sets(batch.column("text"), shingle):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
     drawn = source.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(SHARE)) == 0)
@@ -425,14 +424,29 @@ def similar_links(sets: DataFrame, source: DataFrame, shingle: int, similarity:
     return first.union(rest)
 
 
+def _fingerprint_links(sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that join all sets of which two texts have fingerprints at most two bits apart; sets: node, fps.
+
+    A set has several fingerprints if texts repeat its shingles differently.  A fingerprint
+    is a node only where it links with another one; sets of equal ones hang from the least set.
+    """
+    with common.passing():
+        marked = common.materialise(sets.select("node", F.explode("fps").alias("fp")), "fingerprints", stays=True)
+        alone = common.materialise(marked.groupBy("fp").agg(F.min("node").alias("least"), F.max("node").alias("most")), "fingerprints-folded", stays=True)
+        near = common.materialise(links(alone.select("fp")), "fingerprint-links", stays=True)
+    ends = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    equal = marked.join(alone.where("least < most"), "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return near.union(equal).union(alone.join(ends, "fp").select(F.col("least").alias("a"), F.col("fp").alias("b")))
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
 
-    Groups are the components over documents whose sets of shingles of ``shingle`` words
-    are at least as similar as ``similarity`` (Jaccard of the whole sets); a text of fewer
-    words is one shingle, and texts without words are one group.  A text of which one
-    shingle is over half has the SimHash of that shingle at any length, and goes with the
-    texts that are nothing else.  Null doc_ids come last; of rows that share a doc_id the
+    Two documents are near duplicates if their SimHash fingerprints differ in at most two
+    bits, as in ``near_duplicates`` but of shingles of ``shingle`` words, or if their sets of
+    such shingles are at least as similar as ``similarity`` (Jaccard of the whole sets): 64
+    bits can miss these, so an exact search adds them.  Groups are the components; a text of fewer
+    words is one shingle, and texts without words are one group.  Null doc_ids come last; of rows that share a doc_id the
     one of the smallest text digest stays, and of rows equal in both one.  All columns are kept.
     """
     spark = docs.sparkSession
@@ -444,11 +458,11 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Data
         order = spark.sparkContext.broadcast(_common_shingles(source, shingle))
         ranked = source.mapInArrow(_shingle_sets(shingle, similarity, order), _SETS_SPEC)
         rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "name")
-        alone = common.materialise(ranked.groupBy("node").agg(F.min(rank).alias("rank"), F.collect_set("alike").alias("alike"), F.first("size").alias("size"), F.first("firsts").alias("firsts")), "folded")
+        alone = common.materialise(ranked.groupBy("node").agg(F.min(rank).alias("rank"), F.collect_set("fp").alias("fps"), F.first("size").alias("size"), F.first("firsts").alias("firsts")), "folded")
         order.destroy()
-        repeated = alone.select(F.col("node").alias("a"), F.explode("alike").alias("b"))
-        links = similar_links(alone.select("node", "rank.name", "size", "firsts"), source, shingle, similarity)
-        found = common.materialise(components(links.union(repeated)), "components")
+        alike = _fingerprint_links(alone.select("node", "fps"))
+        similar = similar_links(alone.select("node", "rank.name", "size", "firsts"), source, shingle, similarity)
+        found = common.materialise(components(alike.union(similar)), "components")
         first = alone.select("node", "rank").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("rank").alias("rank"))
         kept = common.materialise(first.select(F.col("rank.name").alias("_key"), F.col("rank.digest").alias("_digest")), "kept", stays=True)
     k, d, again, kd = common.free_names(docs, 4)

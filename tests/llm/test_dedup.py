@@ -187,3 +187,35 @@ def test_crowded_buckets_of_unlike_texts(spark, monkeypatch):
     for name, few in (("FEW", 2), ("PART", 8), ("HASHES", 1000), ("LEADERS", 1)):
         monkeypatch.setattr(simhash, name, few)
     assert kept_of(spark, texts) == want
+
+
+def test_keep_one_links_by_fingerprint(spark):
+    """Groups as of all pairs: fingerprints at most two bits apart, or sets of a similarity of 0.8; either finds pairs that the other lacks."""
+    rng = random.Random(21)
+    pool = [f"v{k}" for k in range(5000)]
+    texts = ["", " \n", "one two", "One  TWO", "a " * 40, "a " * 55 + "b " * 30]
+    for g in range(12):  # a passage over and over, and an end of its own: nearly one fingerprint, sets unlike
+        block = " ".join(rng.sample(pool, 9))
+        texts += [" ".join([block] * 60 + rng.sample(pool, n)) for n in (12, 14, 16)]
+    crowd = rng.sample(pool, 300)  # distinct fingerprints of one bucket, more than are paired off
+    for k in range(simhash.PAIRED + 10):
+        texts.append(" ".join([*crowd, f"end{k}"]))
+    texts += near_pairs(10, 8)[0] + near_pairs(10, 9, 364)[0] + [words(60, k) for k in range(20)]
+
+    fps = [simhash.fingerprint(t, 5) for t in texts]
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    group, by_print, by_set = list(range(len(texts))), 0, 0
+    for j in range(len(texts)):
+        for i in range(j):
+            near = (fps[i] ^ fps[j]).bit_count() <= 2
+            both = len(sets[i] | sets[j])
+            like = len(sets[i] & sets[j]) >= 0.8 * both if both else True
+            by_print, by_set = by_print + (near and not like), by_set + (like and not near)
+            if (near or like) and group[i] != group[j]:
+                a, b = sorted((group[i], group[j]))
+                group = [a if x == b else x for x in group]
+    assert by_print >= 10 and by_set >= 10
+    assert kept_of(spark, texts) == sorted(set(group))
