@@ -19,6 +19,8 @@ _QUERIES = {
     "op7_simhash": "simhash",
     "op8_packing": "packing",
     "op9_substring_dedup": "substring_dedup",
+    "op11_divergence": "divergence",
+    "op12_ball_kmeans": "ball_kmeans",
 }
 
 
@@ -28,6 +30,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express at a bearable cost."""
-    from . import warc
+    from . import ball_kmeans, divergence, warc
 
-    return {"op5_warc": warc.OP5_SQL}
+    return {"op5_warc": warc.OP5_SQL, "op11_divergence": divergence.OP11_SQL, "op12_ball_kmeans": ball_kmeans.OP12_SQL}

@@ -22,7 +22,8 @@ _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 SLICE = 1 << 20
 
 
-def _table(word_bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def byte_class(word_bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to words, and the byte that each stands for."""
     is_word = np.zeros(256, dtype=bool)
     is_word[list(word_bytes)] = True
     value = np.arange(256, dtype=np.uint8)
@@ -32,11 +33,11 @@ def _table(word_bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Everything but ASCII white space, as in ``[^\x20\x09-\x0D]+``.
-SPACED = _table([b for b in range(256) if b != 0x20 and not 0x09 <= b <= 0x0D], lower=False)
+SPACED = byte_class([b for b in range(256) if b != 0x20 and not 0x09 <= b <= 0x0D], lower=False)
 #: The same with A-Z in lower case.
-SPACED_LOWER = (SPACED[0], _table([], lower=True)[1])
+SPACED_LOWER = (SPACED[0], byte_class([], lower=True)[1])
 #: Letters, digits and all beyond ASCII, A-Z in lower case.
-ALNUM = _table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)], lower=True)
+ALNUM = byte_class([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)], lower=True)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
