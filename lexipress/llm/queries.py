@@ -21,6 +21,7 @@ _QUERIES = {
     "op9_substring_dedup": "substring_dedup",
     "op11_divergence": "divergence",
     "op12_ball_kmeans": "ball_kmeans",
+    "op13_suffix_dedup": "suffix_dedup",
 }
 
 

@@ -69,7 +69,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
+    """Hash of the bytes from each start to its end."""
     up, down = _powers(base, max(SLICE, 1 << int(len(data)).bit_length()))
     run = np.zeros(len(data) + 1, dtype=_U)
     np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], out=run[1:])
@@ -123,7 +124,7 @@ def words(column: pa.Array, kind: tuple[np.ndarray, np.ndarray], hashes: int = 1
         ends = np.flatnonzero(inside & (~after | after_first)) + 1
         low = value[part]
         for k in range(hashes):
-            found[k].append(_hash(low, starts, ends, _BASES[k]))
+            found[k].append(byte_hash(low, starts, ends, _BASES[k]))
         all_starts.append(starts + a)
         all_ends.append(ends + a)
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
