@@ -28,12 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _MADE[app]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once, written to the shared folder and read from there from now on."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with contextlib.suppress(Exception):
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+        files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(hadoop)  # what does not exist is not deleted later
+        files.deleteOnExit(hadoop)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df``, computed once, written to the shared folder and read from there from now on."""
+    path = folder(df.sparkSession, "cut")
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

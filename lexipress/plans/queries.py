@@ -835,3 +835,6 @@ def missing_enrichment(spark, sf):
 def macro_positives(spark, sf):
     m = evaluation.macro(truth(spark, sf).groupBy("id_object").agg(F.count("*").alias("positives")), "positives")
     return m.select("objects", F.round("positives", 6).alias("positives"))
+
+
+from . import indexed  # noqa: E402, F401  registers its queries
