@@ -5,17 +5,29 @@ post shares a band and enough shingles.  Duplicates are nobody's original, so th
 posts are the first maximal independent set of the pair graph in id order, found in
 rounds: what no earlier undecided or kept post blocks is kept, what has an earlier kept
 neighbour is a duplicate.
+
+Copies are folded before anything is shingled.  A band of many posts makes no pairs of all
+of them: its first ``LEADERS`` meet the others, what proves a duplicate leaves the band, and
+only posts that nothing has decided lead the next round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from ..functions import minhash, vectors
-from ..plans.lineage import cut
+from ..functions import minhash
+from ..functions import text as T
+from ..plans.lineage import bounded_batches, cut, drop, spread
 
 THRESHOLD = 0.7
+#: Posts of a band that meet all others of it in the first round; each round takes four times as many.
+LEADERS = 64
+#: Stored bands and sets are dealt into so many folders.
+BUCKETS = 64
 
 
 def first_of_hash(rows: DataFrame, hash_column: str, key: str) -> DataFrame:
@@ -30,43 +42,110 @@ def exact_duplicates(rows: DataFrame, hash_column: str, key: str) -> DataFrame:
     return joined.withColumn("canonical", F.when(F.col("canonical") < F.col(key), F.col("canonical")))
 
 
-def bands(entries: DataFrame, key: str = "id", shingles: str = "shingles", near_doc: str = "near_doc") -> DataFrame:
-    """(id, band) of every entry with enough tokens."""
-    usable = entries.where(minhash.enough_tokens(F.col(near_doc)) & (F.size(shingles) > 0))
-    return usable.select(F.col(key).alias("id"), F.explode(minhash.band_keys(F.col(shingles))).alias("band"))
+_ENTRY = pa.schema([("id", pa.int64()), ("content_hash", pa.string()), ("n", pa.int32()), ("shingles", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+_ENTRY_DDL = "id long, content_hash string, n int, shingles binary, bands array<long>, signature binary"
 
 
-def candidate_pairs(band_rows: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of ids that share a band."""
-    left, right = band_rows.select(F.col("id").alias("a"), "band"), band_rows.select(F.col("id").alias("b"), "band")
-    return left.join(right, "band").where("a < b").select("a", "b").distinct()
+def _entry_rows(with_signature: bool):
+    """Shingles, signature and bands of a whole batch; a post of too few words has no band."""
 
+    def run(batches):
+        for batch in batches:
+            keys = [k or "" for k in batch.column("near_doc").to_pylist()]
+            sets = [T.shingle_array(k).astype(np.uint32) for k in keys]
+            usable = np.array([len(k.split()) >= minhash.MIN_TOKENS and len(s) > 0 for k, s in zip(keys, sets, strict=True)])
+            bounds = np.cumsum([0, *map(len, sets)])
+            sigs = minhash.signatures(np.concatenate(sets) if sets else np.zeros(0, np.uint32), bounds)
+            codes = [list(c) if u else [] for c, u in zip(minhash.band_codes(sigs).tolist(), usable.tolist(), strict=True)]
+            signed = [s.tobytes() if u else None for s, u in zip(sigs, usable.tolist(), strict=True)] if with_signature else [None] * len(sets)
+            columns = (batch.column("id"), batch.column("content_hash"), [len(s) for s in sets], [s.tobytes() for s in sets], codes, signed)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _ENTRY, strict=True)], schema=_ENTRY)
 
-def confirmed(pairs: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, key: str = "id", shingles: str = "shingles") -> DataFrame:
-    """Pairs with exact Jaccard ``score`` of at least the threshold."""
-    sets = entries.select(F.col(key).alias("_id"), F.col(shingles).alias("_s"))
-    both = pairs.join(sets.withColumnsRenamed({"_id": "a", "_s": "sa"}), "a").join(sets.withColumnsRenamed({"_id": "b", "_s": "sb"}), "b")
-    return both.withColumn("score", vectors.jaccard(F.col("sa"), F.col("sb"))).where(F.col("score") >= threshold).select("a", "b", "score")
+    return run
 
 
-def resolve(ids: DataFrame, pairs: DataFrame, most_rounds: int = 1000) -> DataFrame:
-    """(id, kept, canonical, score) for ids under pairs (a, b, score), a before b.
+def entries(rows: DataFrame, with_signature: bool = False) -> DataFrame:
+    """(id, content_hash, n, shingles, bands, signature) of rows (id, clean_content, content_hash or none).
 
-    canonical: of the kept earlier neighbours that of the best score, then the smallest id.
+    shingles: the sorted set of ``n`` unsigned 32-bit numbers; one pass over the texts.
     """
-    pairs = cut(pairs.select("a", "b", "score"))
+    bounded_batches(rows.sparkSession)
+    hashed = F.col("content_hash") if "content_hash" in rows.columns else F.lit(None).cast("string")
+    source = spread(rows.select(F.col("id").cast("long").alias("id"), "clean_content", hashed.alias("content_hash")))
+    return source.select("id", T.near_document(F.col("clean_content")).alias("near_doc"), "content_hash").mapInArrow(_entry_rows(with_signature), _ENTRY_DDL)
+
+
+def bands(sets: DataFrame) -> DataFrame:
+    """(id, n, band) of every entry that has bands."""
+    return sets.select("id", "n", F.explode("bands").alias("band"))
+
+
+def _alike(a: str, b: str, threshold: float):
+    """Sizes of sets that can share enough: the smaller is at least ``threshold`` of the larger."""
+    return F.least(a, b) >= F.greatest(a, b) * threshold
+
+
+def _jaccard_rows(batches):
+    for batch in batches:
+        scores = []
+        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
+            x, y = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+            at = np.searchsorted(x, y)
+            both = int(np.count_nonzero(x[np.minimum(at, len(x) - 1)] == y))
+            scores.append(both / (len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(scores, type=pa.float64())], ["a", "b", "score"])
+
+
+def _same_rows(batches):
+    for batch in batches:
+        sides = [[np.frombuffer(s, dtype=np.uint64) for s in batch.column(c).to_pylist()] for c in ("sa", "sb")]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array([float(np.mean(x == y)) for x, y in zip(*sides, strict=True)], type=pa.float64())], ["a", "b", "score"])
+
+
+def confirmed(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, sets: str = "shingles") -> DataFrame:
+    """Pairs (a of left, b of right) with a ``score`` of at least the threshold: exact Jaccard of sets, or equal places of signatures."""
+    both = pairs.join(left.select(F.col("id").alias("a"), F.col(sets).alias("sa")), "a").join(right.select(F.col("id").alias("b"), F.col(sets).alias("sb")), "b")
+    scored = both.select("a", "b", "sa", "sb").mapInArrow(_jaccard_rows if sets == "shingles" else _same_rows, "a long, b long, score double")
+    return scored.where(F.col("score") >= threshold)
+
+
+def _settle(pairs: DataFrame, blocked: DataFrame | None = None, most_rounds: int = 1000) -> DataFrame:
+    """(id, kept) of every id with an earlier neighbour in pairs (a, b), a before b, and of every blocked id.
+
+    A blocked id (id) may have more neighbours than are known, so it is never told kept; with
+    such ids ``kept`` stays null where it hangs on them.
+    """
+    later = pairs.select(F.col("b").alias("id"))
+    open_ = later if blocked is None else later.unionByName(blocked.select("id"))
+    held = F.lit(False) if blocked is None else F.col("held")
     # Only ids with an earlier neighbour are ever in doubt.
-    state = cut(pairs.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
+    state = open_.distinct().withColumn("kept", F.lit(None).cast("boolean"))
+    if blocked is not None:
+        state = state.join(blocked.select("id", F.lit(True).alias("held")).distinct(), "id", "left").na.fill(False, ["held"])
+    state, undecided = cut(state), None
     for _ in range(most_rounds):
-        if state.where("kept is null").isEmpty():
-            break
-        known = pairs.join(state.select(F.col("id").alias("a"), F.col("kept").alias("a_kept"), F.lit(True).alias("doubted")), "a", "left")
+        left = state.where("kept is null").count()
+        if left == 0 or (blocked is not None and left == undecided):
+            return state
+        undecided = left
+        known = pairs.select("a", "b").join(state.select(F.col("id").alias("a"), F.col("kept").alias("a_kept"), F.lit(True).alias("doubted")), "a", "left")
         known = known.withColumn("a_kept", F.when(F.col("doubted").isNull(), True).otherwise(F.col("a_kept")))
         told = known.groupBy(F.col("b").alias("id")).agg(F.bool_or(F.coalesce("a_kept", F.lit(False))).alias("beaten"), F.bool_or(F.col("a_kept").isNull()).alias("open"))
-        step = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("beaten"), False).when(~F.col("open"), True)
-        state = cut(state.join(told, "id").select("id", step.alias("kept")))
-    else:
-        raise RuntimeError("duplicates did not settle")
+        free = ~F.coalesce("open", F.lit(False)) & ~held
+        step = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("beaten"), False).when(free, True)
+        new = cut(state.join(told, "id", "left").select(*(c for c in state.columns if c != "kept"), step.alias("kept")))
+        drop(state)
+        state = new
+    raise RuntimeError("duplicates did not settle")
+
+
+def resolve(ids: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, kept, canonical, score) for ids under pairs (a, b, score), a before b.
+
+    canonical: of the kept earlier neighbours that of the best score, then the smallest id.
+    """
+    pairs = cut(pairs.select("a", "b", "score"))
+    state = _settle(pairs)
     out = state.where("not kept").select(F.col("id").alias("b"))
     kept_first = pairs.join(state.where("not kept").select(F.col("id").alias("a")), "a", "left_anti")
     best = kept_first.join(out, "b", "left_semi").groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("first"))).alias("m"))
@@ -74,34 +153,109 @@ def resolve(ids: DataFrame, pairs: DataFrame, most_rounds: int = 1000) -> DataFr
     return ids.select("id").join(named, "id", "left").withColumn("kept", F.col("canonical").isNull())
 
 
-def near_duplicates(entries: DataFrame, threshold: float = THRESHOLD, stored: DataFrame | None = None) -> DataFrame:
-    """(id, kept, canonical, score) of entries (id, near_doc, shingles, content_hash).
+def alike_pairs(sets: DataFrame, threshold: float = THRESHOLD, leaders: int = LEADERS, by: str = "shingles", known: DataFrame | None = None) -> DataFrame:
+    """(a, b, score): pairs that decide which entries are kept, a before b; all pairs of a shared band but those of crowded bands.
+
+    A crowded band gives the pairs of its leaders with all later members, so that rows grow with
+    members times leaders.  A member beaten by a kept post leaves: nobody's original needs no
+    pairs.  ``known``: pairs with entries of earlier runs, which are all kept.
+    """
+    every = bands(sets)
+    live = cut(every.join(every.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"), "band").select("band", "id", "n"))
+    found = known
+    while True:
+        order = W.partitionBy("band").orderBy("id")
+        lead = live.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= leaders)
+        first = lead.select("band", F.col("id").alias("a"), F.col("n").alias("na"))
+        pairs = first.join(live.select("band", F.col("id").alias("b"), F.col("n").alias("nb")), "band").where(F.col("a") < F.col("b"))
+        if by == "shingles":
+            pairs = pairs.where(_alike("na", "nb", threshold))
+        new = confirmed(pairs.select("a", "b").distinct(), sets, sets, threshold, by)
+        found = cut(new if found is None else found.unionByName(new).dropDuplicates(["a", "b"]))
+        # Where a band has more members than have led, later ones may have unknown neighbours.
+        front = cut(live.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") > leaders).join(first.groupBy("band").agg(F.max("a").alias("last")), "band"))
+        if front.isEmpty():
+            return found
+        behind = live.join(front.select("band", "last"), "band").where("id > last")
+        state = _settle(found, behind.select("id").distinct())
+        rest = cut(behind.join(state.where("not kept").select("id"), "id", "left_anti").select("band", "id", "n"))
+        drop(live)
+        live, leaders = rest, leaders * 4
+
+
+class NearIndex:
+    """Hashes, bands and shingle sets of kept posts, stored once and never made again.
+
+    Bands lie in folders by a bucket of the band, sets by a bucket of the id, each below the
+    name of the run that wrote them; a run that is repeated overwrites its own.  New posts meet
+    the folders that their own bands fall into.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+
+    def add(self, sets: DataFrame, run: str) -> None:
+        """Store the entries of kept posts."""
+        for kind, rows, key in (("bands", bands(sets), "band"), ("sets", sets.select("id", "content_hash", "n", "shingles"), "id")):
+            rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")).repartition("bucket").sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/run={run}")
+
+    def _read(self, kind: str, schema: str, key: str, touched: DataFrame | None, before: str | None) -> DataFrame:
+        """Rows of the buckets that the keys of ``touched`` fall into; ``before``: without this run's own."""
+        table = self.spark.read.schema(f"{schema}, run string, bucket int").option("basePath", f"{self.path}/{kind}").parquet(f"{self.path}/{kind}")
+        if before is not None:
+            table = table.where(F.col("run") != before)
+        if touched is not None:
+            wanted = touched.select(F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int").alias("b")).distinct().collect()  # at most ``buckets`` numbers
+            table = table.where(F.col("bucket").isin([r["b"] for r in wanted]))
+        return table.drop("run", "bucket")
+
+    def exists(self) -> bool:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/sets")
+        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+    def originals(self, hashes: DataFrame, before: str | None = None) -> DataFrame:
+        """(content_hash, canonical) of stored posts; only ids and hashes are read."""
+        stored = self._read("sets", "id long, content_hash string", "id", None, before)
+        return first_of_hash(stored.join(hashes.select("content_hash").distinct(), "content_hash", "left_semi"), "content_hash", "id")
+
+    def pairs(self, sets: DataFrame, threshold: float = THRESHOLD, before: str | None = None) -> DataFrame:
+        """(a, b, score) of stored posts a and new entries b that share a band and enough shingles."""
+        new = cut(bands(sets).select("band", F.col("id").alias("b"), F.col("n").alias("nb")))
+        stored = self._read("bands", "id long, n int, band long", "band", new, before).select("band", F.col("id").alias("a"), F.col("n").alias("na"))
+        met = cut(stored.join(new, "band").where(_alike("na", "nb", threshold)).select("a", "b").distinct())
+        of = self._read("sets", "id long, shingles binary", "id", met.select(F.col("a").alias("id")), before)
+        return confirmed(met, of, sets, threshold)
+
+
+def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, index: NearIndex | None = None, run: str = "0", leaders: int = LEADERS) -> DataFrame:
+    """(id, kept, canonical, score) of rows (id, clean_content, content_hash).
 
-    Entries of one hash are folded into the first before bands are joined, so that copies
-    make no pairs.  ``stored``: kept entries of earlier runs, which only can be originals;
-    their ids come before all others.
+    ``index``: kept posts of earlier runs, which only can be originals; their ids come before all
+    others.  This run's kept posts are added to it under the name ``run``.
     """
-    folded = exact_duplicates(entries, "content_hash", "id")
-    reps = cut(folded.where("canonical is null").select("id", "near_doc", "shingles", "content_hash"))
-    everything = reps if stored is None else reps.unionByName(stored.select("id", "near_doc", "shingles", "content_hash"))
-    pairs = confirmed(candidate_pairs(bands(everything)), everything, threshold)
-    if stored is not None:
-        first = stored.where("content_hash is not null").groupBy("content_hash").agg(F.min("id").alias("a"))
-        same = reps.select(F.col("id").alias("b"), "content_hash").join(first, "content_hash").select("a", "b", F.lit(1.0).alias("score"))
-        old = stored.select(F.col("id").alias("b"))
-        pairs = pairs.join(old, "b", "left_anti").unionByName(same)
-    found = resolve(reps, pairs)
+    rows = rows.select("id", "clean_content", "content_hash")
+    folded = exact_duplicates(rows.select("id", "content_hash"), "content_hash", "id")
     copies = folded.where("canonical is not null").select("id", F.col("canonical").alias("first"))
-    of_first = found.withColumnsRenamed({"id": "first", "canonical": "up", "score": "up_score"}).drop("kept")
+    firsts, told, known = rows.join(copies, "id", "left_anti"), None, None
+    there = index is not None and index.exists()
+    if there:
+        told = cut(firsts.select("id", "content_hash").join(index.originals(firsts, run), "content_hash").select("id", "canonical"))
+        firsts = firsts.join(told, "id", "left_anti")
+    sets = cut(entries(firsts))
+    if there:
+        known = index.pairs(sets, threshold, run)
+    found = cut(resolve(sets, alike_pairs(sets, threshold, leaders, known=known)))
+    if index is not None:
+        index.add(sets.join(found.where("kept").select("id"), "id", "left_semi"), run)
+    if told is not None:
+        found = found.unionByName(told.select("id", "canonical", F.lit(1.0).alias("score"), F.lit(False).alias("kept")))
+    of_first = found.select(F.col("id").alias("first"), F.col("canonical").alias("up"), F.col("score").alias("up_score"))
     # A copy of a kept post is its exact duplicate; of a duplicate, a duplicate of the same original.
     moved = copies.join(of_first, "first").select("id", F.coalesce("up", "first").alias("canonical"), F.coalesce("up_score", F.lit(1.0)).alias("score"), F.lit(False).alias("kept"))
     return found.select("id", "canonical", "score", "kept").unionByName(moved)
 
 
-def by_signature(entries: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The variant that scores pairs by equal signature positions instead of exact Jaccard."""
-    signed = cut(entries.withColumn("signature", minhash.signature_hex(F.col("shingles"))))
-    pairs = candidate_pairs(bands(signed))
-    sets = signed.select(F.col("id").alias("_id"), "signature")
-    both = pairs.join(sets.withColumnsRenamed({"_id": "a", "signature": "sa"}), "a").join(sets.withColumnsRenamed({"_id": "b", "signature": "sb"}), "b")
-    return resolve(signed, both.withColumn("score", vectors.same_share(F.col("sa"), F.col("sb"))).where(F.col("score") >= threshold))
+def by_signature(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The variant that scores pairs by equal signature positions instead of exact Jaccard; sets: entries with signatures."""
+    signed = cut(sets)
+    return resolve(signed, alike_pairs(signed, threshold, by="signature"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..plans.lineage import cut
+from ..plans.lineage import bounded_batches, cut, spread
 from . import dedup, rules
 
 
@@ -47,21 +47,21 @@ def first_reason(clean: DataFrame, junk_rules: rules.JunkRules, target: str, oth
     return rules.with_junk(clean, "clean_title", "clean_text", junk_rules).withColumn("lang", lang).withColumn("drop_reason", reason)
 
 
-def verdicts(raw: DataFrame, junk_rules: rules.JunkRules = rules.DEMO_RULES, target: str = "а-яё", other: str = "a-z", names: tuple[str, str] = ("ru", "en"), threshold: float = dedup.THRESHOLD, stored: DataFrame | None = None, native: bool = False) -> DataFrame:
+def verdicts(raw: DataFrame, junk_rules: rules.JunkRules = rules.DEMO_RULES, target: str = "а-яё", other: str = "a-z", names: tuple[str, str] = ("ru", "en"), threshold: float = dedup.THRESHOLD, index: dedup.NearIndex | None = None, run: str = "0", native: bool = False) -> DataFrame:
     """id_raw_post, time_post, drop_reason, is_duplicate, clean_content, content_hash, dup_score, id_canonical.
 
-    ``raw``: id_raw_post, time_post, title, content.  ``stored``: kept verdicts of earlier
-    runs (id_raw_post, clean_content, content_hash), the only originals besides the kept
-    posts of this run; a run in slices gives what one run over all gives, if slices follow
-    the ids.  Duplicates carry drop_reason 'duplicate'.
+    ``raw``: id_raw_post, time_post, title, content.  ``index``: kept posts of earlier runs,
+    the only originals besides the kept posts of this run, which are added to it under the
+    name ``run``; a run in slices gives what one run over all gives, if slices follow the
+    ids, and cleans and shingles new posts only.  Duplicates carry drop_reason 'duplicate'.
     """
-    clean = first_reason(cleaned(raw, native), junk_rules, target, other, names)
+    bounded_batches(raw.sparkSession)
+    clean = first_reason(cleaned(spread(raw), native), junk_rules, target, other, names)
     clean = cut(clean.select("id_raw_post", "time_post", "clean_title", "clean_text", "drop_reason"))
     alive = clean.where("drop_reason is null").select(F.col("id_raw_post").alias("id"), "time_post", T.joined_content(F.col("clean_title"), F.col("clean_text")).alias("clean_content"), T.exact_hash(F.col("clean_title"), F.col("clean_text")).alias("content_hash"))
-    entries = cut(with_entry(alive))
-    old = None if stored is None else cut(with_entry(stored.select(F.col("id_raw_post").alias("id"), "clean_content", "content_hash")))
-    found = dedup.near_duplicates(entries, threshold, old)
-    live = entries.join(found, "id").select(
+    alive = cut(alive)
+    found = dedup.near_duplicates(alive, threshold, index, run)
+    live = alive.join(found, "id").select(
         F.col("id").alias("id_raw_post"), "time_post",
         F.when(~F.col("kept"), "duplicate").alias("drop_reason"), (~F.col("kept")).alias("is_duplicate"),
         F.when(F.col("kept"), F.col("clean_content")).alias("clean_content"), F.when(F.col("kept"), F.col("content_hash")).alias("content_hash"),
@@ -73,9 +73,8 @@ def verdicts(raw: DataFrame, junk_rules: rules.JunkRules = rules.DEMO_RULES, tar
 
 
 def with_entry(rows: DataFrame) -> DataFrame:
-    """Rows (clean_content) with what the near-duplicate search needs: near_doc and shingles."""
-    near = rows.withColumn("near_doc", T.near_document(F.col("clean_content")))
-    return near.withColumn("shingles", T.mixed_shingles(F.col("near_doc")))
+    """What the near-duplicate search needs of rows (id, clean_content), signatures too."""
+    return dedup.entries(rows, with_signature=True)
 
 
 def agreement(old: DataFrame, new: DataFrame, key: str = "id_raw_post", tolerance: float = 0.005) -> DataFrame:

@@ -43,4 +43,25 @@ def cut(df: DataFrame) -> DataFrame:
     """``df``, computed once, written to the shared folder and read from there from now on."""
     path = folder(df.sparkSession, "cut")
     df.write.mode("append").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.cut_path = path
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Delete what ``cut`` has written and nothing reads any more."""
+    spark = table.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.cut_path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: a table of fewer splits than cores is dealt out anew before work that costs much a row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def bounded_batches(spark: SparkSession, rows: int = 256, size: int = 16 << 20) -> None:
+    """Bound the Arrow batches that Python gets, so that texts and sets of a batch fit its memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -9,6 +9,7 @@ from ..functions import keys
 from ..functions import text as T
 from ..functions import vectors as V
 from ..operators import classify, dedup, evaluation, ingest, labels, merge, retrieval, rules, stats, verdict
+from .lineage import spread
 from .tables import OBJECTS, POSTS, RANKED, TRUTH, VERDICTS, Query, object_queries, old_verdicts, posts, ranked, table, truth, vectors
 
 QUERIES: dict[str, Query] = {}
@@ -245,7 +246,7 @@ def word_shingles(spark, sf):
 @query()
 def mixed_shingles(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", T.near_document(F.col("text")).alias("near_doc"))
-    return d.select("doc_id", F.size(T.mixed_shingles(F.col("near_doc"))).alias("n_shingles"))
+    return spread(d).select("doc_id", F.size(T.mixed_shingles(F.col("near_doc"))).alias("n_shingles"))
 
 
 @query()
@@ -300,7 +301,7 @@ def exact_duplicates(spark, sf):
 @query()
 def near_duplicates(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("clean_content"), T.exact_hash(F.lit(""), F.col("text")).alias("content_hash"))
-    return dedup.near_duplicates(verdict.with_entry(d)).select("id", "kept", "canonical", F.round("score", 3).alias("score"))
+    return dedup.near_duplicates(d).select("id", "kept", "canonical", F.round("score", 3).alias("score"))
 
 
 @query()
