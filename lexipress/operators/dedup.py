@@ -233,10 +233,10 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, index: NearIn
     ``index``: kept posts of earlier runs, which only can be originals; their ids come before all
     others.  This run's kept posts are added to it under the name ``run``.
     """
-    rows = rows.select("id", "clean_content", "content_hash")
-    folded = exact_duplicates(rows.select("id", "content_hash"), "content_hash", "id")
-    copies = folded.where("canonical is not null").select("id", F.col("canonical").alias("first"))
-    firsts, told, known = rows.join(copies, "id", "left_anti"), None, None
+    # Hashes are made once, whatever they cost; texts are read again only for the first of each hash.
+    hashes = cut(exact_duplicates(cut(spread(rows.select("id", "clean_content", "content_hash")).select("id", "content_hash")), "content_hash", "id"))
+    copies = hashes.where("canonical is not null").select("id", F.col("canonical").alias("first"))
+    firsts, told, known = rows.select("id", "clean_content").join(hashes.where("canonical is null").select("id", "content_hash"), "id"), None, None
     there = index is not None and index.exists()
     if there:
         told = cut(firsts.select("id", "content_hash").join(index.originals(firsts, run), "content_hash").select("id", "canonical"))
