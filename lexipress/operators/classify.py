@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +39,15 @@ class BrandRules:
     goals: Mapping[int, GoalRules] = field(default_factory=dict)
 
 
-def _any(pattern: str | None, text: str) -> bool:
-    return bool(pattern) and re.search(pattern, text, re.I) is not None
+def _has(text: Column, pattern: str | None) -> Column:
+    """Whether a pattern is found, case as Unicode has it; no pattern is never found."""
+    return text.rlike(rules.FLAGS + pattern) if pattern else F.lit(False)
 
 
 def _spots(text: Column, pattern: str) -> Column:
     """array<struct<a, b>>: first and last + 1 character of each match, from what stands between them."""
-    found = F.regexp_extract_all(text, F.lit(f"(?i)({pattern})"), 1)
-    between = F.slice(F.split(text, f"(?i)(?:{pattern})"), 1, F.size(found))
+    found = F.regexp_extract_all(text, F.lit(f"{rules.FLAGS}({pattern})"), 1)
+    between = F.slice(F.split(text, f"{rules.FLAGS}(?:{pattern})"), 1, F.size(found))
     cut = F.arrays_zip(between.alias("before"), found.alias("match"))
     empty = F.array().cast("array<struct<a: int, b: int>>")
 
@@ -73,7 +72,7 @@ def mentions_in(text: Column, r: BrandRules) -> Column:
     def told(whole: Column) -> Column:
         def one(spot: Column) -> Column:
             near = _around(whole, spot, MOOD)
-            mood = F.when(near.rlike(f"(?i){r.negative}"), "negative").when(near.rlike(f"(?i){r.positive}"), "positive").otherwise("neutral")
+            mood = F.when(_has(near, r.negative), "negative").when(_has(near, r.positive), "positive").otherwise("neutral")
             shown = F.trim(F.regexp_replace(_around(whole, spot, FRAGMENT), r"(?U)\s+", " "))
             return F.struct(shown.alias("text"), mood.alias("sentiment"), F.when(mood == "neutral", 0.6).otherwise(0.7).alias("confidence"))
 
@@ -87,34 +86,36 @@ def mentions_in(text: Column, r: BrandRules) -> Column:
     return F.slice(F.transform(made, first)[0], 1, MOST_MENTIONS)
 
 
-def impact_of(goal_id: int, title: str | None, content: str | None, r: BrandRules) -> dict:
-    """impact, signal_strength, confidence, is_paid of a document for a goal."""
-    g = r.goals[goal_id]
-    full = f"{title or ''}\n{content or ''}"
-    signal = re.sub(r.furniture, "", full, flags=re.I) if r.furniture else full
-    near = [signal[max(0, m.start() - SIGNAL[0]) : m.end() + SIGNAL[1]] for m in re.finditer(r.brand, signal, re.I)]
-    off = _any(g.off, full)
-    silent = off or _any(g.quiet, full)
-    bad = not silent and any(_any(g.negative, w) for w in near)
-    good = not silent and any(_any(g.positive, w) for w in near)
-    counts = bool(near) and (g.open or not off and _any(g.goal, full))
-    impact = ("negative" if bad else "positive" if good else "neutral") if counts else "neutral"
-    return {"impact": impact, "signal_strength": "direct" if counts else "indirect", "confidence": 0.6 if impact == "neutral" else 0.7, "is_paid": int(impact != "neutral" and _any(r.paid, full))}
-
-
 def mentions(docs: DataFrame, text: str, r: BrandRules) -> DataFrame:
     """docs with ``mentions``: array<struct<text, sentiment, confidence>>."""
     return docs.withColumn("mentions", mentions_in(F.col(text), r))
 
 
 def impacts(pairs: DataFrame, r: BrandRules) -> DataFrame:
-    """pairs (id, id_goal, title, content) with impact, signal_strength, confidence, is_paid."""
+    """pairs (id, id_goal, title, content) with impact, signal_strength, confidence, is_paid; null for a goal without rules.
 
-    @F.pandas_udf("impact string, signal_strength string, confidence double, is_paid int")
-    def run(goal: pd.Series, title: pd.Series, content: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([impact_of(int(g), t, c, r) for g, t, c in zip(goal, title, content, strict=True)], columns=["impact", "signal_strength", "confidence", "is_paid"])
-
-    return pairs.withColumn("found", run("id_goal", "title", "content")).select("*", "found.*").drop("found")
+    Signals are looked for around mentions, in the text without furniture; what silences them,
+    the goal itself and payment in the whole text.
+    """
+    whole = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit("")))
+    shown = pairs.withColumn("_whole", whole)
+    signal = F.regexp_replace("_whole", f"{rules.FLAGS}{r.furniture}", "") if r.furniture else F.col("_whole")
+    # The text is the element of an array of one, so that the lambda does not make it again for each mention.
+    around = F.transform(F.array(signal), lambda text: F.transform(_spots(text, r.brand), lambda spot: _around(text, spot, SIGNAL)))[0]
+    shown = shown.withColumn("_near", around)
+    cases = F.lit(None)
+    for goal, g in reversed(r.goals.items()):
+        off = _has(F.col("_whole"), g.off)
+        loud = ~(off | _has(F.col("_whole"), g.quiet))
+        about = (F.size("_near") > 0) & (F.lit(True) if g.open else ~off & _has(F.col("_whole"), g.goal))
+        near = lambda p: F.exists("_near", lambda w: _has(w, p))
+        impact = F.when(about & loud & near(g.negative), "negative").when(about & loud & near(g.positive), "positive").otherwise("neutral")
+        cases = F.when(F.col("id_goal") == goal, F.struct(impact.alias("impact"), F.when(about, "direct").otherwise("indirect").alias("signal_strength"))).otherwise(cases)
+    moved = F.col("_found.impact") != "neutral"
+    found = shown.withColumn("_found", cases).select(
+        *pairs.columns, "_found.impact", "_found.signal_strength", F.when(moved, 0.7).when(~moved, 0.6).alias("confidence"), F.when(moved.isNotNull(), (moved & _has(F.col("_whole"), r.paid)).cast("int")).alias("is_paid")
+    )
+    return found
 
 
 def relevance_matrix(docs: DataFrame, goals: DataFrame, text: Column, key: str = "id") -> DataFrame:

@@ -415,13 +415,30 @@ def reset_irrelevant(spark, sf):
 BRAND = classify.BrandRules(r"license", r"released|licensed", r"token|shouting", r"version 2", None, {1: classify.GoalRules("version", "released|licensed|this work", r"!!"), 2: classify.GoalRules("apache", "licensed", r"[$]{3}", open=True, quiet="gnu")})
 
 
-@query()
+#: Places of a brand of seven letters in a text, and what stands around each; the text is ``t``, the reach two numbers.
+_PLACES = """parts AS (SELECT {keys}, t, string_split(lower(t), 'license') AS p FROM texts),
+ks AS (SELECT *, unnest(range(1, len(p))) AS k FROM parts),
+places AS (SELECT {keys}, t, k, CAST(list_sum(list_transform(p[1:k], lambda x: length(x))) AS BIGINT) + 7 * (k - 1) AS a FROM ks)"""
+_REACH = "substr(t, greatest(a - {0}, 0) + 1, a + 7 + {1} - greatest(a - {0}, 0))"
+
+
+@query(f"""WITH {POSTS}, texts AS (SELECT id_raw_post, content AS t FROM posts WHERE content IS NOT NULL), {_PLACES.format(keys="id_raw_post")},
+found AS (SELECT id_raw_post, k, {_REACH.format(160, 240)} AS near, trim(regexp_replace({_REACH.format(80, 120)}, '[\\s\\x{{85}}\\p{{Z}}]+', ' ', 'g')) AS text FROM places),
+firsts AS (SELECT * FROM found WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY id_raw_post, text ORDER BY k) = 1),
+few AS (SELECT * FROM firsts QUALIFY row_number() OVER (PARTITION BY id_raw_post ORDER BY k) <= {classify.MOST_MENTIONS}),
+told AS (SELECT id_raw_post, text, CASE WHEN regexp_matches(near, 'token|shouting', 'i') THEN 'negative' WHEN regexp_matches(near, 'released|licensed', 'i') THEN 'positive' ELSE 'neutral' END AS sentiment FROM few)
+SELECT *, CASE WHEN sentiment = 'neutral' THEN 0.6::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM told""")
 def brand_mentions(spark, sf):
     m = classify.mentions(posts(spark, sf), "content", BRAND)
     return m.select("id_raw_post", F.explode("mentions").alias("m")).select("id_raw_post", "m.text", "m.sentiment", "m.confidence")
 
 
-@query()
+@query(f"""WITH {POSTS}, texts AS (SELECT id_raw_post AS id, coalesce(title, '') || chr(10) || coalesce(content, '') AS t FROM posts), {_PLACES.format(keys="id")},
+near AS (SELECT id, list({_REACH.format(220, 320)}) AS ws FROM places GROUP BY 1),
+goals(id_goal, bad, good) AS (VALUES (1, '!!', 'released|licensed|this work'), (2, '[$]{{3}}', 'licensed')),
+seen AS (SELECT texts.id, t, id_goal, ws, ws IS NOT NULL AND (id_goal = 2 OR regexp_matches(t, 'version', 'i')) AS about, NOT (id_goal = 2 AND regexp_matches(t, 'gnu', 'i')) AS loud, bad, good FROM texts CROSS JOIN goals LEFT JOIN near USING (id)),
+told AS (SELECT id, t, id_goal, about, CASE WHEN about AND loud AND len(list_filter(ws, lambda w: regexp_matches(w, bad, 'i'))) > 0 THEN 'negative' WHEN about AND loud AND len(list_filter(ws, lambda w: regexp_matches(w, good, 'i'))) > 0 THEN 'positive' ELSE 'neutral' END AS impact FROM seen)
+SELECT id, id_goal, impact, CASE WHEN about THEN 'direct' ELSE 'indirect' END AS signal_strength, CASE WHEN impact = 'neutral' THEN 0.6::DOUBLE ELSE 0.7::DOUBLE END AS confidence, CAST(impact <> 'neutral' AND regexp_matches(t, 'version 2', 'i') AS INTEGER) AS is_paid FROM told""")
 def brand_impacts(spark, sf):
     pairs = posts(spark, sf).select(F.col("id_raw_post").alias("id"), "title", "content", F.explode(F.array(F.lit(1), F.lit(2))).alias("id_goal"))
     return classify.impacts(pairs, BRAND).select("id", "id_goal", "impact", "signal_strength", "confidence", "is_paid")

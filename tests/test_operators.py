@@ -208,12 +208,11 @@ def test_truth_and_recall(spark):
 def test_impact_rules(spark):
     g = {1: classify.GoalRules("app", "improved", "outage"), 4: classify.GoalRules("trust", "loved", "fraud", open=True), 5: classify.GoalRules("salary", "grew", "delay", quiet="vacancy")}
     r = classify.BrandRules("acme", "great", "awful", "press release", r"subscribe to acme", g)
-    assert classify.impact_of(1, "Acme app", "improved a lot. press release", r) == {"impact": "positive", "signal_strength": "direct", "confidence": 0.7, "is_paid": 1}
-    assert classify.impact_of(1, "Acme app", "improved, then outage", r)["impact"] == "negative"
-    assert classify.impact_of(1, "Acme", "improved", r)["signal_strength"] == "indirect"
-    assert classify.impact_of(4, "Acme", "fraud", r)["impact"] == "negative"
-    assert classify.impact_of(5, "Acme salary", "grew. vacancy", r)["impact"] == "neutral"
-    assert classify.impact_of(1, None, "subscribe to acme app improved", r)["impact"] == "neutral"
+    cases = [(1, "Acme app", "improved a lot. press release"), (1, "Acme app", "improved, then outage"), (1, "Acme", "improved"), (4, "Acme", "fraud"), (5, "Acme salary", "grew. vacancy"), (1, None, "subscribe to acme app improved"), (9, "Acme", "app"), (1, None, None)]
+    pairs = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "id int, id_goal int, title string, content string")
+    by = {x["id"]: (x["impact"], x["signal_strength"], x["confidence"], x["is_paid"]) for x in classify.impacts(pairs, r).collect()}
+    assert by[0] == ("positive", "direct", 0.7, 1) and by[1][0] == "negative" and by[2][1] == "indirect"
+    assert by[3][0] == "negative" and by[4][0] == "neutral" and by[5][0] == "neutral" and by[6] == (None,) * 4 and by[7] == ("neutral", "indirect", 0.6, 0)
     texts = [(1, "acme is awful and great" + " x" * 300 + " acme is great"), (2, None), (3, "no brand"), (4, "ACME\u00a0 and  acme " * 40), (5, "y" * 500 + " acme " + "z " * 300 + "awful"), (6, "acme")]
     got = {x["id"]: x["mentions"] for x in classify.mentions(spark.createDataFrame(texts, "id long, t string"), "t", r).collect()}
     assert [m["sentiment"] for m in got[1]] == ["negative", "positive"] and got[2] == got[3] == [] and len(got[6]) == 1
@@ -226,6 +225,20 @@ def test_impact_rules(spark):
         assert [(m["text"], m["sentiment"]) for m in got[k]] == list(want.items())[:12]
 
 
+def test_mentions_in_cyrillic(spark):
+    """Case is that of Unicode, in mentions, moods, goals and furniture."""
+    g = {1: classify.GoalRules("приложени", "улучш", "сбой"), 2: classify.GoalRules("довери", "рост", "мошен", open=True, quiet="ваканси", off="погод")}
+    r = classify.BrandRules("сбер", "рост", "сбой", "реклама", "подпишитесь на сбер", g)
+    texts = [(1, "Сбер показал рост"), (2, "сбер: Сбой"), (3, "у СБЕРА сбер рост"), (4, "Ещё СБЕР " + "ы" * 300 + " сбер Рост")]
+    got = {x["id"]: [(m["text"], m["sentiment"]) for m in x["mentions"]] for x in classify.mentions(spark.createDataFrame(texts, "id long, t string"), "t", r).collect()}
+    assert got[1] == [("Сбер показал рост", "positive")] and got[2] == [("сбер: Сбой", "negative")]
+    assert got[3] == [("у СБЕРА сбер рост", "positive")] and [m[1] for m in got[4]] == ["neutral", "positive"]
+    cases = [(1, "СБЕР", "ПРИЛОЖЕНИЕ Улучшили"), (1, "Сбер", "Приложение: СБОЙ, Реклама"), (1, "Подпишитесь На Сбер", "приложение улучшили"), (2, "Сбер", "РОСТ"), (2, "Сбер", "рост и Вакансия"), (2, "Сбер", "мошенники и Погода")]
+    pairs = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "id int, id_goal int, title string, content string")
+    by = {x["id"]: (x["impact"], x["is_paid"]) for x in classify.impacts(pairs, r).collect()}
+    assert by == {0: ("positive", 0), 1: ("negative", 1), 2: ("neutral", 0), 3: ("positive", 0), 4: ("neutral", 0), 5: ("neutral", 0)}
+
+
 def test_ranking_gate(spark):
     docs = spark.createDataFrame([(1, ["s"], ["d.com"], []), (2, [], ["e.com"], ["блог"])], "id long, source array<string>, domain array<string>, source_type array<string>")
     goals = spark.createDataFrame([(k,) for k in (1, 2, 3, 4)], "id_goal int")
