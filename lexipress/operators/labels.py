@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, payloads
+from ..plans.lineage import cut
 
 #: Words of a row of CSV predictions.
 IMPACT_CODES = {"neutral": 0, "positive": 1, "negative": 2}
@@ -57,7 +58,8 @@ def run_step(rows: DataFrame, step: str, labeller: Labeller, check: Callable[[di
     """(id, id_goal, step, payload, error) of one step, for rows (id, id_goal, text, …).
 
     Saved payloads of the same document, goal and step are used again and call nobody.  A
-    reply that breaks its contract is asked for again, ``retries`` times at most.
+    reply that breaks its contract is asked for again, ``retries`` times at most.  Calls happen
+    here, once a row: later actions read what was written.
     """
     keys_ = ["id", "id_goal"]
     todo = rows if saved is None else rows.join(saved.where(F.col("step") == step).select(*keys_), keys_, "left_anti")
@@ -76,7 +78,7 @@ def run_step(rows: DataFrame, step: str, labeller: Labeller, check: Callable[[di
                 out.append((row["id"], row["id_goal"], payload, error))
             yield pd.DataFrame(out, columns=["id", "id_goal", "payload", "error"]).astype({"id": "int64", "id_goal": "int32", "payload": object, "error": object})
 
-    done = todo.mapInPandas(run, "id long, id_goal int, payload string, error string").withColumn("step", F.lit(step))
+    done = cut(todo.mapInPandas(run, "id long, id_goal int, payload string, error string").withColumn("step", F.lit(step)))
     if saved is None:
         return done.select("id", "id_goal", "step", "payload", "error")
     old = saved.where(F.col("step") == step).join(rows.select(*keys_), keys_, "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import stems
-from ..operators import fulltext
+from ..operators import fulltext, ledger
 from .lineage import folder
 from .queries import query
 from .tables import table
@@ -38,3 +38,28 @@ def text_rank_stems(spark, sf):
     """The same over stems, without words that are too common."""
     index = fulltext.Index(spark, folder(spark, "stem-index"), 16)
     return index.add(table(spark, sf, "documents"), "text", "doc_id").search({1: fulltext.any_of("Licenses, versions; the tokens"), 2: fulltext.all_of("lizenz license", "software version")})
+
+
+def _length_scorer(prompts):
+    """A scorer without any service: a number of a text's length."""
+    return [str(len(p) % 11) for p in prompts]
+
+
+def _under_ten(reply, prompt):
+    if reply == "10":
+        raise ValueError("out of range")
+    return reply
+
+
+@query("""WITH d AS (SELECT doc_id, text, length(text) % 11 AS n FROM documents),
+firsts AS (SELECT text, bool_or(doc_id % 2 = 0) AS before FROM d WHERE text IS NOT NULL GROUP BY 1)
+SELECT doc_id, CASE WHEN n < 10 THEN CAST(n AS VARCHAR) END AS reply, CAST(CASE WHEN d.text IS NULL THEN NULL WHEN n < 10 THEN 1 WHEN before THEN 4 ELSE 2 END AS INTEGER) AS attempts FROM d LEFT JOIN firsts ON firsts.text = d.text""")
+def paid_calls(spark, sf):
+    """Two runs over one ledger: the second asks for what is new or was refused."""
+    book = ledger.Ledger(spark, folder(spark, "ledger"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("prompt"))
+    ask = lambda d: book.ask(d, "score", "length", _length_scorer, _under_ten, batch=200, rounds=2)
+    ask(docs.where("doc_id % 2 = 0"))
+    found = ask(docs)
+    tried = book.rows("score").groupBy("digest").agg(F.max("attempt").alias("attempts"))
+    return found.join(tried, "digest", "left").select("doc_id", "reply", "attempts")
