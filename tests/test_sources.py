@@ -3,7 +3,7 @@ import json
 import pytest
 from lexipress.sources import files
 from lexipress.sources.pacing import Pacer, with_retries
-from lexipress.sources.paged import PagedSource, pages
+from lexipress.sources.paged import PagedSource, pages, register
 from pyspark.sql import functions as F
 
 ITEMS = [{"id": str(i), "url": f"http://x/{i}", "content": "c", "title": None, "created_at": str(i), "source": "s", "summary": "m"} for i in range(450)]
@@ -83,3 +83,65 @@ def test_pacing():
     assert with_retries(lambda: tries.append(1) or (1 / 0 if len(tries) < 3 else 7), 5, lambda e, k: 0.5, sleep)() == 7
     with pytest.raises(ZeroDivisionError):
         with_retries(lambda: 1 / 0, 5, lambda e, k: None, sleep)()
+
+
+def noted(path, what):
+    with open(path, "a") as f:
+        f.write(f"{what}\n")
+
+
+def lines(path):
+    return path.read_text().split() if path.exists() else []
+
+
+def fetch_day(start, limit, day, source):
+    """Five items a day; every fetch is noted."""
+    noted(source, f"{day}:{start}")
+    return [{"id": f"{day}-{k}"} for k in range(5)][start : start + limit]
+
+
+def fetch_counted(start, limit, source):
+    noted(f"{source}/seen", start)
+    return ITEMS[start : start + limit]
+
+
+def head(source):
+    with open(f"{source}/head") as f:
+        return int(f.read())
+
+
+def test_a_task_a_day_and_days_left_out(spark, tmp_path):
+    register(spark)
+    seen = tmp_path / "seen"
+    df = spark.read.format("paged").options(fetch="tests.test_sources:fetch_day", schema="id string", first="2024-03-01", last="2024-03-10", limit=3, source=str(seen)).load()
+    assert df.rdd.getNumPartitions() == 10 and df.count() == 50
+    seen.unlink()
+    some = df.where("day >= DATE '2024-03-04' AND day < DATE '2024-03-06' AND id LIKE '%-4'")
+    assert sorted(r["id"] for r in some.collect()) == ["2024-03-04-4", "2024-03-05-4"]
+    assert sorted(lines(seen)) == ["2024-03-04:0", "2024-03-04:3", "2024-03-05:0", "2024-03-05:3"]
+    assert df.where("day IN (DATE '2024-03-09', DATE '2025-01-01')").count() == 5
+
+
+def test_ranges_of_the_cursor(spark, tmp_path):
+    spark.dataSource.register(PagedSource)
+    (tmp_path / "head").write_text("450")
+    df = spark.read.format("paged").options(fetch="tests.test_sources:fetch_counted", head="tests.test_sources:head", limit=50, pages_a_task=2, source=str(tmp_path)).load()
+    assert df.rdd.getNumPartitions() == 5 and sorted(int(r["id"]) for r in df.collect()) == list(range(450))
+    assert sorted(map(int, lines(tmp_path / "seen"))) == list(range(0, 450, 50))
+
+
+def test_a_stream_goes_on_where_it_was(spark, tmp_path):
+    spark.dataSource.register(PagedSource)
+    (tmp_path / "head").write_text("120")
+
+    def run():
+        stream = spark.readStream.format("paged").options(fetch="tests.test_sources:fetch_counted", head="tests.test_sources:head", limit=50, source=str(tmp_path)).load()
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(120)
+
+    run()
+    run()  # nothing new: no page is fetched
+    assert sorted(map(int, lines(tmp_path / "seen"))) == [0, 50, 100]
+    (tmp_path / "head").write_text("300")
+    run()
+    assert sorted(map(int, lines(tmp_path / "seen"))) == [0, 50, 100, 120, 170, 220, 270]
+    assert sorted(int(r["id"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(300))
