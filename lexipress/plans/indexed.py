@@ -7,7 +7,8 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ..functions import stems
-from ..operators import fulltext, ledger
+from ..functions import text as T
+from ..operators import fulltext, ledger, merge
 from ..sources import paged
 from .lineage import folder
 from .queries import query
@@ -84,3 +85,26 @@ def vendor_days(spark, sf):
     paged.register(spark)
     source = spark.read.format("paged").options(fetch="lexipress.plans.indexed:vendor_day", schema="event_id string, event_type string", first="2024-01-01", last="2024-01-31", limit=100, source=f"{sf}/events.parquet")
     return source.load().where("day >= DATE '2024-01-05' AND day < DATE '2024-01-12'").withColumn("day", F.col("day").cast("string"))
+
+
+@query("""SELECT event_id, '{"at":' || to_json(event_type) || ',"geo":{"c":' || to_json(event_type) || '},"k":{"deep":[' || event_id || ',{"x":null}]}' || CASE WHEN event_id % 3 = 0 THEN ',"n":null' ELSE '' END || ',"z":' || CAST(json(props) AS VARCHAR) || '}' AS merged FROM events""")
+def json_nested_merge(spark, sf):
+    """Nested properties: an inner object is replaced whole, others stay as they are."""
+    e = table(spark, sf, "events")
+    stored = F.format_string('{"z": %s, "geo": {"a": 1, "c": 2}, "k": {"deep": [%d, {"x": null}]}, "n": "old"}', F.col("props"), F.col("event_id"))
+    stored = F.when(F.col("event_id") % 3 == 0, stored).otherwise(F.regexp_replace(stored, ', "n": "old"', ""))
+    kind = F.to_json(F.struct(F.col("event_type").alias("at"), F.struct(F.col("event_type").alias("c")).alias("geo")))
+    patch = F.when(F.col("event_id") % 3 == 0, F.concat(F.expr("substring(k, 1, length(k) - 1)"), F.lit(', "n": null}'))).otherwise(F.col("k"))
+    return e.withColumn("k", kind).select("event_id", merge.json_patch(stored, patch).alias("merged"))
+
+
+@query("""WITH l AS (SELECT doc_id, lang, n_chars, source, split_part(text, chr(10), 1) AS a, split_part(text, chr(10), 2) AS b FROM documents),
+p AS (SELECT *, [CASE WHEN regexp_matches(a, '\\S') THEN a END, CASE WHEN regexp_matches(b, '\\S') THEN b ELSE source END] AS body FROM l)
+SELECT doc_id AS id, CASE WHEN len(list_filter(body, lambda x: x IS NOT NULL)) > 0 THEN array_to_string(list_filter(body, lambda x: x IS NOT NULL), chr(10)) ELSE concat_ws(chr(10), lang, n_chars) END AS text FROM p""")
+def payload_walk(spark, sf):
+    """Texts of nested payloads: the first line of a document, then an object with the second line and a source."""
+    line = lambda k: F.get(F.split(F.col("text"), "\n"), k)
+    second = F.struct(F.coalesce(F.when(F.col("text").isNotNull(), F.coalesce(line(1), F.lit(""))), F.lit(" ")).alias("text"), F.col("source").alias("other"))
+    d = table(spark, sf, "documents")
+    payload = F.to_json(F.struct(F.struct("lang", "n_chars").alias("meta"), F.struct(F.struct(line(0).alias("a"), second.alias("b")).alias("parts")).alias("body")))
+    return T.payload_texts(d.select(F.col("doc_id").alias("id"), payload.alias("payload")))

@@ -1,5 +1,6 @@
-import re
+import json
 import random
+import re
 
 import pytest
 from lexipress.functions import text as T
@@ -276,7 +277,7 @@ def test_merges(spark):
     assert sorted((r["k"], r["t"]) for r in merge.latest_wins(old, new, ["k"], "v").collect()) == [(1, "c"), (2, "b"), (3, "e")]
     assert sorted((r["k"], r["t"]) for r in merge.insert_missing(old, new, ["k"]).collect()) == [(1, "a"), (2, "b"), (3, "e")]
     df = spark.createDataFrame([('{"a": {"x": 1}, "b": 1}', '{"a": {"y": 2}}'), (None, '{"z": 1}')], "s string, p string")
-    assert [r[0] for r in df.select(merge.json_patch("s", "p")).collect()] == ['{"a": {"y": 2}, "b": 1}', '{"z": 1}']
+    assert [json.loads(r[0]) for r in df.select(merge.json_patch(F.col("s"), F.col("p"))).collect()] == [{"a": {"y": 2}, "b": 1}, {"z": 1}]
 
 
 def test_migration(spark):
@@ -302,3 +303,11 @@ def test_query_vectors_are_made_once(spark):
     every, made = retrieval.with_query_vectors(objects, fn, 2)
     assert {r["id_object"]: r["query_embedding"] for r in every.collect()} == {1: [1.0, 0.0], 2: [0.0, 1.0]}
     assert [r["id_object"] for r in made.collect()] == [2]
+
+
+def test_json_patch_keeps_nested_values(spark):
+    rows = [('{"a": {"x": [1, {"y": null}]}, "b": 1.50, "n": null}', '{"b": {"z": true}, "c": "\u0434"}'), ("broken", '{"a": 1}'), (None, None), ('{"a": 1}', '{"a": null}'), ("[1]", "{}")]
+    df = spark.createDataFrame(rows, "s string, p string")
+    out = [r[0] for r in df.select(merge.json_patch(F.col("s"), F.col("p"))).collect()]
+    assert list(map(json.loads, out)) == [{"a": {"x": [1, {"y": None}]}, "b": {"z": True}, "c": "д", "n": None}, {"a": 1}, {}, {"a": None}, {}]
+    assert "Python" not in df.select(merge.json_patch(F.col("s"), F.col("p")))._jdf.queryExecution().executedPlan().toString()
