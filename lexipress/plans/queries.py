@@ -796,19 +796,15 @@ def _searched(where: str) -> str:
     return f"WITH {OBJECTS}, scored AS ({scored}) SELECT *, row_number() OVER (PARTITION BY id_object ORDER BY score DESC, id) AS rank FROM scored QUALIFY rank <= 100"
 
 
-def _best(found):
-    return retrieval.top_k(found.select("id_object", "id", F.round("score", 6).alias("score")), 100, "id_object")
-
-
 @query(_searched("e.vec_id % 2 = 0"))
 def vector_of_model(spark, sf):
     v = vectors(spark, sf).withColumn("model", F.when(F.col("id") % 2 == 0, "even").otherwise("odd"))
-    return _best(retrieval.vector_channel(v, object_queries(spark, sf), 1 << 30, model="even"))
+    return retrieval.vector_channel(v, object_queries(spark, sf), 100, model="even", digits=6)
 
 
 @query(_searched("e.label IS NOT NULL AND e.vec_id % 3 > 0"))
 def vector_in_universe(spark, sf):
-    return _best(retrieval.vector_channel(vectors(spark, sf), object_queries(spark, sf), 1 << 30, truth(spark, sf).where("id % 3 > 0")))
+    return retrieval.vector_channel(vectors(spark, sf), object_queries(spark, sf), 100, truth(spark, sf).where("id % 3 > 0"), digits=6)
 
 
 _WORDS = {1: "the GNU license", 2: "version of token", 3: "a b"}

@@ -70,10 +70,9 @@ TRUTH = "truth AS (SELECT label AS id_object, vec_id AS id FROM embeddings WHERE
 
 
 def ranked(spark: SparkSession, sf_dir: str, k: int = 500) -> DataFrame:
-    from ..operators.retrieval import top_k, vector_channel
+    from ..operators.retrieval import vector_channel
 
-    every = vector_channel(vectors(spark, sf_dir), object_queries(spark, sf_dir), 1 << 30)
-    return top_k(every.select("id_object", "id", F.round("score", 6).alias("score")), k, "id_object")
+    return vector_channel(vectors(spark, sf_dir), object_queries(spark, sf_dir), k, digits=6)
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
