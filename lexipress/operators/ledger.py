@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.lineage import cut, drop
+from ..plans.lineage import cut, drop, opened
 
 BATCH = 10
 ROUNDS = 3
@@ -34,10 +34,6 @@ def _as_it_is(reply: str, prompt: str) -> str:
     return reply
 
 
-def _opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
-
-
 def _answers(asked: list[str], call: Call, check: Check) -> list[tuple[str | None, str | None]]:
     """(reply, error) of each prompt; a call that fails, or answers another number, refuses its whole batch."""
     try:
@@ -57,7 +53,7 @@ def _answers(asked: list[str], call: Call, check: Check) -> list[tuple[str | Non
 
 def _ask(uri: str, step: str, model: str, call: Call, check: Check, batch: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, folder = _opened(uri)
+        files, folder = opened(uri)
         for part in parts:
             for k in range(0, len(part), batch):
                 own = part.iloc[k : k + batch]
@@ -81,7 +77,7 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        files, folder = _opened(path)
+        files, folder = opened(path)
         files.create_dir(folder, recursive=True)
 
     def rows(self, step: str | None = None, model: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: dict[str, str] = {}
@@ -65,3 +66,8 @@ def bounded_batches(spark: SparkSession, rows: int = 256, size: int = 16 << 20)
     """Bound the Arrow batches that Python gets, so that texts and sets of a batch fit its memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder that driver and executors share, for files of a format of our own."""
+    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
