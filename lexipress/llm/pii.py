@@ -19,6 +19,8 @@ import bisect
 import hashlib
 import random
 import re
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -118,7 +120,7 @@ def regions(text: str) -> list[tuple[int, int]]:
     return cut
 
 
-def _segment_features(text: str, a: int, b: int, tokens: list[tuple[int, int]], i: int, j: int) -> list[str] | None:
+def _segment_features(text: str, a: int, b: int, tokens: Tokens, i: int, j: int) -> list[str] | None:
     """Names of the features of the segment a..b (tokens i..j), or None if it cannot be an entity."""
     s = text[a:b]
     low = s.lower()
@@ -182,33 +184,51 @@ def _segment_features(text: str, a: int, b: int, tokens: list[tuple[int, int]],
     return out
 
 
-def lattice(text: str, a: int, b: int, taken: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int, list[str]]]]:
-    """Tokens of a region and its candidate segments (first token, last + 1, features); taken: spans that stand already."""
-    tokens = [m.span() for m in _TOKEN.finditer(text, a, b)]
-    ends = [e for _, e in taken]
-    segments = []
-    for i, (start, stop) in enumerate(tokens):
-        first = text[start]
-        if not (first.isalnum() or first in "+("):
-            continue
-        number, address, was = True, True, stop
-        for j in range(i, min(i + LONGEST, len(tokens))):
-            s, e = tokens[j]
-            gap = text[was:s] if j > i else ""
-            k = bisect.bisect_right(ends, s)
-            if "\n" in gap or len(gap) > 1 or k < len(taken) and taken[k][0] < e:
-                break
-            was, t = e, text[s:e]
-            digit, alnum = t.isdigit() and t.isascii(), t[0].isalnum()
-            number = number and (digit or t in _NUMBER_MARKS)
-            address = address and (alnum or t in _ADDRESS_MARKS)
-            if not (number or address):
-                break
-            if alnum and (j == i or number or address):
-                found = _segment_features(text, start, e, tokens, i, j + 1)
-                if found:
-                    segments.append((i, j + 1, found))
-    return tokens, segments
+class Tokens:
+    """Begins and ends of a region's tokens, eight bytes each."""
+
+    def __init__(self, text: str, a: int, b: int):
+        self.starts, self.ends = array("i"), array("i")
+        for m in _TOKEN.finditer(text, a, b):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, k: int) -> tuple[int, int]:
+        return self.starts[k], self.ends[k]
+
+
+def starting(text: str, tokens: Tokens, i: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, list[str]]]:
+    """(last token + 1, features) of the candidate segments that begin with token i; taken: spans that stand already, in order."""
+    start, stop = tokens[i]
+    first = text[start]
+    if not (first.isalnum() or first in "+("):
+        return
+    number, address, was = True, True, stop
+    for j in range(i, min(i + LONGEST, len(tokens))):
+        s, e = tokens[j]
+        gap = text[was:s] if j > i else ""
+        k = bisect.bisect_right(taken, s, key=lambda span: span[1])
+        if "\n" in gap or len(gap) > 1 or k < len(taken) and taken[k][0] < e:
+            return
+        was, t = e, text[s:e]
+        digit, alnum = t.isdigit() and t.isascii(), t[0].isalnum()
+        number = number and (digit or t in _NUMBER_MARKS)
+        address = address and (alnum or t in _ADDRESS_MARKS)
+        if not (number or address):
+            return
+        if alnum and (j == i or number or address):
+            found = _segment_features(text, start, e, tokens, i, j + 1)
+            if found:
+                yield j + 1, found
+
+
+def lattice(text: str, a: int, b: int, taken: list[tuple[int, int]]) -> tuple[Tokens, list[tuple[int, int, list[str]]]]:
+    """Tokens of a region and all its candidate segments (first token, last + 1, features), for short texts."""
+    tokens = Tokens(text, a, b)
+    return tokens, [(i, j, names) for i in range(len(tokens)) for j, names in starting(text, tokens, i, taken)]
 
 
 # The field
@@ -226,34 +246,46 @@ class Field:
 
     def decode(self, n: int, segments: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
         """The best choice of segments (first, last + 1, kind) of n tokens."""
-        outside, kinds = len(KINDS), range(len(KINDS))
-        by_end: dict[int, list[tuple[int, list[float]]]] = {}
+        begin: dict[int, list[tuple[int, list[str]]]] = {}
         for i, j, names in segments:
-            by_end.setdefault(j, []).append((i, self.weights[self.known(names)].sum(axis=0).tolist()))
+            begin.setdefault(i, []).append((j, names))
+        return self.decode_from(n, lambda i: begin.get(i, ()))
+
+    def decode_from(self, n: int, segments: Callable[[int], Iterable[tuple[int, list[str]]]]) -> list[tuple[int, int, int]]:
+        """The same, with the segments (last + 1, features) that begin at a token asked for when it is reached.
+
+        A segment has ``LONGEST`` tokens at most, so scores are held for that many places alone,
+        and for each place and state eight bytes tell where its best path came from.
+        """
+        outside = len(KINDS)
+        states = range(outside + 1)
         follow = self.follow.tolist()
         low = float("-inf")
-        best = [[low] * outside + [0.0]]
-        back: list[list[tuple[int, int] | None]] = [[None] * (outside + 1)]
-        enter: dict[int, list[tuple[float, int]]] = {}
-        for j in range(1, n + 1):
-            row, frm = [low] * (outside + 1), [None] * (outside + 1)
-            score, k = max((best[j - 1][y] + follow[y][outside], y) for y in range(outside + 1))
-            row[outside], frm[outside] = score, (j - 1, k)
-            for i, scores in by_end.get(j, ()):
-                if i not in enter:
-                    enter[i] = [max((best[i][y] + follow[y][x], y) for y in range(outside + 1)) for x in kinds]
-                for x in kinds:
-                    score = enter[i][x][0] + scores[x]
-                    if score > row[x]:
-                        row[x], frm[x] = score, (i, enter[i][x][1])
-            best.append(row)
-            back.append(frm)
-        out, j, y = [], n, max(range(outside + 1), key=lambda y: best[n][y])
+        came, state = array("i", [-1]) * ((n + 1) * (outside + 1)), array("b", [-1]) * ((n + 1) * (outside + 1))
+        held: dict[int, list[float]] = {0: [low] * outside + [0.0]}
+        for i in range(n):
+            here = held.pop(i)
+            score, was = max((here[y] + follow[y][outside], y) for y in states)
+            row = held.setdefault(i + 1, [low] * (outside + 1))
+            row[outside] = score
+            at = (i + 1) * (outside + 1) + outside
+            came[at], state[at] = i, was
+            enter: list[tuple[float, int]] = []
+            for j, names in segments(i):
+                enter = enter or [max((here[y] + follow[y][x], y) for y in states) for x in range(outside)]
+                row = held.setdefault(j, [low] * (outside + 1))
+                for x, own in enumerate(self.weights[self.known(names)].sum(axis=0).tolist()):
+                    if (score := enter[x][0] + own) > row[x]:
+                        row[x] = score
+                        at = j * (outside + 1) + x
+                        came[at], state[at] = i, enter[x][1]
+        out, j, last = [], n, held[n]
+        y = max(states, key=lambda y: last[y])
         while j:
-            i, was = back[j][y]
+            at = j * (outside + 1) + y
             if y != outside:
-                out.append((i, j, y))
-            j, y = i, was
+                out.append((came[at], j, y))
+            j, y = came[at], state[at]
         return out[::-1]
 
     def gradient(self, n: int, segments: list[tuple[int, int, np.ndarray]], gold: set[tuple[int, int, int]], g_weights: np.ndarray, g_follow: np.ndarray) -> None:
@@ -401,9 +433,9 @@ def find_spans(text: str, field: Field) -> tuple[list[tuple[str, int, int]], lis
     solid = [(a, b) for a, b in flat]
     added = []
     for a, b in regions(text):
-        tokens, segments = lattice(text, a, b, solid)
-        if segments:
-            added += [(KINDS[y], tokens[i][0], tokens[j - 1][1]) for i, j, y in field.decode(len(tokens), segments)]
+        tokens = Tokens(text, a, b)
+        chosen = field.decode_from(len(tokens), lambda i: starting(text, tokens, i, solid))  # noqa: B023  used at once
+        added += [(KINDS[y], tokens[i][0], tokens[j - 1][1]) for i, j, y in chosen]
     return base, added
 
 
@@ -434,7 +466,8 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, counts and digest of base spans, and all spans of every row; a null text is empty.
 
     Offsets count code points.  Rows that share a doc_id, or are equal, are searched
-    each; other columns are not read.
+    each; an empty table gives no rows; other columns are not read.  A long text of nothing
+    but digits takes time and memory in proportion to its length.
     """
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
@@ -467,7 +500,11 @@ def _redact(model):
 
 
 def redact_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; n_chars, if there, is the new length; null texts stay null."""
+    """``docs`` with personal data in ``text`` replaced; n_chars, if there, is the new length; null texts stay null.
+
+    Every row stays, with all its other columns whatever their names; an empty table stays
+    empty.  Long texts take time and memory in proportion to their length.
+    """
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
     model = spark.sparkContext.broadcast(trained())
