@@ -82,23 +82,49 @@ def object_thresholds(scores: DataFrame, positives: DataFrame, labelled: DataFra
     return best_threshold(rows, per=[per]).select(per, "threshold", "recall", "precision")
 
 
-def upper_median(values: Column) -> Column:
-    """The middle of sorted values, of two the upper: no mean is taken."""
-    v = F.sort_array(F.collect_list(values))
-    return F.try_element_at(v, (F.floor(F.size(v) / 2) + 1).cast("int"))
+#: Equal ranges between a group's least and greatest value, by which its values are counted first.
+RANGES = 1024
 
 
-def nearest_percentile(values: Column, q: float) -> Column:
-    """Sorted value number min(n - 1, int(q * n)), from 0."""
-    v = F.sort_array(F.collect_list(values))
-    return F.try_element_at(v, (F.least(F.size(v) - 1, F.floor(F.size(v) * q)) + 1).cast("int"))
+def values_at(rows: DataFrame, per: list[str], value: str, places: dict[str, Column]) -> DataFrame:
+    """(per, n, name, …): of each group's sorted values those at some places, without holding a group in one task.
+
+    ``places``: by name, the place from 0 as an expression of ``n``, the number of the group's
+    values; beyond the last it is null.  Nulls are no values.  Values are counted by ``RANGES``
+    ranges of their group; only the ranges that places fall into are sorted, equal values as one.
+    """
+    x = rows.where(F.col(value).isNotNull()).select(*per, F.col(value).alias("_v"))
+    ends = x.groupBy(*per).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("n"))
+    share = (F.col("_v") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0))
+    range_ = F.least(F.lit(RANGES - 1), F.floor(F.coalesce(share, F.lit(0)) * RANGES)).cast("int")
+    counted = x.groupBy(*per, "_v").agg(F.count("*").alias("_m")).join(ends, per).withColumn("_r", range_)
+    per_range = counted.groupBy(*per, "_r").agg(F.sum("_m").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(W.partitionBy(*per).orderBy("_r").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    wanted = ends.select(*per, "n", F.explode(F.array(*(F.struct(F.lit(name).alias("name"), at.cast("long").alias("at")) for name, at in places.items()))).alias("_p")).select(*per, "_p.name", "_p.at")
+    held = per_range.withColumn("_b", before).join(wanted, per).where((F.col("at") >= F.col("_b")) & (F.col("at") < F.col("_b") + F.col("_c")))
+    inside = held.select(*per, "_r", "name", (F.col("at") - F.col("_b")).alias("_at")).join(counted.select(*per, "_r", "_v", "_m"), [*per, "_r"])
+    upto = F.sum("_m").over(W.partitionBy(*per, "name").orderBy("_v"))
+    found = inside.withColumn("_u", upto).where((F.col("_u") > F.col("_at")) & (F.col("_u") - F.col("_m") <= F.col("_at")))
+    columns = [F.max(F.when(F.col("name") == name, F.col("_v"))).alias(name) for name in places]
+    return ends.select(*per, "n").join(found.groupBy(*per).agg(*columns), per, "left")
+
+
+def middle() -> Column:
+    """The place of the middle value, of two the upper: no mean is taken."""
+    return F.floor(F.col("n") / 2)
+
+
+def nearest(q: float) -> Column:
+    """The place min(n - 1, int(q * n))."""
+    return F.least(F.col("n") - 1, F.floor(F.col("n") * q))
 
 
 def separation(scores: DataFrame, positives: DataFrame, labelled: DataFrame, per: str = "id_object") -> DataFrame:
     """(object, n_pos, n_neg, median_pos, median_neg, gap, overlap): how well scores part positives from labelled negatives."""
     s = scores.select(per, "id", "score").join(positives.select(per, "id", F.lit(True).alias("p")), [per, "id"], "left").join(labelled.select("id").distinct().withColumn("l", F.lit(True)), "id", "left")
     pos, neg = F.col("p").isNotNull(), F.col("p").isNull() & F.col("l").isNotNull()
-    m = s.groupBy(per).agg(F.count_if(pos).alias("n_pos"), F.count_if(neg).alias("n_neg"), upper_median(F.when(pos, F.col("score"))).alias("median_pos"), upper_median(F.when(neg, F.col("score"))).alias("median_neg")).where("n_pos > 0 and n_neg > 0")
+    of_pos, of_neg = (values_at(s.where(side), [per], "score", {f"median_{name}": middle()}).withColumnRenamed("n", f"n_{name}") for side, name in ((pos, "pos"), (neg, "neg")))
+    m = of_pos.join(of_neg, per)
     over = s.where(neg).join(m.select(per, "median_pos"), per).groupBy(per).agg((F.count_if(F.col("score") >= F.col("median_pos")) / F.count("*")).alias("overlap"))
     return m.join(over, per).withColumn("gap", F.col("median_pos") - F.col("median_neg"))
 

@@ -77,15 +77,17 @@ def with_junk(docs: DataFrame, title: str, text: str, rules: JunkRules, name: st
     A category fires on one match in the title or two different ones in the text.  Matches
     are columns of their own first, so that each pattern runs once over a text.
     """
-    found = docs
-    for k, patterns in enumerate(rules.categories.values()):
-        p = whole_words(patterns)
-        found = found.withColumns({f"_title_{k}": terms(F.col(title), p), f"_text_{k}": terms(F.col(text), p)})
     both = F.concat_ws("\n", F.nullif(F.col(title), F.lit("")), F.nullif(F.col(text), F.lit("")))
     allowed = F.trim(F.coalesce(F.col(text), F.lit(""))) != ""
     if rules.guard:
         allowed = allowed & ~both.rlike(whole_words(rules.guard))
-    cases = F.when(~allowed, F.lit(None))
+    # Terms are looked for only where any category can fire and no guard stands.
+    every = [p for patterns in rules.categories.values() for p in patterns]
+    found = docs.withColumn("_open", allowed & both.rlike(whole_words(every)) if every else F.lit(False))
+    for k, patterns in enumerate(rules.categories.values()):
+        p = whole_words(patterns)
+        found = found.withColumns({f"_title_{k}": F.when(F.col("_open"), terms(F.col(title), p)), f"_text_{k}": F.when(F.col("_open"), terms(F.col(text), p))})
+    cases = F.when(~F.col("_open"), F.lit(None))
     for k, category in enumerate(rules.categories):
         in_title, in_text = F.col(f"_title_{k}"), F.col(f"_text_{k}")
         more = F.filter(in_text, lambda m: ~F.exists(in_title, lambda t: F.lower(t) == F.lower(m)))  # noqa: B023

@@ -648,7 +648,7 @@ def self_consistency(spark, sf):
 
 @query("WITH s AS (SELECT event_type, list_sort(list(value)) AS v FROM events GROUP BY 1) SELECT event_type, v[least(len(v) - 1, CAST(floor(0.9 * len(v)) AS BIGINT)) + 1] AS p90, v[len(v) // 2 + 1] AS median FROM s")
 def nearest_percentiles(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(evaluation.nearest_percentile(F.col("value"), 0.9).alias("p90"), evaluation.upper_median(F.col("value")).alias("median"))
+    return evaluation.values_at(table(spark, sf, "events"), ["event_type"], "value", {"p90": evaluation.nearest(0.9), "median": evaluation.middle()}).drop("n")
 
 
 @query("SELECT event_id AS id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('3:' || event_id), event_id) <= 10")

@@ -311,3 +311,37 @@ def test_json_patch_keeps_nested_values(spark):
     out = [r[0] for r in df.select(merge.json_patch(F.col("s"), F.col("p"))).collect()]
     assert list(map(json.loads, out)) == [{"a": {"x": [1, {"y": None}]}, "b": {"z": True}, "c": "д", "n": None}, {"a": 1}, {}, {"a": None}, {}]
     assert "Python" not in df.select(merge.json_patch(F.col("s"), F.col("p")))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_at_places(spark, monkeypatch):
+    """Against sorted lists: ties, one value, nulls, empty groups, places beyond the end, few ranges."""
+    r = random.Random(9)
+    groups = {"a": [r.uniform(-5, 5) for _ in range(200)], "b": [1.0] * 30, "c": [r.choice([0.0, 1.0, 7.5]) for _ in range(50)], "d": [4.0], "e": [None], "f": [1e300, -1e300, 0.0, 1e-300]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("a", None)], "g string, v double").repartition(3)
+    for ranges in (1024, 3):
+        monkeypatch.setattr(evaluation, "RANGES", ranges)
+        got = {x["g"]: tuple(x)[1:] for x in evaluation.values_at(df, ["g"], "v", {"p": evaluation.nearest(0.9), "m": evaluation.middle(), "beyond": F.col("n") + 5}).collect()}
+        want = {}
+        for g, vs in groups.items():
+            s = sorted(v for v in vs if v is not None)
+            if s:
+                want[g] = (len(s), s[min(len(s) - 1, int(0.9 * len(s)))], s[len(s) // 2], None)
+        assert got == want
+
+
+def test_junk_of_a_whole_table_equals_python(spark, sf_dir):
+    """The query against the rules as they are written, text by text."""
+    from lexipress.plans import queries as plans
+
+    find = lambda ps, t: list({m.lower(): None for m in re.findall(rf"(?<!\w)(?:{'|'.join(ps)})(?!\w)", t or "", re.I)})
+    want = {}
+    for p in plans.posts(spark, sf_dir).collect():
+        if not (p["content"] or "").strip() or find(rules.DEMO_RULES.guard, f"{p['title'] or ''}\n{p['content']}"):
+            continue
+        for category, ps in rules.DEMO_RULES.categories.items():
+            a, b = find(ps, p["title"])[:5], find(ps, p["content"])[:5]
+            if a or len(b) >= 2:
+                want[p["id_raw_post"]] = (category, [*a, *(x for x in b if x not in a)][:5], len(a), len(b))
+                break
+    got = {r["id"]: (r["category"], r["terms"].lower().split("|"), r["title_match_count"], r["body_match_count"]) for r in plans.QUERIES["junk_filter"](spark, sf_dir).collect()}
+    assert got == want != {}
