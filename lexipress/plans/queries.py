@@ -851,4 +851,4 @@ def macro_positives(spark, sf):
     return m.select("objects", F.round("positives", 6).alias("positives"))
 
 
-from . import indexed, scored  # noqa: E402, F401  register their queries
+from . import exchanged, indexed, scored  # noqa: E402, F401  register their queries
