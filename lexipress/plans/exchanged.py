@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import payloads
-from ..operators import verdict
+from ..operators import merge, verdict
 from ..sources import files
 from .lineage import folder
 from .queries import query
@@ -61,3 +63,24 @@ def reply_contracts(spark, sf):
     kind = F.col("doc_id") % 3
     told = F.when(kind == 0, payloads.checked(lambda p, t: payloads.paid_flag(p), paid, F.col("text"))).when(kind == 1, payloads.checked(payloads.impact, effect, F.col("text"))).otherwise(payloads.checked(payloads.entities, named, F.col("text")))
     return d.select("doc_id", told.alias("c")).select("doc_id", "c.ok", "c.error")
+
+
+@query("""WITH d AS (SELECT doc_id AS id, doc_id % 8 AS m, (doc_id // 8) % 2 AS pass, coalesce(text, '') AS t FROM documents),
+k AS (SELECT id, pass, array_to_string(regexp_extract_all(replace(lower(t), 'ё', 'е'), '[A-Za-zЀ-ӿ0-9]+'), ' ') AS key FROM d WHERE m IN (0, 3)),
+h AS (SELECT id, pass, CASE WHEN key <> '' THEN sha256(key) END AS h FROM k),
+f AS (SELECT *, h IS NOT NULL AND min(id) OVER (PARTITION BY pass, h) < id AS collides FROM h)
+SELECT id AS id_raw_post, CAST(NULL AS VARCHAR) AS drop_reason, FALSE AS is_duplicate, h AS content_hash, CAST(NULL AS DOUBLE) AS dup_score, CAST(NULL AS BIGINT) AS id_canonical FROM f WHERE NOT collides
+UNION ALL SELECT id, CASE m WHEN 4 THEN 'non_russian' WHEN 5 THEN 'junk:ads' ELSE 'empty_clean_text' END, FALSE, NULL, NULL, NULL FROM d WHERE m IN (4, 5, 7)
+UNION ALL SELECT d.id, 'duplicate', TRUE, NULL, 0.91, f.id FROM d JOIN f ON f.id = d.id - 6 AND NOT f.collides WHERE d.m = 6""")
+def migrated_verdicts(spark, sf):
+    """Verdict rows of a migration in three passes: half of the items, then all, then all again, which adds nothing."""
+    m, id_ = F.col("id") % 8, F.col("id")
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    pre = lambda body: F.lit('{"preprocess": {%s}}' % body)  # noqa: E731, UP031  braces are JSON's
+    copy = F.format_string('{"preprocess": {"status": "duplicate", "duplicate_of_clean_item_id": %d, "similarity": 0.91}}', id_ - 6 + 1_000_000)
+    meta = F.when(m == 4, pre('"status": "filtered_out", "reason": "non_russian_text"')).when(m == 5, pre('"status": "filtered_out", "reason": "junk_topic_regex", "junk_category": "ads"')).when(m == 6, copy).when(m == 7, pre('"status": "failed", "reason": "empty_clean_text"')).otherwise("{}")
+    items = d.select("id", F.when(m != 1, "u").alias("url"), F.when(m != 2, "2024-01-01").alias("published_at"), F.col("text").alias("content"), meta.alias("metadata"))
+    clean = d.where(m.isin(0, 3)).select((id_ + 1_000_000).alias("id"), id_.alias("raw_item_id"), F.lit(None).cast("string").alias("clean_title"), F.col("text").alias("clean_text"))
+    half = items.where(F.expr("id div 8 % 2 = 0"))
+    passes = (merge.migrate(half, clean, items.limit(0)), merge.migrate(items, clean, half), merge.migrate(items, clean, items))
+    return reduce(lambda a, b: a.unionByName(b), (p["verdicts"] for p in passes))
