@@ -110,6 +110,21 @@ def roll_up(docs: DataFrame, impacts: DataFrame) -> DataFrame:
     return j.withColumn("status", F.when(total > 0, "labelled").otherwise("skipped")).withColumn("reason", F.when(total == 0, "no_relevant_goals"))
 
 
+def semantics_roll_up(docs: DataFrame, labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, status, reason, label_count, entity_counts, event_count) of each document (id) after its semantics step.
+
+    labels: id, a row a label.  found: id, entities (array of names by group), events (array).  A
+    document without labels has failed, whatever was found; one with labels is enriched once
+    something was stored for it, and pending until then.
+    """
+    counts = F.struct(*(F.coalesce(F.size(F.col("entities")[g]), F.lit(0)).alias(g) for g in payloads.ENTITY_GROUPS))
+    stored = found.select("id", F.lit(True).alias("_there"), counts.alias("entity_counts"), F.coalesce(F.size("events"), F.lit(0)).alias("event_count"))
+    j = docs.select("id").join(labels.groupBy("id").agg(F.count("*").alias("label_count")), "id", "left").na.fill(0, ["label_count"]).join(stored, "id", "left")
+    status = F.when(F.col("label_count") == 0, "failed").when(F.col("_there"), "enriched").otherwise("pending")
+    shown = lambda c: F.when(status == "enriched", F.col(c)).alias(c)
+    return j.select("id", status.alias("status"), F.when(F.col("label_count") == 0, "missing_document_labels").alias("reason"), "label_count", shown("entity_counts"), shown("event_count"))
+
+
 def next_stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that go on: those with a label."""
     return docs.join(labels.select("id"), "id", "left_semi")

@@ -151,3 +151,13 @@ def all_of(conditions: Iterable[Column | None]) -> Column:
 
 def between_optional(column: Column, low=None, high=None) -> Column:
     return all_of([column >= low if low is not None else None, column <= high if high is not None else None])
+
+
+def queue_row(docs: DataFrame, title: str, text: str, controls: Mapping[int, str], head: int = 2000) -> DataFrame:
+    """``docs`` with text_head, text_length, truncated and control_objects: what a labelling queue shows of a document.
+
+    Controls are looked for in the whole text, however little of it is shown.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    whole = F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), body)
+    return docs.withColumns({"text_head": F.substring(body, 1, head), "text_length": F.length(body), "truncated": F.length(body) > head, "control_objects": F.array_sort(tags(whole, controls))})

@@ -77,6 +77,23 @@ def with_entry(rows: DataFrame) -> DataFrame:
     return dedup.entries(rows, with_signature=True)
 
 
+def clean_step(rows: DataFrame, target: str = "а-яё", other: str = "a-z", names: tuple[str, str] = ("ru", "en")) -> DataFrame:
+    """(id, clean_title, clean_text, lang, status, reason) of rows (id, title, text, payload): the cleaning step by itself, for exports.
+
+    A post without a text of its own has that of its JSON payload.  status: cleaned, failed
+    (nothing is left) or filtered_out (another language); ids are unique.
+    """
+    own = F.when(F.trim(F.coalesce("text", F.lit(""))) != "", F.col("text"))
+    bare = rows.select("id", "title", own.alias("own"), "payload")
+    fallback = T.payload_texts(bare.where("own is null").select("id", "payload")).withColumnRenamed("text", "other")
+    whole = bare.join(fallback, "id", "left").select("id", "title", F.coalesce("own", "other").alias("content"))
+    clean = cleaned(spread(whole)).select("id", "clean_title", "clean_text").withColumn("lang", T.language(F.col("clean_text"), target, other, names))
+    away = T.foreign(F.col("clean_text"), F.col("lang"), target, other, names[0])
+    reason = F.when(F.col("clean_text") == "", "empty_clean_text").when(away, f"non_{'russian' if names[0] == 'ru' else names[0]}_text")
+    status = F.when(F.col("clean_text") == "", "failed").when(away, "filtered_out").otherwise("cleaned")
+    return clean.select("*", status.alias("status"), reason.alias("reason"))
+
+
 def agreement(old: DataFrame, new: DataFrame, key: str = "id_raw_post", tolerance: float = 0.005) -> DataFrame:
     """n, mismatches, rate, passed of two verdict tables, compared by category."""
     category = lambda d, r: F.when(F.col(d), "duplicate").otherwise(F.coalesce(r, F.lit("kept")))

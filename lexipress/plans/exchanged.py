@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import payloads
-from ..operators import merge, verdict
+from ..operators import labels, merge, rules, verdict
 from ..sources import files
 from .lineage import folder
 from .queries import query
-from .tables import VERDICTS, old_verdicts, table
+from .tables import POSTS, VERDICTS, old_verdicts, posts, table
 
 
 @query("SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations")
@@ -84,3 +84,30 @@ def migrated_verdicts(spark, sf):
     half = items.where(F.expr("id div 8 % 2 = 0"))
     passes = (merge.migrate(half, clean, items.limit(0)), merge.migrate(items, clean, half), merge.migrate(items, clean, items))
     return reduce(lambda a, b: a.unionByName(b), (p["verdicts"] for p in passes))
+
+
+@query(f"""WITH {POSTS} SELECT id_raw_post, substr(coalesce(content, ''), 1, 120) AS text_head, length(coalesce(content, '')) > 120 AS truncated,
+array_to_string(list_filter([CASE WHEN regexp_matches(t, 'license', 'i') THEN 1 END, CASE WHEN regexp_matches(t, 'token *=', 'i') THEN 2 END, CASE WHEN regexp_matches(t, 'version', 'i') THEN 3 END], lambda x: x IS NOT NULL), ',') AS controls FROM (SELECT *, coalesce(title, '') || ' ' || coalesce(content, '') AS t FROM posts)""")
+def labelling_queue(spark, sf):
+    q = rules.queue_row(posts(spark, sf), "title", "content", {1: "license", 2: "token *=", 3: "version"}, 120)
+    return q.select("id_raw_post", "text_head", "truncated", F.array_join(F.col("control_objects").cast("array<string>"), ",").alias("controls"))
+
+
+@query("""WITH n AS (SELECT doc_id AS id, CAST(count(*) AS BIGINT) AS c FROM labels WHERE quality = 1 GROUP BY 1)
+SELECT doc_id AS id, CASE WHEN c IS NULL THEN 'failed' WHEN text IS NULL THEN 'pending' ELSE 'enriched' END AS status, CASE WHEN c IS NULL THEN 'missing_document_labels' END AS reason, coalesce(c, 0) AS label_count,
+CASE WHEN c IS NOT NULL AND text IS NOT NULL THEN 1 + CAST(lang = 'en' AS INTEGER) END AS companies, CASE WHEN c IS NOT NULL AND text IS NOT NULL THEN 0 END AS people, CASE WHEN c IS NOT NULL AND text IS NOT NULL THEN CAST(n_chars % 3 AS INTEGER) END AS events FROM documents LEFT JOIN n ON n.id = doc_id""")
+def semantics_status(spark, sf):
+    d = table(spark, sf, "documents")
+    names = F.when(F.col("lang") == "en", F.array("source", "lang")).otherwise(F.array("source"))
+    found = d.where("text is not null").select(F.col("doc_id").alias("id"), F.create_map(F.lit("companies"), names).alias("entities"), F.array_repeat(F.lit("event"), (F.col("n_chars") % 3).cast("int")).alias("events"))
+    made = labels.semantics_roll_up(d.select(F.col("doc_id").alias("id")), table(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("id")), found)
+    return made.select("id", "status", "reason", "label_count", "entity_counts.companies", "entity_counts.people", F.col("event_count").alias("events"))
+
+
+@query()
+def clean_export(spark, sf):
+    """The cleaning step over pages: titles from addresses; every third page has its text in a payload alone."""
+    p = table(spark, sf, "pages")
+    alone = F.col("page_id") % 3 == 0
+    rows = p.select(F.col("page_id").alias("id"), F.col("url").alias("title"), F.when(~alone, F.col("html")).alias("text"), F.when(alone, F.to_json(F.struct(F.struct(F.col("html").alias("body")).alias("article")))).alias("payload"))
+    return verdict.clean_step(rows, "a-zà-ÿñß", "а-яё", ("xx", "ru"))

@@ -345,3 +345,20 @@ def test_junk_of_a_whole_table_equals_python(spark, sf_dir):
                 break
     got = {r["id"]: (r["category"], r["terms"].lower().split("|"), r["title_match_count"], r["body_match_count"]) for r in plans.QUERIES["junk_filter"](spark, sf_dir).collect()}
     assert got == want != {}
+
+
+def test_clean_step_falls_back_on_the_payload(spark):
+    long = "Русский текст, который достаточно длинный для правила языка. " * 2
+    rows = [(1, "Заголовок", f"<p>{long}</p>", None), (2, None, " ", json.dumps({"summary": "s", "content": f"<b>{long}</b>"})), (3, "t", None, "{broken"), (4, "t", None, None), (5, "t", "An English text that has letters enough for the rule", '{"text": "x"}')]
+    got = {r["id"]: r for r in verdict.clean_step(spark.createDataFrame(rows, "id long, title string, text string, payload string")).collect()}
+    assert {i: (r["status"], r["reason"]) for i, r in got.items()} == {1: ("cleaned", None), 2: ("cleaned", None), 3: ("failed", "empty_clean_text"), 4: ("failed", "empty_clean_text"), 5: ("filtered_out", "non_russian_text")}
+    assert got[1]["clean_text"] == got[2]["clean_text"] == T.clean_text_value(long) and got[1]["clean_title"] == "Заголовок" and got[2]["lang"] == "ru"
+
+
+def test_clean_export_equals_python(spark, sf_dir):
+    from lexipress.plans import queries as plans
+
+    html = {r["page_id"]: r["html"] for r in plans.table(spark, sf_dir, "pages").collect()}
+    got = {r["id"]: r for r in plans.QUERIES["clean_export"](spark, sf_dir).collect()}
+    assert {i: r["clean_text"] for i, r in got.items()} == {i: T.clean_text_value(t) for i, t in html.items()}
+    assert all((r["status"] == "failed") == (r["clean_text"] == "") for r in got.values())
