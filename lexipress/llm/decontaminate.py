@@ -185,7 +185,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     compared once and each have their rows.  An item of SHORTEST to nine words must occur
     whole but for one word, a shorter one must be all the words of a document; null texts
     and items without words overlap with nothing.  Other columns are not read; an empty
-    table gives no rows.
+    table gives no rows; long texts are taken whole.
     """
     items = _items(benchmark)
     alone = common.materialise(items.groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", "words"), "items")

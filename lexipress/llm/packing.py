@@ -118,7 +118,8 @@ def pack(docs: DataFrame, vocab: str | None = None, capacity: int = CAPACITY, sl
 
     Null and empty texts give one piece with END_ID alone.  Rows that share a
     doc_id, or are equal, are packed each on their own; null doc_ids are kept.
-    Other columns are not read.  An empty table gives no rows.
+    Other columns are not read.  An empty table gives no rows; only documents of
+    more than ``capacity`` tokens are cut, whatever their length.
     """
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)

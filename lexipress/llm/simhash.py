@@ -448,6 +448,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Data
     bits can miss these, so an exact search adds them.  Groups are the components; a text of fewer
     words is one shingle, and texts without words are one group.  Null doc_ids come last; of rows that share a doc_id the
     one of the smallest text digest stays, and of rows equal in both one.  All columns are kept.
+    An empty table stays empty; long texts are taken whole.
     """
     spark = docs.sparkSession
     common.small_batches(spark)

@@ -210,7 +210,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     Returns doc_id, n_words, n_removed, kept_sha256 and the kept words, joined by one
     space (null unless ``with_text``), of every row.  Null texts have no words.  A row
     with a null doc_id is kept whole and is nobody's source.  Rows that share a doc_id
-    do not remove from each other.  Other columns are not read.
+    do not remove from each other.  An empty table gives no rows; long texts are taken whole.  Other columns are not read.
     """
     spark: SparkSession = docs.sparkSession
     common.small_batches(spark)
