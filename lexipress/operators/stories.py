@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import bounded_batches, cut, drop
 from . import dedup
-from .retrieval import nearest, unit_rows
+from .retrieval import nearest, unit_rows, vector_scores
 
 THRESHOLD = 0.8
 #: Vectors of a block that meets another block; cosines are rounded so that every order of sums decides alike.
@@ -98,9 +98,7 @@ def run(spark: SparkSession, rows: DataFrame, days: list, threshold: float = THR
 
 def goal_matches(stories: DataFrame, goals: DataFrame, least: float) -> DataFrame:
     """(id_cluster, id_goal, score): stories whose centroid is at least so near to a goal (id_goal, query_embedding)."""
-    from .retrieval import vector_channel
-
     docs = stories.select(F.col("id_cluster").alias("id"), F.col("total").alias("embedding"))
-    # As many as there are stories: all of them, since the threshold decides.
-    every = vector_channel(docs, goals, 1 << 30, query_key="id_goal")
+    # As many as there are stories: all of them, since the threshold decides; none is ranked.
+    every = vector_scores(docs, goals, 1 << 30, "id_goal")
     return every.where(F.col("score") >= least).select(F.col("id").alias("id_cluster"), "id_goal", "score")

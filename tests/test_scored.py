@@ -76,6 +76,22 @@ def test_stories_equal_the_rule_in_id_order(spark, monkeypatch, block):
     assert near and near < found.keys()
 
 
+def test_centroids_do_not_pass_the_driver(spark, monkeypatch):
+    """The nearest of many centroids, block by block: no table of them is collected."""
+    monkeypatch.setattr(retrieval, "BLOCK_BYTES", 8 * 6 * 40)
+    rows, own = points(120, 6, 3, kinds=9, spread=0.4), points(70, 6, 4, kinds=9, spread=0.4)
+    own += [(i + 1000, v) for i, v in own[:5]]  # of equal centroids the smaller counts
+    a = spark.createDataFrame([*rows, (5000, [0.0] * 6), (5001, None), (5002, [1.0])], "id long, embedding array<double>")
+    b = spark.createDataFrame([*own, (5000, [0.0] * 6)], "id_cluster long, centroid array<double>")
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(type(a), name, lambda *_: pytest.fail("a table came to the driver"))
+    found = retrieval.nearest(a, b)
+    monkeypatch.undo()
+    unit = lambda v: np.array(v) / np.linalg.norm(v)
+    best = {i: max((round(float(unit(v) @ unit(c)), 9), -j) for j, c in own) for i, v in rows}
+    assert {r["id"]: (r["score"], -r["id_cluster"]) for r in found.collect()} == {i: (pytest.approx(s, abs=2e-9), j) for i, (s, j) in best.items()}
+
+
 def test_story_query_counts_every_vector(spark, sf_dir):
     rows = plans.QUERIES["story_clusters"](spark, sf_dir).collect()
     sizes = {}
