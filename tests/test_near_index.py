@@ -84,6 +84,39 @@ def test_a_crowded_band_makes_no_pairs_of_all(spark):
     assert dedup.resolve(sets, pairs).where("kept").count() == 1
 
 
+def test_a_set_is_sent_once_to_its_cell(spark, tmp_path, monkeypatch):
+    """Sixty texts of one kind: a set does not travel with each of its pairs, and posts alone have none made."""
+    r = random.Random(4)
+    base = words(r, 80).split()
+    rows = [(i, " ".join(base[:40] + [words(r, 1)] + base[41:])) for i in range(60)] + [(100 + i, words(r, 60)) for i in range(20)]
+    df = frame(spark, rows)
+    sets = dedup.cut(dedup.entries(df))
+    pairs = spark.createDataFrame([(a, b) for a in range(60) for b in range(a + 1, 60)], "a long, b long")
+    seen, made = str(tmp_path / "seen"), []
+    real, count = dedup._scored_cells, dedup._made
+
+    def counted(*a):
+        run = real(*a)
+
+        def noted(pairs, sets):
+            with open(seen, "a") as f:
+                f.write(f"{sets.num_rows}\n")
+            return run(pairs, sets)
+
+        return noted
+
+    monkeypatch.setattr(dedup, "_scored_cells", counted)
+    monkeypatch.setattr(dedup, "CELL", 30)
+    found = {(x["a"], x["b"]): x["score"] for x in dedup.confirmed(pairs, sets, 0.0).collect()}
+    with open(seen) as f:
+        assert sum(map(int, f)) <= 60 * 3
+    of = {x["id"]: set(np.frombuffer(x["shingles"], np.uint32).tolist()) for x in sets.collect()}
+    assert found == {(a, b): len(of[a] & of[b]) / len(of[a] | of[b]) for a in range(60) for b in range(a + 1, 60)}
+    monkeypatch.setattr(dedup, "_made", lambda rows, *a, **k: (made.append((rows.count(), k or a)), count(rows, *a, **k))[1])
+    dedup.near_duplicates(df).count()
+    assert made[0][1] == (False, False) and 55 <= made[1][0] <= 60
+
+
 def test_whole_table_equals_the_sequential_rule(spark, sf_dir):
     d = plans.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("clean_content"))
     df = d.withColumn("content_hash", T.exact_hash(F.lit(""), F.col("clean_content")))
