@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
 from ..functions import stems
 from ..functions import text as T
 from ..operators import fulltext, ledger, merge
-from ..sources import paged
+from ..sources import captured, paged
 from .lineage import folder
 from .queries import query
 from .tables import table
@@ -69,21 +67,12 @@ def paid_calls(spark, sf):
     return found.join(tried, "digest", "left").select("doc_id", "reply", "attempts")
 
 
-def vendor_day(start, limit, day, source):
-    """A page of one day of the table of events: a vendor's answer for a day and a cursor."""
-    import pyarrow.compute as pc
-    import pyarrow.dataset as pads
-
-    ts = pads.field("ts")
-    own = pads.dataset(source).to_table(["event_id", "event_type", "ts"], filter=(ts >= pc.scalar(day)) & (ts < pc.scalar(day + timedelta(days=1)))).sort_by("event_id")
-    return own.slice(start, limit).select(["event_id", "event_type"]).to_pylist()
-
-
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")
 def vendor_days(spark, sf):
-    """Events through the paged source: a task a day, and only the days that the filter leaves."""
+    """Events through the paged source: only the days that the filter leaves, a task for a range of each."""
     paged.register(spark)
-    source = spark.read.format("paged").options(fetch="lexipress.plans.indexed:vendor_day", schema="event_id string, event_type string", first="2024-01-01", last="2024-01-31", limit=100, source=f"{sf}/events.parquet")
+    held = captured.capture(table(spark, sf, "events").select("event_id", "event_type", "ts"), "ts", "event_id", folder(spark, "vendor"))
+    source = spark.read.format("paged").options(fetch="lexipress.sources.captured:fetch", head="lexipress.sources.captured:head", schema="event_id string, event_type string", first="2024-01-01", last="2024-01-31", limit=100, pages_a_task=500, source=held)
     return source.load().where("day >= DATE '2024-01-05' AND day < DATE '2024-01-12'").withColumn("day", F.col("day").cast("string"))
 
 

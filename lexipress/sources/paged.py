@@ -5,7 +5,8 @@ no network: ``fetch(start, limit)`` returns the items from a cursor on, or JSON
 Retries wait ``wait`` seconds.  How a read is dealt to tasks depends on its options:
 
 * ``first`` and ``last`` (days, both included): a task a day.  The fetcher also gets ``day``;
-  rows have a column of that name, and a filter on it leaves out the days' fetches.
+  rows have a column of that name, and a filter on it leaves out the days' fetches.  With
+  ``head`` too, which gets ``day``, tasks get ranges of the cursor of a day.
 * ``head``: a function that tells how many items there are.  Tasks get ranges of the cursor,
   ``pages_a_task`` pages each.
 * neither: one task follows the cursor until a page is empty or short, as a vendor that tells
@@ -75,12 +76,12 @@ class _Options:
         module, _, function = self.all[name].partition(":")
         return getattr(importlib.import_module(module), function)
 
-    def head(self) -> int:
-        return int(self.function("head")(**self.more))
+    def head(self, **more) -> int:
+        return int(self.function("head")(**self.more, **more))
 
-    def ranges(self, start: int, end: int) -> list[Part]:
+    def ranges(self, start: int, end: int, day: date | None = None) -> list[Part]:
         step = self.limit * self.task_pages
-        return [Part(a, min(a + step, end)) for a in range(start, end, step)]
+        return [Part(a, min(a + step, end), day) for a in range(start, end, step)]
 
     def rows(self, part: Part, names: list[str]) -> Iterator[tuple]:
         fetch, more = self.function("fetch"), self.more | ({"day": part.day} if part.day else {})
@@ -141,7 +142,10 @@ class DayReader(Reader):
     def partitions(self) -> list[Part]:
         first, last = (date.fromisoformat(self.options.all[k]) for k in ("first", "last"))
         days = [first + timedelta(days=k) for k in range((last - first).days + 1)]
-        return [Part(day=d) for d in days if all(_COMPARED[kind](d, value) for kind, value in self.wanted)]
+        days = [d for d in days if all(_COMPARED[kind](d, value) for kind, value in self.wanted)]
+        if "head" in self.options.all:
+            return [p for d in days for p in self.options.ranges(0, self.options.head(day=d), d)]
+        return [Part(day=d) for d in days]
 
 
 class StreamReader(ds.DataSourceStreamReader):

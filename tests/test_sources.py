@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 from lexipress.sources import files
@@ -145,3 +146,22 @@ def test_a_stream_goes_on_where_it_was(spark, tmp_path):
     run()
     assert sorted(map(int, lines(tmp_path / "seen"))) == [0, 50, 100, 120, 170, 220, 270]
     assert sorted(int(r["id"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(300))
+
+
+def test_a_page_costs_no_more_in_a_larger_day(spark, tmp_path, monkeypatch):
+    """Pages over a captured day come from the files that hold them, each read once a task, and a day is several tasks."""
+    from lexipress.sources import captured
+
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") < 990, F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 7919 % 86400 + F.when(F.col("id") % 10 == 0, 86400).otherwise(0))).alias("ts"))
+    held = captured.capture(rows.repartition(5), "ts", "k", str(tmp_path / "held"), 100)
+    read, real = [], captured.pq.ParquetFile
+    monkeypatch.setattr(captured.pq, "ParquetFile", lambda f: (read.append(1), real(f))[1])
+    day, want = date(2024, 1, 1), [k for k in range(990) if k % 10]
+    got = [page for page in pages(lambda a, n: captured.fetch(a, n, day, held), 7)]
+    assert [x["k"] for page in got for x in page] == want and all(len(p) == 7 for p in got[:-1])
+    assert len(read) <= 20 < len(got)
+    assert captured.head(held, day) == len(want) and captured.head(held, date(2024, 3, 1)) == 0 and captured.fetch(0, 7, date(2024, 3, 1), held) == []
+    register(spark)
+    df = spark.read.format("paged").options(fetch="lexipress.sources.captured:fetch", head="lexipress.sources.captured:head", schema="k string", first="2024-01-01", last="2024-01-03", limit=7, pages_a_task=20, source=held).load()
+    assert sorted((int(r["k"]), str(r["day"])) for r in df.collect()) == [(k, "2024-01-01" if k % 10 else "2024-01-02") for k in range(990)]
+    assert df.where("day = DATE '2024-01-01'").rdd.getNumPartitions() == 7
