@@ -22,6 +22,8 @@ from ..plans.lineage import cut, drop, opened
 
 BATCH = 10
 ROUNDS = 3
+#: Of so many requests or fewer, prompts are picked where they are read.
+SMALL = 500_000
 _ROW = "digest string, step string, model string, attempt int, reply string, error string"
 
 #: Prompts of one batch to as many replies.
@@ -100,15 +102,24 @@ class Ledger:
         """
         digest = F.sha2(F.concat_ws("\x1f", F.lit(step), F.lit(model), "prompt"), 256)
         known = requests.withColumn("digest", F.when(F.col("prompt").isNotNull(), digest))
-        todo = cut(known.where("digest is not null").select("digest", "prompt").distinct())
+        asked_for = known.where("digest is not null").select("digest", "prompt")
+        # Rounds deal with digests; prompts are dealt once a round, one of each digest, and only those that are left.
+        todo = cut(asked_for.select("digest").distinct())
         for _ in range(rounds):
             done = self.rows(step, model).groupBy("digest").agg(F.max("attempt").alias("attempt"), F.count("reply").alias("good"))
             left = todo.join(done, "digest", "left").where(F.coalesce("good", F.lit(0)) == 0)
-            left = cut(left.select("digest", "prompt", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt")))
-            # In order of digests within a partition, so that a repeated task makes the same batches.
-            dealt = left.repartition("digest").sortWithinPartitions("digest")
-            asked = dealt.mapInPandas(_ask(self.path, step, model, call, check, batch), "n int").agg(F.sum("n")).head()[0]
-            drop(left)
-            if not asked:
+            left = cut(left.select("digest", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt")))
+            n = left.count()
+            if not n:
+                drop(left)
                 break
+            texts = asked_for
+            if n <= SMALL:
+                texts = texts.withColumn("h", F.xxhash64("digest")).join(F.broadcast(left.select(F.xxhash64("digest").alias("h")).distinct()), "h", "left_semi")
+            dealt = texts.groupBy("digest").agg(F.first("prompt").alias("prompt")).join(left, "digest").select("digest", "prompt", "attempt")
+            # Dealt by digest already, and in order of digests within a partition, so that a repeated task makes the same batches.
+            dealt = dealt.sortWithinPartitions("digest")
+            dealt.mapInPandas(_ask(self.path, step, model, call, check, batch), "n int").agg(F.sum("n")).head()
+            drop(left)
+        drop(todo)
         return known.join(self.accepted(step, model), "digest", "left")

@@ -67,6 +67,31 @@ def test_refused_replies_are_asked_again(spark, tmp_path):
     assert len(errors) == 5 and {r["error"] for r in errors} == {"too early"}
 
 
+@pytest.mark.parametrize("small", [0, 1000])
+def test_rounds_store_digests_and_no_prompts(spark, tmp_path, monkeypatch, small):
+    """Long prompts are not written by rounds, and later rounds ask only what was refused."""
+    monkeypatch.setattr(ledger, "SMALL", small)
+    stored, real = [], ledger.cut
+    monkeypatch.setattr(ledger, "cut", lambda df: (stored.append(df.columns), real(df))[1])
+    count, book = Counter(tmp_path / "seen"), ledger.Ledger(spark, str(tmp_path / "book"))
+    names = [f"{k}" for k in range(12)]
+    rows = spark.createDataFrame([(k, f"{n}:" + "x" * 5000) for k, n in enumerate([*names, *names[:3]])] + [(99, None)], "id int, prompt string")
+
+    def call(prompts):
+        count.note(*(p.split(":")[0] for p in prompts))
+        return [p.split(":")[0] for p in prompts]
+
+    def odd(reply, prompt):
+        if int(reply) % 2 == 0:
+            raise ValueError("even")
+        return reply
+
+    found = book.ask(rows, "s", "m", call, odd, batch=4, rounds=2).collect()
+    assert {r["id"]: r["reply"] for r in found} == {k: n if int(n) % 2 else None for k, n in enumerate([*names, *names[:3]])} | {99: None}
+    assert count.seen() == sorted(names + [n for n in names if int(n) % 2 == 0])
+    assert stored and not any("prompt" in c for c in stored)
+
+
 def test_a_failed_run_keeps_what_was_paid(spark, tmp_path):
     """A worker dies in the middle: the next run asks for the rest alone."""
     count, book = Counter(tmp_path / "seen"), ledger.Ledger(spark, str(tmp_path / "book"))
