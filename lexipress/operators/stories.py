@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import bounded_batches, cut, drop
 from . import dedup
-from .retrieval import nearest, unit_rows, vector_scores
+from .retrieval import BLOCK_BYTES, blocks_of, nearest, unit_rows, vector_scores
 
 THRESHOLD = 0.8
-#: Vectors of a block that meets another block; cosines are rounded so that every order of sums decides alike.
-BLOCK = 1024
+#: Vectors of a block that meets another block at most, and of a strip of one product; cosines are rounded so that every order of sums decides alike.
+BLOCK, STRIP = 8192, 512
 DIGITS = 9
 
 STORIES = "id_cluster long, total array<double>, size long, first_day date, last_day date"
@@ -33,27 +33,38 @@ def _near_rows(threshold: float):
         for batch in batches:
             for k in range(batch.num_rows):
                 ids = [batch.column(c)[k].values.to_numpy() for c in ("ids_a", "ids_b")]
+                same = batch.column("own")[k].as_py()
                 sides = [unit_rows(batch.column(c)[k].values) for c in ("a", "b")]
                 for n in sides[0].keys() & sides[1].keys():
                     (at, v), (on, w) = sides[0][n], sides[1][n]
-                    scores = np.round(v @ w.T, DIGITS)
-                    x, y = np.nonzero(scores >= threshold)
-                    p, q = ids[0][at[x]], ids[1][on[y]]
-                    use = p < q
-                    yield pa.RecordBatch.from_arrays([pa.array(p[use]), pa.array(q[use]), pa.array(scores[x, y][use])], schema=spec)
+                    for start in range(0, len(at), STRIP):
+                        scores = np.round(v[start : start + STRIP] @ w.T, DIGITS)
+                        x, y = np.nonzero(scores >= threshold)
+                        p, q = ids[0][at[start + x]], ids[1][on[y]]
+                        use = p < q if same else slice(None)
+                        made = np.minimum(p, q)[use], np.maximum(p, q)[use], scores[x, y][use]
+                        yield pa.RecordBatch.from_arrays([pa.array(m) for m in made], schema=spec)
 
     return run
 
 
 def near_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, score), a < b, of all vectors (id, embedding) of one slice within the threshold; block meets block as one product."""
-    blocks = max(1, -(-rows.count() // BLOCK))
-    packed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "embedding")).alias("rows"))
-    packed = cut(packed.select("block", F.col("rows.id").alias("ids"), F.col("rows.embedding").alias("vectors")))
+    """(a, b, score), a < b, of all vectors (id, embedding) of one slice within the threshold; block meets block as one product.
+
+    Blocks stand in a ring: each is sent to itself and to those of the half ring after it.
+    """
+    n, wide = rows.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).head()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    packed, blocks = blocks_of(rows, "id", "embedding", min(BLOCK, BLOCK_BYTES // (8 * max(1, wide)), max(256, -(-n // cores))), n)
+    packed = cut(packed)
     other = packed.select(F.col("block").alias("j"), F.col("ids").alias("ids_b"), F.col("vectors").alias("b"))
-    # Both orders of two blocks meet: a pair is told where its smaller id is on the left.
-    grid = packed.select(F.col("ids").alias("ids_a"), F.col("vectors").alias("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("j"))
-    return grid.join(other, "j").select("ids_a", "a", "ids_b", "b").mapInArrow(_near_rows(threshold), "a long, b long, score double")
+    sent = packed.select(F.col("block").alias("i"), F.col("ids").alias("ids_a"), F.col("vectors").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(blocks // 2))).alias("step"))
+    sent = sent.withColumn("j", F.pmod(F.col("i") + F.col("step"), F.lit(blocks)))
+    # Two blocks that face each other in a ring of even length meet once.
+    sent = sent.where((F.col("step") * 2 < blocks) | (F.col("i") < F.col("j")))
+    # Spark takes repeated blocks for as small as one of each: without the hint it would broadcast them.
+    met = sent.join(other.hint("merge"), "j").select("ids_a", "a", "ids_b", "b", (F.col("i") == F.col("j")).alias("own"))
+    return met.mapInArrow(_near_rows(threshold), "a long, b long, score double")
 
 
 def _sums(members: DataFrame) -> DataFrame:

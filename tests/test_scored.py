@@ -92,6 +92,22 @@ def test_centroids_do_not_pass_the_driver(spark, monkeypatch):
     assert {r["id"]: (r["score"], -r["id_cluster"]) for r in found.collect()} == {i: (pytest.approx(s, abs=2e-9), j) for i, (s, j) in best.items()}
 
 
+@pytest.mark.parametrize("block", [61, 31, 21, 16, 13])
+def test_blocks_in_a_ring_meet_once_and_are_not_broadcast(spark, monkeypatch, block):
+    """One to five blocks: every pair once, and no side of repeated blocks is collected by the driver."""
+    monkeypatch.setattr(stories, "BLOCK", block)
+    rows = points(61, 6, 8, kinds=5, spread=0.4)
+    d = spark.createDataFrame(rows, "id long, embedding array<double>")
+    found = stories.near_pairs(d, 0.8)
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    want = {(a, b): pytest.approx(float(unit[a] @ unit[b]), abs=1e-8) for a in unit for b in unit if a < b and round(float(unit[a] @ unit[b]), 9) >= 0.8}
+    got = [((r["a"], r["b"]), r["score"]) for r in found.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    near = retrieval.nearest(d, d.select(F.col("id").alias("id_cluster"), F.col("embedding").alias("centroid")))
+    for plan in (found, near):
+        assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_story_query_counts_every_vector(spark, sf_dir):
     rows = plans.QUERIES["story_clusters"](spark, sf_dir).collect()
     sizes = {}
