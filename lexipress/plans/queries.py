@@ -245,9 +245,9 @@ def word_shingles(spark, sf):
 
 @query()
 def mixed_shingles(spark, sf):
-    bounded_batches(spark)
+    bounded_batches(spark, size=4 << 20)  # the sets of a batch are ten times as large as its texts
     d = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    return d.select("doc_id", F.size(T.mixed_shingles(T.near_document(F.col("text")))).alias("n_shingles"))
+    return d.select("doc_id", F.size(T.mixed_shingles(T.near_document(F.col("text"), None))).alias("n_shingles"))
 
 
 @query()
