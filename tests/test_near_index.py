@@ -185,3 +185,43 @@ def test_by_signature_of_a_whole_table(spark, sf_dir):
     got = {r["id"]: r["canonical"] for r in plans.QUERIES["near_duplicates_by_signature"](spark, sf_dir).collect()}
     exact = {r["id"]: r["canonical"] for r in plans.QUERIES["near_duplicates"](spark, sf_dir).collect()}
     assert got.keys() == exact.keys() and sum((got[i] is None) == (exact[i] is None) for i in got) >= 0.95 * len(got)
+
+
+def test_whole_texts_are_compared(spark):
+    """Texts that begin alike for more than 4000 characters and go on differently are no duplicates; those that differ at first only are."""
+    r = random.Random(9)
+    head, tail = words(r, 1000), words(r, 8000)
+    df = frame(spark, [(1, f"{head} {words(r, 4000)}"), (2, f"{head} {words(r, 4000)}"), (3, f"{words(r, 1000)} {tail}"), (4, f"{words(r, 1000)} {tail}")])
+    assert len(head) > 4000
+    got = found_of(dedup.near_duplicates(df))
+    assert [got[k] is None for k in (1, 2, 3, 4)] == [True, True, True, False] and got[4][0] == 3
+
+
+def test_bitmaps_prove_no_alike_pair_away():
+    """What bitmaps say two sets hold together is never more than they do."""
+    r = np.random.default_rng(3)
+    for n, more in ((1, 0), (40, 3), (500, 900), (5000, 70), (3000, 9000)):
+        pool = np.unique(r.integers(0, 1 << 32, n + more, dtype=np.uint64)).astype(np.uint32)
+        a, b = pool[: len(pool) - more // 2], pool[more // 3 :]
+        union = len(np.union1d(a, b))
+        assert max(len(a), len(b)) * 0.8 <= dedup._least_union(dedup._marked(a), dedup._marked(b)) <= union
+
+
+def test_a_cell_has_a_bound_of_bytes(spark, monkeypatch):
+    """Few large sets fill a block as many small ones do."""
+    r = random.Random(4)
+    base = words(r, 80).split()
+    sets = dedup.cut(dedup.entries(frame(spark, [(i, " ".join(base[:40] + [words(r, 1)] + base[41:])) for i in range(40)])))
+    pairs = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)], "a long, b long")
+    want = {(x["a"], x["b"], x["score"]) for x in dedup.confirmed(pairs, sets, 0.0).collect()}
+    monkeypatch.setattr(dedup, "CELL_BYTES", sets.agg(F.sum("n")).head()[0] * 4 // 8)
+    assert dedup._homes(pairs, sets.select("id", (F.col("n") * 4).alias("bytes"))).select("block").distinct().count() >= 2
+    assert {(x["a"], x["b"], x["score"]) for x in dedup.confirmed(pairs, sets, 0.0).collect()} == want and len(want) == 780
+
+
+def test_copies_are_told_before_sets_are_made(spark, monkeypatch):
+    """Copies are never shingled."""
+    df, made, real = frame(spark, [(i, words(random.Random(i % 5), 40)) for i in range(50)]), [], dedup._made
+    monkeypatch.setattr(dedup, "_made", lambda rows, *a, **k: (made.append(rows.count()), real(rows, *a, **k))[1])
+    got = found_of(dedup.near_duplicates(df))
+    assert made[0] == 5 and all(got[i] == (None if i < 5 else (i % 5, 1.0)) for i in range(50))
